@@ -151,7 +151,11 @@ def ballots(text: Column) -> Column:
 
 
 def is_json(text: Column) -> Column:
-    return F.coalesce(F.try_parse_json(text).isNotNull(), F.lit(False))
+    """Exactly one JSON value.  The parser ignores what follows a value, so the text
+    must also hold as the only element of a list and of an object."""
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    return F.coalesce(listed & member, F.lit(False))
 
 
 def repair_json(text: Column) -> Column:

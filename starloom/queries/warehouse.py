@@ -367,10 +367,10 @@ def monthly_absence(spark, sf):
         F.sum("q").cast("long").alias("absence_days"))
 
 
-@query("""SELECT n.n_name, r.r_name AS other_region FROM nation n LEFT JOIN region r ON 1 = 1""")
-def cross_left_small(spark, sf):
-    regions = load(spark, sf, "region").select(F.col("r_name").alias("other_region"))
-    return FA.cross_left(load(spark, sf, "nation").select("n_name"), regions)
+@query("""SELECT c_custkey AS customer_id, r_name AS region FROM customer LEFT JOIN region ON 1 = 1""")
+def cross_left_regions(spark, sf):
+    regions = load(spark, sf, "region").select(F.col("r_name").alias("region"))
+    return FA.cross_left(load(spark, sf, "customer").select(F.col("c_custkey").alias("customer_id")), regions)
 
 
 @query("""
