@@ -73,18 +73,26 @@ def unseen(observed: DataFrame, stored: DataFrame, identity: list[str], k: int =
 
 
 def routes(messages: DataFrame, recipients: DataFrame, message_id: str, recipient: str) -> DataFrame:
-    """(message, recipient) pairs whose address sets meet; ``<all>`` reaches everyone.
+    """(message, recipient) pairs whose address sets meet; a broadcast is one row to ``<all>``.
 
     ``messages`` has ``send_to``, ``recipients`` has ``addresses``, both arrays.
-    Addressed messages meet recipients by equality of one address; only
-    broadcasts, which by definition go to everyone, pair with every recipient.
+    Addresses meet by equality.  A broadcast reaches everyone by definition, so
+    it is not written once per recipient; ``mailbox_sizes`` counts it for each.
     """
-    sent = messages.select(message_id, F.explode(F.array_distinct("send_to")).alias("address"))
+    loud = messages.filter(F.array_contains("send_to", ALL_RECIPIENTS))
+    sent = messages.filter(~F.array_contains("send_to", ALL_RECIPIENTS)).select(
+        message_id, F.explode(F.array_distinct("send_to")).alias("address"))
     homes = recipients.select(recipient, F.explode(F.array_distinct("addresses")).alias("address"))
-    direct = sent.filter(F.col("address") != ALL_RECIPIENTS).join(homes, "address").select(message_id, recipient)
-    loud = sent.filter(F.col("address") == ALL_RECIPIENTS).select(message_id, F.lit(1).alias("__all"))
-    everyone = recipients.select(recipient, F.lit(1).alias("__all"))
-    return direct.unionByName(loud.join(everyone, "__all").select(message_id, recipient)).distinct()
+    direct = sent.join(homes, "address").select(message_id, recipient).distinct()
+    return direct.unionByName(loud.select(message_id, F.lit(ALL_RECIPIENTS).alias(recipient)))
+
+
+def mailbox_sizes(routed: DataFrame, recipients: DataFrame, recipient: str) -> DataFrame:
+    """Messages reaching each recipient: the direct ones and every broadcast."""
+    broadcasts = routed.filter(F.col(recipient) == ALL_RECIPIENTS).count()
+    direct = routed.filter(F.col(recipient) != ALL_RECIPIENTS).groupBy(recipient).agg(F.count(F.lit(1)).alias("__n"))
+    counted = recipients.select(recipient).join(direct, recipient, "left")
+    return counted.select(recipient, (F.coalesce("__n", F.lit(0)) + F.lit(broadcasts)).alias("messages"))
 
 
 def unrouted(messages: DataFrame, recipients: DataFrame, message_id: str) -> DataFrame:

@@ -65,10 +65,12 @@ def daily_counts(events: DataFrame, time: str, kind: str, delay: str = "1 day")
 
 
 def routed(messages: DataFrame, recipients: DataFrame, message_id: str, recipient: str) -> DataFrame:
-    """Stream of (message, recipient); the recipients are a static table, joined by single address."""
+    """Stream of (message, recipient); the recipients are a static table, a broadcast is one row to ``<all>``."""
     sent = messages.select(message_id, F.explode(F.array_distinct("send_to")).alias("address"))
-    homes = recipients.select(recipient, F.explode(F.concat("addresses", F.array(F.lit(ALL_RECIPIENTS)))).alias("address")).distinct()
-    return sent.join(homes, "address").select(message_id, recipient)
+    homes = recipients.select(recipient, F.explode(F.array_distinct("addresses")).alias("address"))
+    direct = sent.join(homes, "address").select(message_id, recipient)
+    loud = sent.filter(F.col("address") == ALL_RECIPIENTS).select(message_id, F.lit(ALL_RECIPIENTS).alias(recipient))
+    return direct.unionByName(loud)
 
 
 def latest_status(target: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
