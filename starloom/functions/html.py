@@ -8,6 +8,7 @@ from urllib.parse import urljoin, urlparse
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 # Elements without visible text, media elements, and elements without an end tag.
 INVISIBLE = {"style", "script", "head", "title", "footer"}
@@ -61,7 +62,7 @@ def _resolve(href: str, url: str) -> str | None:
     return None
 
 
-@F.pandas_udf("title string, links array<string>, text string")
+@F.pandas_udf(StructType().add("title", StringType()).add("links", ArrayType(StringType())).add("text", StringType()))
 def page_parts(html: pd.Series, url: pd.Series) -> pd.DataFrame:
     rows = []
     for page, address in zip(html, url):
@@ -104,7 +105,7 @@ def slim_html(html: Column, keep_links: bool = False) -> Column:
     """Markup with class and id (and href) only, without media, scripts, comments and spare blanks."""
     keep = {"class", "id", "href"} if keep_links else {"class", "id"}
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def slim(pages: pd.Series) -> pd.Series:
         def one(page):
             worker = _Slimmer(keep)

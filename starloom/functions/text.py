@@ -11,7 +11,7 @@ from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructField, StructType
 
 # ASCII punctuation, the articles, and the number, sentence and box patterns.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -290,7 +290,10 @@ def _clipped(a: list[str], b: list[str], n: int) -> tuple[int, int]:
     return sum((grams[0] & grams[1]).values()), max(len(a) - n + 1, 0)
 
 
-@F.pandas_udf("bleu_avg double, bleu1 double, bleu2 double, bleu3 double, bleu4 double, brevity_penalty double")
+BLEU_FIELDS = ["bleu_avg", "bleu1", "bleu2", "bleu3", "bleu4", "brevity_penalty"]
+
+
+@F.pandas_udf(StructType([StructField(name, DoubleType()) for name in BLEU_FIELDS]))
 def bleu(response: pd.Series, reference: pd.Series) -> pd.DataFrame:
     """BLEU precisions 1-4 of token arrays and their mean without the brevity penalty."""
     import math
@@ -303,7 +306,7 @@ def bleu(response: pd.Series, reference: pd.Series) -> pd.DataFrame:
         penalty = 1.0 if ratio > 1.0 else (math.exp(1 - 1 / ratio) if ratio > 0 else 0.0)
         mean = math.exp(sum(math.log(x) for x in precisions) / 4) if min(precisions) > 0 else 0.0
         rows.append((mean if penalty else 0.0, *precisions, penalty))
-    return pd.DataFrame(rows, columns=["bleu_avg", "bleu1", "bleu2", "bleu3", "bleu4", "brevity_penalty"])
+    return pd.DataFrame(rows, columns=BLEU_FIELDS)
 
 
 def _common_length(a: list, b: list) -> int:
@@ -333,9 +336,20 @@ def rouge_l(response: pd.Series, reference: pd.Series) -> pd.Series:
     return pd.Series([score(p, r) for p, r in zip(response, reference)], dtype="float64")
 
 
-@F.pandas_udf(DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Matching-block similarity of two texts in 0..1."""
-    from difflib import SequenceMatcher
+def similar_texts(a: str, b: str, threshold: float) -> Column:
+    """Is the matching-block similarity of two text columns above the threshold?
+
+    Letter counts give an upper bound first, so most unlike pairs stay cheap.
+    """
+
+    @F.pandas_udf(BooleanType())
+    def above(left: pd.Series, right: pd.Series) -> pd.Series:
+        from difflib import SequenceMatcher
+
+        def one(x, y):
+            matcher = SequenceMatcher(None, x, y)
+            return matcher.quick_ratio() > threshold and matcher.ratio() > threshold
+
+        return pd.Series([one(x, y) for x, y in zip(left, right)], dtype=bool)
 
-    return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
+    return above(F.col(a), F.col(b))

@@ -2,24 +2,41 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType
 
-from starloom.functions.text import sequence_ratio
+from starloom.functions.text import similar_texts
 from starloom.session import cut_lineage
 
 
-def shingles(text: Column, width: int = 5) -> Column:
-    """Distinct word runs; a shorter text is its own single shingle."""
-    words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
-    n = F.size(words)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(n - width + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, width), " "))
-    return F.array_distinct(runs)
+def band_keys(text: Column, bands: int, rows: int, width: int) -> Column:
+    """One bucket number per band from MinHash values over distinct word runs.
 
+    An Arrow helper, so each text is hashed once; a chain of column expressions
+    would be evaluated again for every band.
+    """
+
+    @F.pandas_udf(ArrayType(LongType()))
+    def keys(texts: pd.Series) -> pd.Series:
+        seeds = np.random.default_rng(20_240_101)
+        factor = seeds.integers(1, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
+        offset = seeds.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
+
+        def one(t):
+            words = (t or "").lower().split()
+            runs = {" ".join(words[i:i + width]) for i in range(max(len(words) - width + 1, 1))}
+            hashed = pd.util.hash_array(np.array(sorted(runs), dtype=object), categorize=False)
+            lowest = np.array([(hashed * f + o).min() for f, o in zip(factor, offset)])
+            mixed = np.arange(bands, dtype=np.uint64)
+            for r in range(rows):
+                mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + lowest[r::rows]
+            return mixed.astype(np.int64)
+
+        return texts.map(one)
 
-def signature(text: Column, hashes: int, width: int = 5) -> Column:
-    """MinHash values: per seed the smallest 64-bit hash of the shingles."""
-    parts = shingles(text, width)
-    return F.array(*[F.array_min(F.transform(parts, lambda s, seed=i: F.xxhash64(s, F.lit(seed)))) for i in range(hashes)])
+    return keys(text)
 
 
 def link_components(links: DataFrame, max_rounds: int = 200) -> DataFrame:
@@ -44,7 +61,7 @@ def link_components(links: DataFrame, max_rounds: int = 200) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str, text: str, threshold: float = 0.8, bands: int = 10, rows: int = 2,
+def near_duplicates(docs: DataFrame, doc_id: str, text: str, threshold: float = 0.8, bands: int = 16, rows: int = 4,
                     width: int = 3) -> DataFrame:
     """(id, keeper, is_kept) per document: the earliest of each group of similar texts is kept.
 
@@ -56,17 +73,16 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, threshold: float =
     """
     prints = docs.select(F.col(doc_id).alias("id"), F.sha2(text, 256).alias("h"), F.col(text).alias("t"))
     firsts = cut_lineage(prints.groupBy("h").agg(F.min("id").alias("rep"), F.min_by("t", "id").alias("t")))
-    signed = firsts.select("rep", signature(F.col("t"), bands * rows, width).alias("sig"))
-    keys = F.array(*[F.xxhash64(F.lit(b), F.slice("sig", b * rows + 1, rows)) for b in range(bands)])
-    buckets = signed.select("rep", F.explode(keys).alias("bucket")).distinct()
-    heads = buckets.groupBy("bucket").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = buckets.join(heads, "bucket").filter("rep != head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
+    keyed = firsts.select("rep", band_keys(F.col("t"), bands, rows, width).alias("keys"))
+    buckets = cut_lineage(keyed.select("rep", F.posexplode("keys").alias("band", "bucket")))
+    heads = buckets.groupBy("band", "bucket").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = buckets.join(heads, ["band", "bucket"]).filter("rep != head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
     left, right = firsts.select(F.col("rep").alias("a"), F.col("t").alias("ta")), firsts.select(F.col("rep").alias("b"), F.col("t").alias("tb"))
     checked = pairs.join(left, "a").join(right, "b")
     shorter, longer = F.least(F.length("ta"), F.length("tb")), F.greatest(F.length("ta"), F.length("tb"))
     # the ratio cannot exceed 2 * shorter / (shorter + longer): far too different lengths need no comparison
     likely = checked.filter(2.0 * shorter / (shorter + longer) > threshold)
-    links = cut_lineage(likely.filter(sequence_ratio("ta", "tb") > threshold).select("a", "b"))
+    links = cut_lineage(likely.filter(similar_texts("ta", "tb", threshold)).select("a", "b"))
     groups = link_components(links) if not links.isEmpty() else None
     placed = prints.select("id", "h").join(firsts.select("h", "rep"), "h")
     if groups is None:

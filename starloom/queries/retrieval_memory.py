@@ -196,41 +196,40 @@ def vec_topk_l2(spark, sf):
     return V.top_k(load(spark, sf, "embeddings"), _centroids(spark, sf), "vec_id", "query_id", "embedding", 5, metric="l2", digits=6)
 
 
-@query(f"WITH {_CENTROIDS}, {_nearest_sql('list_cosine_similarity', 'DESC', 10, 'label >= 3 AND label <> query_id')} SELECT query_id, vec_id, score, rank FROM n WHERE query_id = 0 OR query_id IS NOT NULL")
+@query(f"WITH {_CENTROIDS}, {_nearest_sql('list_cosine_similarity', 'DESC', 10, 'label >= 3 AND label <> 6')} SELECT query_id, vec_id, score, rank FROM n")
 def vec_filtered(spark, sf):
-    """Rows of other labels only: the filter is applied before scoring, per query label."""
-    e, c = load(spark, sf, "embeddings"), _centroids(spark, sf)
-    labels = [r.query_id for r in c.select("query_id").collect()]  # one row per label
-    parts = [V.top_k(e, c.filter(F.col("query_id") == q), "vec_id", "query_id", "embedding", 10,
-                     where=S.all_of([F.col("label") >= 3, F.col("label") != q]), digits=6) for q in labels]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The filter is applied before scoring."""
+    where = S.all_of([F.col("label") >= 3, F.col("label") != 6])
+    return V.top_k(load(spark, sf, "embeddings"), _centroids(spark, sf), "vec_id", "query_id", "embedding", 10, where=where, digits=6)
 
 
-RADIUS = 0.75
+RADIUS = 0.1
 
 
-def _halves(spark, sf):
+def _observed_and_stored(spark, sf):
+    """Observed: every vector, stretched by 0, 4, 8 or 12 percent.  Stored: the lower labels as they are."""
     e = load(spark, sf, "embeddings")
-    return e.filter("label >= 5"), e.filter("label < 5")
+    stretch = 1 + (F.col("vec_id") % 4) * 0.04
+    own = e.select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double") * stretch).alias("embedding"))
+    return own, e.filter("label < 5").select(F.col("embedding").cast("array<double>").alias("embedding"))
 
 
-@query(f"""WITH s AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label < 5)
-SELECT vec_id, label FROM embeddings e WHERE label >= 5 AND EXISTS (SELECT 1 FROM s WHERE list_distance(s.v, CAST(e.embedding AS DOUBLE[])) < {RADIUS})""")
+def _near_sql(word: str) -> str:
+    return f"""WITH s AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label < 5),
+o AS (SELECT vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * (1 + (vec_id % 4) * 0.04)) AS v FROM embeddings)
+SELECT vec_id, label FROM o WHERE {word} (SELECT 1 FROM s WHERE list_distance(s.v, o.v) < {RADIUS})"""
+
+
+@query(_near_sql("EXISTS"))
 def vec_within(spark, sf):
-    """Rows of the higher labels with a stored neighbour among the lower ones."""
-    new, stored = _halves(spark, sf)
-    return V.near_any(new, stored, "embedding", RADIUS).select("vec_id", "label")
+    """Observed vectors with a stored neighbour."""
+    return V.near_any(*_observed_and_stored(spark, sf), "embedding", RADIUS).select("vec_id", "label")
 
 
-@query(f"""WITH s AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label < 5)
-SELECT vec_id, label FROM embeddings e WHERE label >= 5 AND NOT EXISTS (SELECT 1 FROM s WHERE list_distance(s.v, CAST(e.embedding AS DOUBLE[])) < {RADIUS})""")
+@query(_near_sql("NOT EXISTS"))
 def vec_find_news(spark, sf):
-    """Rows of the higher labels without a stored neighbour: the news."""
-    new, stored = _halves(spark, sf)
-    return V.near_any(new, stored, "embedding", RADIUS, negate=True).select("vec_id", "label")
+    """Observed vectors without a stored neighbour: the news."""
+    return V.near_any(*_observed_and_stored(spark, sf), "embedding", RADIUS, negate=True).select("vec_id", "label")
 
 
 @query("""
