@@ -170,51 +170,60 @@ def repair_json(text: Column) -> Column:
     return F.regexp_replace(trimmed, r"""("[^"\n]*"|'[^'\n]*')|[ \t]*(?:#|//)[^\n]*""", "$1")
 
 
-def repair_key_case(text: Column, key: str) -> Column:
+def _quoted(literal: str) -> str:
+    return "\\Q" + literal + "\\E"
+
+
+def _expected_case(text: str, key: str) -> str:
     """A key written in another case takes its expected form."""
-    at = F.instr(F.lower(text), key.lower())
-    written = F.substr(text, at, F.lit(len(key)))
-    return F.when(~text.contains(key) & (at > 0), F.replace(text, written, F.lit(key))).otherwise(text)
+    at = text.lower().find(key.lower())
+    return text if key in text or at < 0 else text.replace(text[at:at + len(key)], key)
 
 
-def repair_closing_mark(text: Column, key: str) -> Column:
+def _completed_pair(text: str, key: str) -> str:
+    """Add the missing half of a [KEY] ... [/KEY] pair around JSON-like content."""
+    opening = key.replace("/", "")
+    closing = "[/" + opening[1:]
+    if opening not in text:
+        text = f"{opening}\n{text}"
+    body = text.rstrip()
+    if closing in text or body.endswith(opening):
+        return text
+    if not body.endswith(("}", "]")):
+        # keep the last section up to its final bracket
+        tail = text[text.rfind(opening):]
+        text = tail[:max(tail.rfind("}"), tail.rfind("]")) + 1]
+    return f"{text}\n{closing}"
+
+
+def _closed_by_last(text: str, key: str) -> str:
     """The last of several opening marks becomes the missing closing one."""
     opening = key.replace("/", "")
-    pieces = F.split(text, _quoted(opening))
-    n = F.size(pieces)
-    head = F.array_join(F.slice(pieces, F.lit(1), F.greatest(n - 1, F.lit(1))), opening)
-    fixed = F.concat(head, F.lit(key), F.element_at(pieces, -1))
-    return F.when(~text.contains(key) & (n > 2), fixed).otherwise(text)
+    if key in text or text.count(opening) < 2:
+        return text
+    head, _, tail = text.rpartition(opening)
+    return head + key + tail
 
 
-def repair_key_pair(text: Column, key: str) -> Column:
-    """Add the missing half of a [KEY] ... [/KEY] pair around JSON-like content."""
-    left = key.replace("/", "")
-    right = f"{left[0]}/{left[1:]}"
-    opened = F.when(text.contains(left), text).otherwise(F.concat(F.lit(left + "\n"), text))
-    trimmed = _strip(opened)
-    ends_open = trimmed.endswith(left)
-    closed = trimmed.endswith("}") | (trimmed.endswith("]") & ~ends_open)
-    tail = F.element_at(F.split(opened, _quoted(left)), -1)
-    last = F.regexp_extract(tail, r"(?s)^(.*[}\]])", 1)
-    body = F.concat(F.lit(left), last)
-    fixed = F.when(closed, F.concat(opened, F.lit("\n" + right))).when(
-        ~ends_open, F.concat(body, F.lit("\n" + right))
-    ).otherwise(opened)
-    return F.when(opened.contains(right), opened).otherwise(fixed)
+def repair_sections(text: Column, keys: list[str]) -> Column:
+    """Repair the section marks of a text: case, missing halves, a start instead of the end.
 
+    An Arrow helper: as column expressions every step would repeat the previous ones.
+    """
 
-def _quoted(literal: str) -> str:
-    return "\\Q" + literal + "\\E"
+    @F.pandas_udf(StringType())
+    def repair(texts: pd.Series) -> pd.Series:
+        def one(t):
+            for key in keys if t is not None else []:
+                t = _expected_case(t, key)
+                if key.startswith("[") and key.endswith("]"):
+                    t = _completed_pair(t, key)
+                t = _closed_by_last(t, key)
+            return t
 
+        return texts.map(one)
 
-def repair_sections(text: Column, keys: list[str]) -> Column:
-    for key in keys:
-        text = repair_key_case(text, key)
-        if key.startswith("[") and key.endswith("]"):
-            text = repair_key_pair(text, key)
-        text = repair_closing_mark(text, key)
-    return text
+    return repair(text)
 
 
 @F.pandas_udf(StringType())

@@ -118,16 +118,16 @@ def _doc_pairs(spark, sf):
     return left.join(right, "pair_id")
 
 
-def _gram_sql(n: int) -> str:
-    return f"""SELECT pair_id, {n} AS n, side, list_transform(range(1, len(ts) - {n - 2}), lambda i: array_to_string(ts[i:i + {n - 1}], ' ')) AS gs FROM t"""
-
-
-@query(f"""
+@query("""
 WITH t AS (SELECT doc_id // 2 AS pair_id, doc_id % 2 AS side, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS ts FROM documents),
-g AS ({' UNION ALL '.join(_gram_sql(n) for n in range(1, 5))}),
-c AS (SELECT pair_id, n, side, gram, count(*) AS k FROM (SELECT pair_id, n, side, unnest(gs) AS gram FROM g) GROUP BY ALL),
+w0 AS (SELECT pair_id, side, unnest(ts) AS w, unnest(range(len(ts))) AS pos FROM t),
+w1 AS (SELECT pair_id, side, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM w0 WINDOW o AS (PARTITION BY pair_id, side ORDER BY pos)),
+g AS (SELECT pair_id, side, 1 AS n, w AS gram FROM w1 UNION ALL SELECT pair_id, side, 2, w || ' ' || w2 FROM w1 WHERE w2 IS NOT NULL
+ UNION ALL SELECT pair_id, side, 3, w || ' ' || w2 || ' ' || w3 FROM w1 WHERE w3 IS NOT NULL UNION ALL SELECT pair_id, side, 4, w || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM w1 WHERE w4 IS NOT NULL),
+c AS (SELECT pair_id, n, side, gram, count(*) AS k FROM g GROUP BY ALL),
 m AS (SELECT a.pair_id, a.n, sum(least(a.k, b.k)) AS same FROM c a JOIN c b ON a.pair_id = b.pair_id AND a.n = b.n AND a.gram = b.gram AND a.side = 0 AND b.side = 1 GROUP BY ALL),
-p AS (SELECT l.pair_id, l.n, CASE WHEN len(l.gs) = 0 THEN 0.0 ELSE coalesce(m.same, 0) / len(l.gs) END AS p FROM g l LEFT JOIN m ON l.pair_id = m.pair_id AND l.n = m.n WHERE l.side = 0),
+l AS (SELECT t.pair_id, r.n, greatest(len(ts) - r.n + 1, 0) AS size FROM t, range(1, 5) r(n) WHERE side = 0),
+p AS (SELECT l.pair_id, l.n, CASE WHEN size = 0 THEN 0.0 ELSE coalesce(m.same, 0) / size END AS p FROM l LEFT JOIN m ON l.pair_id = m.pair_id AND l.n = m.n),
 w AS (SELECT pair_id, max(p) FILTER (n = 1) AS p1, max(p) FILTER (n = 2) AS p2, max(p) FILTER (n = 3) AS p3, max(p) FILTER (n = 4) AS p4 FROM p GROUP BY 1)
 SELECT pair_id, round(CASE WHEN least(p1, p2, p3, p4) > 0 THEN exp((ln(p1) + ln(p2) + ln(p3) + ln(p4)) / 4) ELSE 0.0 END, 6) AS bleu_avg,
  round(p1, 6) AS bleu1, round(p2, 6) AS bleu2, round(p3, 6) AS bleu3, round(p4, 6) AS bleu4 FROM w""")

@@ -52,14 +52,19 @@ def load_increments(spark: SparkSession, folder: str, schema, target: str, fmt:
     return drain(stream, "increments", target=target)
 
 
+def _timed(df: DataFrame, time: str) -> DataFrame:
+    """Watermarks need a timestamp with a zone; times without one are read in the session's zone."""
+    return df.withColumn(time, F.col(time).cast("timestamp"))
+
+
 def without_repeats(messages: DataFrame, key: list[str], time: str, delay: str = "1 day") -> DataFrame:
     """First message per key; a repeat within the delay is dropped and the state stays bounded."""
-    return messages.withWatermark(time, delay).dropDuplicatesWithinWatermark(key)
+    return _timed(messages, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(key)
 
 
 def daily_counts(events: DataFrame, time: str, kind: str, delay: str = "1 day") -> DataFrame:
-    """Counts per day and kind, written once the watermark has passed the day; later rows are dropped."""
-    return events.withWatermark(time, delay).groupBy(F.window(time, "1 day"), S.safe_key(F.col(kind)).alias("event_type")).agg(
+    """Counts per UTC day and kind, written once the watermark has passed the day; later rows are dropped."""
+    return _timed(events, time).withWatermark(time, delay).groupBy(F.window(time, "1 day"), S.safe_key(F.col(kind)).alias("event_type")).agg(
         F.count(F.lit(1)).alias("interaction_count"), F.sum("value").alias("total_value")
     ).select(F.col("window.start").cast("date").alias("day"), "event_type", "interaction_count", "total_value")
 
