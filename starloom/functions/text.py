@@ -145,9 +145,9 @@ def vote_chunks(log: Column) -> Column:
 
 def ballots(text: Column) -> Column:
     """Ballot lines as an array of (voter, role, target)."""
-    lines = F.regexp_extract_all(text, F.lit(BALLOT), F.lit(0))
-    return F.transform(lines, lambda s: F.struct(*[F.regexp_extract(s, BALLOT, g).alias(n)
-                                                   for g, n in ((1, "voter"), (2, "role"), (3, "target"))]))
+    voter, role, target = (F.regexp_extract_all(text, F.lit(BALLOT), F.lit(g)) for g in (1, 2, 3))
+    return F.transform(
+        F.arrays_zip(voter, role, target), lambda z: F.struct(z["0"].alias("voter"), z["1"].alias("role"), z["2"].alias("target")))
 
 
 def is_json(text: Column) -> Column:

@@ -82,7 +82,10 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, threshold: float =
     shorter, longer = F.least(F.length("ta"), F.length("tb")), F.greatest(F.length("ta"), F.length("tb"))
     # the ratio cannot exceed 2 * shorter / (shorter + longer): far too different lengths need no comparison
     likely = checked.filter(2.0 * shorter / (shorter + longer) > threshold)
-    links = cut_lineage(likely.filter(similar_texts("ta", "tb", threshold)).select("a", "b"))
+    spark = docs.sparkSession
+    # comparing is costly and the rows are few bytes: keep them on all cores
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    links = cut_lineage(likely.repartition(tasks).filter(similar_texts("ta", "tb", threshold)).select("a", "b"))
     groups = link_components(links) if not links.isEmpty() else None
     placed = prints.select("id", "h").join(firsts.select("h", "rep"), "h")
     if groups is None:

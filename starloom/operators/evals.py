@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starloom.functions import scalars as S
 from starloom.functions import text as T
 from starloom.operators.ordering import running_total
+from starloom.session import cut_lineage
 
 
 def text_f1(prediction: Column, expected: Column) -> Column:
@@ -149,17 +150,17 @@ def vote_report(logs: DataFrame, folder: str, file: str, log: str) -> DataFrame:
     Rates are rounded to two digits before they are averaged; the folder's
     first-round mean is attached to first rounds only.
     """
-    rounds = logs.withColumn("__parts", T.vote_chunks(F.col(log)))
-    rounds = rounds.select(folder, file, F.explode("__parts").alias("__r"))
-    lines = rounds.select(folder, file, "__r.vote_round", T.ballots(F.col("__r.text")).alias("b"))
+    parts = logs.select(folder, file, F.explode(T.vote_chunks(F.col(log))).alias("__r"))
+    # a one-element explode evaluates the ballots once instead of once per use
+    lines = parts.select(folder, file, "__r.vote_round", F.explode(F.array(T.ballots(F.col("__r.text")))).alias("b"))
     wolves = F.transform(F.filter("b", lambda x: x["role"] == "Werewolf"), lambda x: x["voter"])
     others = F.filter("b", lambda x: x["role"] != "Werewolf")
-    right = F.filter("__others", lambda x: F.array_contains(F.col("__wolves"), x["target"]))
-    rates = lines.withColumn("__wolves", wolves).withColumn("__others", others).filter(F.size("__others") > 0).select(
-        folder, file, "vote_round",
-        F.bround(F.size(right) / F.size("__others"), 2).alias("good_vote_rate"),
-        F.concat(F.lit("_"), F.size("__wolves").cast("string"), F.lit(" / "), F.size("b").cast("string")).alias("difficulty"),
-    )
+    sides = lines.select(folder, file, "vote_round", F.explode(F.array(F.struct(wolves.alias("w"), others.alias("o"), F.size("b").alias("n")))).alias("s"))
+    right = F.filter("s.o", lambda x: F.array_contains(F.col("s.w"), x["target"]))
+    rates = cut_lineage(sides.filter(F.size("s.o") > 0).select(
+        folder, file, "vote_round", F.bround(F.size(right) / F.size("s.o"), 2).alias("good_vote_rate"),
+        F.concat(F.lit("_"), F.size("s.w").cast("string"), F.lit(" / "), F.col("s.n").cast("string")).alias("difficulty"),
+    ))
     means = rates.groupBy(file).agg(F.avg("good_vote_rate").alias("avg_rate"))
     first = rates.filter("vote_round = 'vote_1'").groupBy(folder).agg(F.avg("good_vote_rate").alias("vote1_rate"))
     first = first.withColumn("vote_round", F.lit("vote_1"))

@@ -9,6 +9,7 @@ offsets.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -93,35 +94,68 @@ def rank_rows(df: DataFrame, value: str, name: str = "rank", descending: bool =
     return df.join(ranked, df[value].eqNullSafe(ranked["__v"]), "left").drop("__v")
 
 
+ACCURACY = 10_000
+
+
+def _counts(df: DataFrame, brackets: dict) -> dict:
+    """Rows below and inside each bracket, all of them in one pass."""
+    parts = []
+    for (c, i), (low, high) in brackets.items():
+        v = F.col(c).cast("double")
+        parts += [F.count_if(v < F.lit(low)).alias(f"b{i}_{c}"), F.count_if(v.between(low, high)).alias(f"n{i}_{c}")]
+    row = df.agg(*parts).first()
+    return {(c, i): (row[f"b{i}_{c}"], row[f"n{i}_{c}"]) for c, i in brackets}
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[float]]:
-    """Linear-interpolated quantiles of several columns in one pass.
+    """Exact linear-interpolated quantiles of several columns without sorting them.
 
-    Values are counted first, so equal values (a hot value, a constant column)
-    travel as one row; the running counts then locate the few ranks needed.
-    The driver receives at most two values per column and probability.
+    An approximate pass brackets each quantile within a few ten-thousandths of
+    the rows, a second one counts the rows below each bracket, and only values
+    inside a bracket are counted per value and ordered.  A bracket that misses
+    its rank is opened fully, so the result never depends on the approximation.
+    The driver receives a few numbers per column and probability.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns]))
+    slack = 3.0 / ACCURACY
+    edges = [e for p in probs for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    first = df.agg(*[F.count(c).alias(f"n_{c}") for c in columns],
+                   *[F.percentile_approx(F.col(c).cast("double"), edges, ACCURACY).alias(f"q_{c}") for c in columns]).first()
+    out: dict[str, list] = {c: [None] * len(probs) for c in columns}
+    brackets, ranks = {}, {}
+    for c in columns:
+        if first[f"n_{c}"]:
+            for i, p in enumerate(probs):
+                brackets[c, i] = (first[f"q_{c}"][2 * i], first[f"q_{c}"][2 * i + 1])
+                ranks[c, i] = p * (first[f"n_{c}"] - 1)
+    if not brackets:
+        return out
+    found = _counts(df, brackets)
+    missed = [k for k, (below, n) in found.items() if not below <= int(ranks[k]) or not math.ceil(ranks[k]) < below + n]
+    if missed:
+        brackets |= {k: (-math.inf, math.inf) for k in missed}
+        found = _counts(df, brackets)
+
+    inside = [
+        F.when(F.col(c).cast("double").between(low, high), F.struct(F.lit(f"{c}\u0001{i}").alias("k"), F.col(c).cast("double").alias("v")))
+        for (c, i), (low, high) in brackets.items()
+    ]
     counted = (
-        df.select(pairs.alias("p")).select("p.c", "p.v").filter(F.col("v").isNotNull())
-        .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    )
-    running = cut_lineage(running_total(counted, [F.col("c"), F.col("v")], ["n"]))
-    bounds = running.groupBy("c").agg(F.min("n_before").alias("base"), F.sum("n").alias("total"))
-    ranks = bounds.select(
-        "c", "base",
-        F.explode(F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("total") - 1)).alias("pos"))
-                            for i, p in enumerate(probs)])).alias("r"),
-    ).select("c", "base", "r.i", "r.pos")
-    # ranks holds columns x probabilities rows; the running counts stay distributed
-    wanted = ranks.select("c", "i", "pos", (F.col("base") + F.floor("pos")).alias("lo"),
-                          (F.col("base") + F.ceil("pos")).alias("hi"))
-    hits = running.join(F.broadcast(wanted), "c").filter(
-        ((F.col("n_before") <= F.col("lo")) & (F.col("lo") < F.col("n_before") + F.col("n")))
-        | ((F.col("n_before") <= F.col("hi")) & (F.col("hi") < F.col("n_before") + F.col("n")))
+        df.select(F.explode(F.array_compact(F.array(*inside))).alias("p")).select("p.k", "p.v").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
     )
-    rows = hits.groupBy("c", "i", "pos").agg(F.min("v").alias("low"), F.max("v").alias("high")).collect()
-    out: dict[str, list] = {c: [None] * len(probs) for c in columns}
-    for r in rows:
-        share = r.pos - int(r.pos)
-        out[r.c][r.i] = r.low + (r.high - r.low) * share
+    keys = sorted(f"{c}\u0001{i}" for c, i in brackets)
+    start, offset = {}, 0  # the running count goes over all brackets, key by key
+    for key in keys:
+        c, i = key.split("\u0001")
+        start[key], offset = offset, offset + found[c, int(i)][1]
+    running = running_total(counted, [F.col("k"), F.col("v")], ["n"])
+    hit = F.lit(False)
+    for key in keys:
+        c, i = key.split("\u0001")
+        for rank in {int(ranks[c, int(i)]), math.ceil(ranks[c, int(i)])}:
+            at = start[key] + rank - found[c, int(i)][0]
+            hit = hit | ((F.col("n_before") <= at) & (F.col("n_before") + F.col("n") > at))
+    for r in running.filter(hit).groupBy("k").agg(F.min("v").alias("low"), F.max("v").alias("high")).collect():
+        c, i = r.k.split("\u0001")
+        rank = ranks[c, int(i)]
+        out[c][int(i)] = r.low + (r.high - r.low) * (rank - int(rank))
     return out

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom.session import cut_lineage
+from starloom.session import cut_lineage, small_side
 
 # The published Okapi defaults.
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -34,13 +34,17 @@ class BM25Index:
         self.docs = self._docs.select(
             self.doc_id, whitespace_tokens(F.col(self.text), self.lower).alias("tokens")
         ).withColumn("length", F.size("tokens"))
-        totals = self.docs.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("avgdl")).first()
-        self.n, self.avgdl = totals.n, totals.avgdl or 1.0
-        raw = F.ln(F.lit(self.n) - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
-        self.terms = cut_lineage(
-            self.docs.select(F.explode(F.array_distinct("tokens")).alias("term"))
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", raw)
+        # one pass counts terms, documents and tokens: the empty term stands for the document itself
+        terms = F.array_append(F.array_distinct("tokens"), F.lit(""))
+        counted = cut_lineage(
+            self.docs.select(F.explode(terms).alias("term"), "length").groupBy("term").agg(
+                F.count(F.lit(1)).alias("df"), F.sum("length").alias("length"))
         )
+        totals = counted.filter("term = ''").first()
+        self.n = totals.df if totals else 0
+        self.avgdl = (totals.length / totals.df if totals else 0.0) or 1.0
+        raw = F.ln(F.lit(self.n) - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
+        self.terms = counted.filter("term <> ''").select("term", "df", raw.alias("idf"))
         mean = self.terms.agg(F.avg("idf")).first()[0]
         # a term in more than half of the documents gets a share of the mean idf instead of a negative one
         self.floor = EPSILON * (mean or 0.0)
@@ -61,19 +65,20 @@ class BM25Index:
     def scores(self, queries: DataFrame, query_id: str, query_text: str) -> DataFrame:
         """(query, doc, score) of every pair sharing a term; other pairs score 0 and are not listed.
 
-        The corpus is cut to the query vocabulary before anything is shuffled.
+        Query and corpus tokens are cut to their common vocabulary before anything is shuffled.
         A repeated query term counts each time.
         """
-        asked = (
+        known = small_side(self.terms.select("term"))
+        asked = cut_lineage(
             queries.select(query_id, F.explode(whitespace_tokens(F.col(query_text), self.lower)).alias("term"))
-            .groupBy(query_id, "term").agg(F.count(F.lit(1)).alias("weight"))
+            .join(known, "term", "left_semi").groupBy(query_id, "term").agg(F.count(F.lit(1)).alias("weight"))
         )
         weighted = F.when(F.col("idf") < 0, F.lit(self.floor)).otherwise(F.col("idf"))
         vocabulary = self.terms.join(asked.select("term").distinct(), "term", "left_semi").select(
             "term", weighted.alias("idf")
         )
         matched = (
-            self.docs.select(self.doc_id, "length", F.explode("tokens").alias("term")).join(vocabulary, "term")
+            self.docs.select(self.doc_id, "length", F.explode("tokens").alias("term")).join(small_side(vocabulary), "term")
             .groupBy(self.doc_id, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("length").alias("length"),
                                               F.first("idf").alias("idf"))
         )

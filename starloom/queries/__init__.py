@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import importlib
 
+from starloom.session import spread
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -20,8 +22,13 @@ def query(sql: str | None = None):
     return add
 
 
+# text tables, whose rows are costly to process
+HEAVY = {"documents", "pages", "conversations"}
+
+
 def load(spark, folder: str, name: str):
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(table) if name in HEAVY else table
 
 
 def load_all() -> None:

@@ -12,6 +12,7 @@ from starloom.operators import graph as G
 from starloom.operators import rounds as RO
 from starloom.operators.retrieval import BM25Index
 from starloom.queries import load, query
+from starloom.session import spread
 
 PUNCT_SQL = T.PUNCTUATION.replace("'", "''")
 
@@ -313,7 +314,7 @@ def _logs(spark, sf):
         return F.concat(F.lit(f"Player{p}("), role, F.lit("): 49 | I vote to eliminate Player"), target, F.lit("\n"))
 
     rounds = [F.concat(F.lit(CALL), *[line(t, p) for p in range(1, 5)]) for t in (1, 2)]
-    return load(spark, sf, "orders").select(F.col("o_orderpriority").alias("folder"), F.concat(F.lit("game"), key.cast("string"), F.lit(".txt")).alias("file"), F.concat(*rounds).alias("log"))
+    return spread(load(spark, sf, "orders")).select(F.col("o_orderpriority").alias("folder"), F.concat(F.lit("game"), key.cast("string"), F.lit(".txt")).alias("file"), F.concat(*rounds).alias("log"))
 
 
 @query("""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(app: str = "starloom", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -44,6 +44,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input with few splits to all cores before costly per-row work.
+
+    A large input already has more splits than cores and is left alone, so no
+    shuffle is added where it would hurt.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a join side of narrow rows after counting them; a larger one keeps its shuffle join.
+
+    For sides whose size the optimizer cannot know, such as written or
+    aggregated tables.  Counting stops just above the limit.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and continue from there.
 
