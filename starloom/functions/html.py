@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
+from starloom.functions.rows import numbered_rows
+
 # Elements without visible text, media elements, and elements without an end tag.
 INVISIBLE = {"style", "script", "head", "title", "footer"}
 MEDIA = {"svg", "img", "video", "audio"}
@@ -125,7 +127,7 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
 
 def link_table(pages: DataFrame) -> DataFrame:
     """One row per link with its position and target host."""
-    links = parsed_pages(pages).select("page_id", F.posexplode("links").alias("pos", "link"))
+    links = numbered_rows(parsed_pages(pages), ["page_id"], F.col("links"), "pos", "link")
     return links.withColumn("host", F.lower(F.regexp_extract("link", r"^https?://([^/?#]*)", 1)))
 
 

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
+from starloom.functions.rows import numbered_rows
 from starloom.functions.text import similar_texts
 from starloom.session import cut_lineage
 
@@ -73,8 +74,7 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, threshold: float =
     """
     prints = docs.select(F.col(doc_id).alias("id"), F.sha2(text, 256).alias("h"), F.col(text).alias("t"))
     firsts = cut_lineage(prints.groupBy("h").agg(F.min("id").alias("rep"), F.min_by("t", "id").alias("t")))
-    keyed = firsts.select("rep", band_keys(F.col("t"), bands, rows, width).alias("keys"))
-    buckets = cut_lineage(keyed.select("rep", F.posexplode("keys").alias("band", "bucket")))
+    buckets = cut_lineage(numbered_rows(firsts, ["rep"], band_keys(F.col("t"), bands, rows, width), "band", "bucket"))
     heads = buckets.groupBy("band", "bucket").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     pairs = buckets.join(heads, ["band", "bucket"]).filter("rep != head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
     left, right = firsts.select(F.col("rep").alias("a"), F.col("t").alias("ta")), firsts.select(F.col("rep").alias("b"), F.col("t").alias("tb"))

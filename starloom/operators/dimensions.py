@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions import scalars as S
 from starloom.operators.ordering import number_rows
+from starloom.session import small_side
 
 
 def distinct_members(df: DataFrame, *columns: Column) -> DataFrame:
@@ -69,8 +70,7 @@ def contract_dimension(contracts: DataFrame, person: str, start: str, end: str)
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, on: dict[str, str], key: str) -> DataFrame:
-    """Left join adding a dimension's key.  No broadcast is forced: the optimizer
-    broadcasts a dimension only while it is under the size threshold."""
+    """Left join adding a dimension's key; the dimension is broadcast only after its rows were counted."""
     side = dim.select(*[F.col(d).alias(f"__{key}_{d}") for d in on.values()], key)
     same = reduce(lambda a, b: a & b, [F.col(f) == F.col(f"__{key}_{d}") for f, d in on.items()])
-    return fact.join(side, same, "left").drop(*[f"__{key}_{d}" for d in on.values()])
+    return fact.join(small_side(side), same, "left").drop(*[f"__{key}_{d}" for d in on.values()])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions import scalars as S
 from starloom.functions import text as T
+from starloom.functions.rows import element_rows
 from starloom.operators.ordering import running_total
 from starloom.session import cut_lineage
 
@@ -20,8 +21,8 @@ def best_f1(df: DataFrame, key: str, prediction: str, expected: str, keep_below:
     Rows under ``keep_below`` are marked as mismatches.
     """
     answers = F.filter(F.split(expected, r"\|"), lambda a: F.trim(a) != "")
-    parts = df.select(key, F.explode(answers).alias("a"), F.split(prediction, r"\|").alias("outs"))
-    pairs = parts.select(key, "a", F.explode("outs").alias("o"))
+    parts = element_rows(df, [key, prediction], answers, "a")
+    pairs = element_rows(parts, [key, "a"], F.split(prediction, r"\|"), "o")
     scored = pairs.select(key, text_f1(F.col("o"), F.col("a")).alias("f1"))
     return scored.groupBy(key).agg(F.max("f1").alias("score")).withColumn("is_mismatch", F.col("score") < keep_below)
 
@@ -150,12 +151,13 @@ def vote_report(logs: DataFrame, folder: str, file: str, log: str) -> DataFrame:
     Rates are rounded to two digits before they are averaged; the folder's
     first-round mean is attached to first rounds only.
     """
-    parts = logs.select(folder, file, F.explode(T.vote_chunks(F.col(log))).alias("__r"))
+    parts = element_rows(logs, [folder, file], T.vote_chunks(F.col(log)), "__r")
     # a one-element explode evaluates the ballots once instead of once per use
-    lines = parts.select(folder, file, "__r.vote_round", F.explode(F.array(T.ballots(F.col("__r.text")))).alias("b"))
+    lines = element_rows(parts, [folder, file, "__r.vote_round"], F.array(T.ballots(F.col("__r.text"))), "b")
     wolves = F.transform(F.filter("b", lambda x: x["role"] == "Werewolf"), lambda x: x["voter"])
     others = F.filter("b", lambda x: x["role"] != "Werewolf")
-    sides = lines.select(folder, file, "vote_round", F.explode(F.array(F.struct(wolves.alias("w"), others.alias("o"), F.size("b").alias("n")))).alias("s"))
+    split = F.array(F.struct(wolves.alias("w"), others.alias("o"), F.size("b").alias("n")))
+    sides = element_rows(lines, [folder, file, "vote_round"], split, "s")
     right = F.filter("s.o", lambda x: F.array_contains(F.col("s.w"), x["target"]))
     rates = cut_lineage(sides.filter(F.size("s.o") > 0).select(
         folder, file, "vote_round", F.bround(F.size(right) / F.size("s.o"), 2).alias("good_vote_rate"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions import scalars as S
+from starloom.session import cut_lineage, small_side
 
 
 def interaction_counts(events: DataFrame, time: str, keys: list[str], kind: str, kinds: list[str]) -> DataFrame:
@@ -49,7 +50,7 @@ def active_months(contracts: DataFrame, start: str, end: str, continuous: bool =
     Each contract lists its own months and meets the spine by equality, which
     replaces the BETWEEN join (a Cartesian product) of the literal form.
     """
-    months = month_spine(contracts, start, end, continuous)
+    months = cut_lineage(month_spine(contracts, start, end, continuous))
     last = months.agg(F.max("month_date")).first()[0]
     if last is None:
         return contracts.withColumn("month_date", F.lit(None).cast("date")).limit(0)
@@ -57,7 +58,7 @@ def active_months(contracts: DataFrame, start: str, end: str, continuous: bool =
     listed = contracts.filter(F.col(start).isNotNull() & (begin <= finish)).withColumn(
         "month_date", F.explode(F.sequence(begin, finish, F.expr("interval 1 month")))
     )
-    return listed if continuous else listed.join(months, "month_date", "left_semi")
+    return listed if continuous else listed.join(small_side(months), "month_date", "left_semi")
 
 
 def first_contract_per_month(active: DataFrame, person: str, start: str, tie: list[str]) -> DataFrame:

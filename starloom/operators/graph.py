@@ -58,6 +58,7 @@ def _file_kind(path: Column) -> Column:
 
 def file_triples(files: DataFrame) -> DataFrame:
     """Triples of files (file, classes array<struct<name,methods>>, functions, globals)."""
+    files = cut_lineage(files)  # read by every part below
     f = F.col("file")
     classes = files.select("file", F.explode("classes").alias("c")).select("file", "c.name", "c.methods")
     methods = classes.select("file", "name", F.explode("methods").alias("m"))

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from starloom.functions.rows import element_rows
 from starloom.session import cut_lineage, small_side
 
 # The published Okapi defaults.
@@ -37,7 +38,7 @@ class BM25Index:
         # one pass counts terms, documents and tokens: the empty term stands for the document itself
         terms = F.array_append(F.array_distinct("tokens"), F.lit(""))
         counted = cut_lineage(
-            self.docs.select(F.explode(terms).alias("term"), "length").groupBy("term").agg(
+            element_rows(self.docs, ["length"], terms, "term").groupBy("term").agg(
                 F.count(F.lit(1)).alias("df"), F.sum("length").alias("length"))
         )
         totals = counted.filter("term = ''").first()
@@ -70,7 +71,7 @@ class BM25Index:
         """
         known = small_side(self.terms.select("term"))
         asked = cut_lineage(
-            queries.select(query_id, F.explode(whitespace_tokens(F.col(query_text), self.lower)).alias("term"))
+            element_rows(queries, [query_id], whitespace_tokens(F.col(query_text), self.lower), "term")
             .join(known, "term", "left_semi").groupBy(query_id, "term").agg(F.count(F.lit(1)).alias("weight"))
         )
         weighted = F.when(F.col("idf") < 0, F.lit(self.floor)).otherwise(F.col("idf"))
@@ -78,7 +79,7 @@ class BM25Index:
             "term", weighted.alias("idf")
         )
         matched = (
-            self.docs.select(self.doc_id, "length", F.explode("tokens").alias("term")).join(small_side(vocabulary), "term")
+            element_rows(self.docs, [self.doc_id, "length"], F.col("tokens"), "term").join(small_side(vocabulary), "term")
             .groupBy(self.doc_id, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("length").alias("length"),
                                               F.first("idf").alias("idf"))
         )

@@ -62,7 +62,10 @@ def stream_increments(spark, sf):
 
 
 BUDGET = 150
-_WEIGHT = (F.floor("value") % 10 + 1).cast("bigint")
+
+
+def _weight():
+    return (F.floor("value") % 10 + 1).cast("bigint")
 
 
 @query("""
@@ -71,7 +74,7 @@ r AS (SELECT user_id, event_id, i, 150 - w AS remaining FROM e WHERE i = 1
  UNION ALL SELECT e.user_id, e.event_id, e.i, CASE WHEN r.remaining <= 0 THEN 150 ELSE r.remaining END - e.w FROM r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1)
 SELECT user_id, event_id, CAST(remaining AS BIGINT) AS remaining, remaining <= 0 AS triggered FROM r""")
 def budget_trigger(spark, sf):
-    e = load(spark, sf, "events").select("user_id", "ts", "event_id", _WEIGHT.alias("weight"))
+    e = load(spark, sf, "events").select("user_id", "ts", "event_id", _weight().alias("weight"))
     return budget_triggers(e, "user_id", ["ts", "event_id"], "weight", BUDGET).select("user_id", "event_id", "remaining", "triggered")
 
 
@@ -81,7 +84,7 @@ r AS (SELECT user_id, event_id, i, 150 - w AS remaining FROM e WHERE i = 1
  UNION ALL SELECT e.user_id, e.event_id, e.i, CASE WHEN r.remaining <= 0 THEN 150 ELSE r.remaining END - e.w FROM r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1)
 SELECT user_id, event_id FROM r WHERE remaining <= 0""")
 def stream_budget_trigger(spark, sf):
-    return ST.drain(ST.budget_stream(_stream(spark, sf).withColumn("weight", _WEIGHT), "user_id", ["event_id"], "weight", BUDGET), "budget")
+    return ST.drain(ST.budget_stream(_stream(spark, sf).withColumn("weight", _weight()), "user_id", ["event_id"], "weight", BUDGET), "budget")
 
 
 @query("SELECT doc_id, lang, source, n_chars FROM documents")

@@ -10,10 +10,11 @@ from starloom.functions import code as CO
 from starloom.functions import html as H
 from starloom.functions import scalars as S
 from starloom.functions import text as T
+from starloom.functions.rows import numbered_rows
 from starloom.operators import graph as G
 from starloom.queries import load, query
 from starloom.queries.evaluation import PUNCT_SQL
-from starloom.session import scratch_path
+from starloom.session import cut_lineage, scratch_path
 from starloom.sources import sinks as SI
 
 _ENTITIES = "replace(replace(replace(replace({0}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
@@ -69,7 +70,7 @@ def text_tokens(spark, sf):
 
 @query()
 def chunk_lines(spark, sf):
-    d = load(spark, sf, "documents").select("doc_id", F.posexplode(T.pack_lines(F.col("text"), 400, 100)).alias("pos", "chunk"))
+    d = numbered_rows(load(spark, sf, "documents"), ["doc_id"], T.pack_lines(F.col("text"), 400, 100), "pos", "chunk")
     return d.withColumn("tokens", T.word_count(F.col("chunk")))
 
 
@@ -78,7 +79,7 @@ WITH w AS (SELECT doc_id, text, length(text) AS n FROM documents),
 s AS (SELECT doc_id, text, n, unnest(CASE WHEN n <= 500 THEN [0] ELSE range(0, least((n - 500) // 480 + 1, (n - 1) // 480) + 1) END) AS i FROM w)
 SELECT doc_id, CAST(i AS INTEGER) AS pos, CASE WHEN n <= 500 THEN text ELSE substr(text, i * 480 + 1, 500) END AS piece FROM s""")
 def chunk_windows(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", F.posexplode(T.char_windows(F.col("text"), 500)).alias("pos", "piece"))
+    return numbered_rows(load(spark, sf, "documents"), ["doc_id"], T.char_windows(F.col("text"), 500), "pos", "piece")
 
 
 @query("""
@@ -149,7 +150,7 @@ def section_repair(spark, sf):
 @query("SELECT event_id, 0 AS pos, props || chr(10) AS block FROM events UNION ALL SELECT event_id, 1, '[' || user_id || ']' || chr(10) FROM events")
 def fenced_blocks(spark, sf):
     text = F.concat(F.lit("See:\n```json\n"), "props", F.lit("\n```\nand\n```python\nx = 1\n```\n```json\n["), F.col("user_id").cast("string"), F.lit("]\n```"))
-    return load(spark, sf, "events").select("event_id", F.posexplode(S.fenced_blocks(text)).alias("pos", "block"))
+    return numbered_rows(load(spark, sf, "events"), ["event_id"], S.fenced_blocks(text), "pos", "block")
 
 
 def _sources(spark, sf):
@@ -167,6 +168,7 @@ _FILES = "f AS (SELECT 'src/p' || page_id || '.py' AS file, page_id AS n, page_i
 UNION ALL SELECT file, 'function', 'load_' || n FROM f WHERE NOT bad UNION ALL SELECT file, 'global', 'LIMIT_' || n FROM f WHERE NOT bad UNION ALL SELECT file, 'error', '' FROM f WHERE bad""")
 def code_symbols(spark, sf):
     s = CO.file_symbols(_sources(spark, sf))
+    s = cut_lineage(s)  # parsed once for the five parts
     classes = s.select("file", F.explode("classes").alias("c"))
     parts = [classes.select("file", F.lit("class").alias("kind"), F.col("c.name").alias("name")),
              classes.select("file", F.lit("method").alias("kind"), F.explode("c.methods").alias("m"), F.col("c.name").alias("n")).select("file", "kind", F.concat_ws(".", "n", "m").alias("name")),

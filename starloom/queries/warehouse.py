@@ -9,6 +9,7 @@ from starloom.operators import dimensions as D
 from starloom.operators import facts as FA
 from starloom.operators.ordering import number_rows, rank_rows
 from starloom.queries import load, query
+from starloom.session import cut_lineage
 
 AS_OF = "2005-06-15"
 
@@ -30,7 +31,8 @@ def contracts(spark, sf):
         F.when(last < F.lit("2001-01-01").cast("timestamp_ntz"), last.cast("date")).alias("end_date"),
     )
     birth = F.date_add(F.lit("1940-01-01").cast("date"), (F.col("person_id") * 37 % 20000).cast("int"))
-    return rows.withColumn("birth_date", birth)
+    # spine, snapshot and dimensions all read the contracts: group the orders once
+    return cut_lineage(rows.withColumn("birth_date", birth))
 
 
 CONTRACTS = """contracts AS (

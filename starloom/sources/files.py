@@ -8,6 +8,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from starloom.functions import text as T
+from starloom.functions.rows import element_rows
 from starloom.session import cut_lineage
 
 # Readable table extensions and the classes of corpus files.
@@ -107,7 +108,7 @@ def stream_columns(catalogs: DataFrame, column: str) -> DataFrame:
     A document is ``{"streams": [{"name": .., "json_schema": {"properties": {..}}}]}``.
     """
     shape = "struct<streams: array<struct<name: string, json_schema: struct<properties: map<string, struct<type: string>>>>>>"
-    streams = catalogs.select(F.explode(F.from_json(column, shape).getField("streams")).alias("s"))
+    streams = element_rows(catalogs, [], F.from_json(column, shape).getField("streams"), "s")
     fields = streams.select(F.col("s.name").alias("stream"), F.explode("s.json_schema.properties").alias("field", "t"))
     listed = F.from_json("t.type", "array<string>")
     kind = F.coalesce(F.try_element_at(F.filter(listed, lambda x: x != "null"), F.lit(1)), F.when(listed.isNull(), F.col("t.type")), F.lit("string"))
@@ -123,7 +124,7 @@ def indexable(spark: SparkSession, path: str, content: str = "content") -> DataF
         df = spark.read.option("multiLine", True).json(path)
     elif extension == ".txt":
         whole = spark.read.text(path, wholetext=True).withColumn("file_path", F.input_file_name())
-        return whole.select("file_path", F.explode(line_chunks(F.col("value"))).alias(content))
+        return element_rows(whole, ["file_path"], line_chunks(F.col("value")), content)
     else:
         raise NotImplementedError(f"no reader for {extension}")
     if content not in df.columns:

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from starloom.functions.rows import numbered_rows
 from starloom.sources.catalog import safe_identifier
 from starloom.sources.files import read_table
 
@@ -108,5 +109,5 @@ def load_triples(spark: SparkSession, folder: str) -> DataFrame:
 def triples_from_links(documents: DataFrame, column: str) -> DataFrame:
     """Triples of node-link JSON documents (links with source, target, predicate)."""
     shape = "struct<links: array<struct<source: string, target: string, predicate: string>>>"
-    links = documents.select(F.posexplode(F.from_json(column, shape).getField("links")).alias("seq", "l"))
+    links = numbered_rows(documents, [], F.from_json(column, shape).getField("links"), "seq", "l")
     return links.select(F.col("l.source").alias("subject"), "l.predicate", F.col("l.target").alias("object"), "seq")
