@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions import scalars as S
-from starloom.session import cut_lineage, small_side
+from starloom.session import cut_lineage, small_side, spread
 
 
 def interaction_counts(events: DataFrame, time: str, keys: list[str], kind: str, kinds: list[str]) -> DataFrame:
@@ -55,7 +55,8 @@ def active_months(contracts: DataFrame, start: str, end: str, continuous: bool =
     if last is None:
         return contracts.withColumn("month_date", F.lit(None).cast("date")).limit(0)
     begin, finish = F.trunc(start, "MM"), F.coalesce(F.trunc(end, "MM"), F.lit(last))
-    listed = contracts.filter(F.col(start).isNotNull() & (begin <= finish)).withColumn(
+    # a contract becomes as many rows as it has months, so few splits are spread first
+    listed = spread(contracts.filter(F.col(start).isNotNull() & (begin <= finish))).withColumn(
         "month_date", F.explode(F.sequence(begin, finish, F.expr("interval 1 month")))
     )
     return listed if continuous else listed.join(small_side(months), "month_date", "left_semi")

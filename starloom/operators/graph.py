@@ -176,6 +176,14 @@ def node_totals(nodes: DataFrame) -> DataFrame:
     return total.withColumn("avg_value", F.when(F.col("visits") == 0, 0.0).otherwise(F.col("value") / F.col("visits")))
 
 
+def distinct_instructions(nodes: DataFrame, instructions: str) -> DataFrame:
+    """Nodes, instructions in all of them, and distinct instructions."""
+    said = nodes.select("node", F.explode_outer(instructions).alias("__i"))
+    per = said.groupBy("__i").agg(F.count(F.lit(1)).alias("__n"))
+    return per.agg(F.coalesce(F.sum(F.when(F.col("__i").isNotNull(), F.col("__n"))), F.lit(0)).alias("instructions"),
+                   F.count("__i").alias("distinct_instructions"))
+
+
 # Exploration weight and the visit count standing in for none.
 EXPLORE, UNVISITED = 1.4, 0.8
 

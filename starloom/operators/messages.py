@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from starloom.operators.ordering import number_in_groups
+
 ALL_RECIPIENTS = "<all>"
 
 
@@ -112,6 +114,11 @@ def keyword_postings(records: DataFrame, record_id: str, keywords: str, seq: str
     return records.select(F.explode(F.array_distinct(F.transform(keywords, F.lower))).alias("keyword"), record_id, seq)
 
 
+def ranked_postings(postings: DataFrame, record_id: str, seq: str) -> DataFrame:
+    """Postings with their position in the keyword's newest-first list, also for a keyword most records share."""
+    return number_in_groups(postings, ["keyword"], [F.col(seq).desc(), F.col(record_id).desc()], "position")
+
+
 def last_by_keyword(postings: DataFrame, record_id: str, seq: str) -> DataFrame:
     """Newest record of each keyword and the number of records holding it."""
     return postings.groupBy("keyword").agg(

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom.functions.rows import element_rows
+from starloom.functions.rows import element_rows, numbered_rows
 from starloom.session import cut_lineage, small_side
 
 # The published Okapi defaults.
@@ -167,6 +167,14 @@ def change_state(new: DataFrame, stored: DataFrame, path: str, content: str, tok
     return prints.join(old, F.col(path) == F.col("__path"), "left").select(path, "fingerprint", state.alias("state"))
 
 
+def build_index(docs: DataFrame, path: str, content: str, pieces: Column, folder: str) -> DataFrame:
+    """Chunk rows (file_path, pos, text, fingerprint of the file) written to ``folder`` and read back."""
+    marked = docs.select(F.col(path).alias("file_path"), F.sha2(content, 256).alias("fingerprint"), pieces.alias("__pieces"))
+    chunks = numbered_rows(marked, ["file_path", "fingerprint"], F.col("__pieces"), "pos", "text")
+    chunks.write.mode("overwrite").parquet(folder)
+    return docs.sparkSession.read.parquet(folder)
+
+
 def replace_files(index: DataFrame, added: DataFrame, path: str) -> DataFrame:
     """Index rows of the added files are replaced by the new ones."""
     return index.join(added.select(path).distinct(), path, "left_anti").unionByName(added)

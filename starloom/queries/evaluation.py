@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from starloom.functions import scalars as S
 from starloom.functions import text as T
 from starloom.operators import evals as E
 from starloom.operators import graph as G
@@ -111,16 +112,16 @@ def acc_three(spark, sf):
 
 
 def _doc_pairs(spark, sf):
-    """Documents 2i and 2i + 1: whole texts as response and reference."""
+    """Every document with its successor: whole texts as response and reference."""
     d = load(spark, sf, "documents")
-    half = F.floor(F.col("doc_id") / 2)
-    left = d.filter("doc_id % 2 = 0").select(half.alias("pair_id"), F.col("text").alias("response"))
-    right = d.filter("doc_id % 2 = 1").select(half.alias("pair_id"), F.col("text").alias("reference"))
+    left = d.select(F.col("doc_id").alias("pair_id"), F.col("text").alias("response"))
+    right = d.select((F.col("doc_id") - 1).alias("pair_id"), F.col("text").alias("reference"))
     return left.join(right, "pair_id")
 
 
 @query("""
-WITH t AS (SELECT doc_id // 2 AS pair_id, doc_id % 2 AS side, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS ts FROM documents),
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS ts FROM documents),
+t AS (SELECT doc_id AS pair_id, 0 AS side, ts FROM w WHERE doc_id + 1 IN (SELECT doc_id FROM w) UNION ALL SELECT doc_id - 1, 1, ts FROM w WHERE doc_id - 1 IN (SELECT doc_id FROM w)),
 w0 AS (SELECT pair_id, side, unnest(ts) AS w, unnest(range(len(ts))) AS pos FROM t),
 w1 AS (SELECT pair_id, side, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM w0 WINDOW o AS (PARTITION BY pair_id, side ORDER BY pos)),
 g AS (SELECT pair_id, side, 1 AS n, w AS gram FROM w1 UNION ALL SELECT pair_id, side, 2, w || ' ' || w2 FROM w1 WHERE w2 IS NOT NULL
@@ -364,3 +365,20 @@ def node_uct(spark, sf):
 @query("SELECT 'p' || p_partkey AS node, p_size AS score FROM part ORDER BY p_size DESC, p_type, p_brand, p_partkey LIMIT 1")
 def best_tree_node(spark, sf):
     return G.best_node(_tree(spark, sf).select("node", "parent", "place", "score"), "score")
+
+
+@query("SELECT count(*) * 2 AS instructions, (SELECT count(*) FROM (SELECT p_type AS i FROM part UNION SELECT p_brand FROM part)) AS distinct_instructions FROM part")
+def tree_instructions(spark, sf):
+    nodes = load(spark, sf, "part").select(F.col("p_partkey").alias("node"), F.array("p_type", "p_brand").alias("insights"))
+    return G.distinct_instructions(nodes, "insights")
+
+
+@query("""
+SELECT a.vec_id AS pair_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""")
+def semantic_similarity(spark, sf):
+    """Cosine of the stored vectors of a response and its reference, the next one."""
+    e = load(spark, sf, "embeddings")
+    response = e.select(F.col("vec_id").alias("pair_id"), F.col("embedding").alias("a"))
+    reference = e.select((F.col("vec_id") - 1).alias("pair_id"), F.col("embedding").alias("b"))
+    return response.join(reference, "pair_id").select("pair_id", F.round(S.cosine(F.col("a"), F.col("b")), 6).alias("similarity"))

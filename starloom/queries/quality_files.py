@@ -340,3 +340,42 @@ def fingerprint_diff(spark, sf):
     stored = d.join(labels, "doc_id").select("doc_id", F.when(F.col("quality") == 1, T.fingerprint(F.col("text"))).otherwise(
         T.fingerprint(F.concat("text", F.lit("!")))).alias("fingerprint"))
     return change_state(d, stored, "doc_id", "text", T.word_count(F.col("text")), 100, 100_000).select("doc_id", "state", "fingerprint")
+
+
+_NEEDS = [
+    {"item": "revenue by segment", "kind": "kpi", "tables": ["orders", "customer"], "columns": ["orders.o_totalprice", "customer.c_mktsegment"], "links": [("orders", "customer")]},
+    {"item": "margin by part", "kind": "kpi", "tables": ["lineitem", "part"], "columns": ["lineitem.l_cost"], "links": [("lineitem", "part")]},
+    {"item": "who buys what", "kind": "question", "tables": ["customer", "lineitem"], "columns": [], "links": [("customer", "part")]},
+    {"item": "events feed", "kind": "source", "tables": ["events"], "columns": [], "links": []},
+    {"item": "returns feed", "kind": "source", "tables": ["returns"], "columns": [], "links": []},
+]
+
+
+@query("""
+WITH links AS (SELECT 'orders' AS a, 'customer' AS b, (SELECT count(*) FROM orders ANTI JOIN customer ON o_custkey = c_custkey) AS lost
+ UNION ALL SELECT 'lineitem', 'part', (SELECT count(*) FROM lineitem ANTI JOIN part ON l_partkey = p_partkey)),
+ok AS (SELECT * FROM links WHERE lost = 0)
+SELECT 'revenue by segment' AS item, 'kpi' AS kind, CASE WHEN (SELECT count(*) FROM ok WHERE a = 'orders') = 1 THEN 'COMPUTABLE' ELSE 'NOT COMPUTABLE' END AS status,
+ CASE WHEN (SELECT count(*) FROM ok WHERE a = 'orders') = 1 THEN '' ELSE 'orders->customer' END AS detail
+UNION ALL SELECT 'margin by part', 'kpi', 'NOT COMPUTABLE', 'lineitem.l_cost' || CASE WHEN (SELECT count(*) FROM ok WHERE a = 'lineitem') = 1 THEN '' ELSE ', lineitem->part' END
+UNION ALL SELECT 'who buys what', 'question', 'NOT SUPPORTED', 'customer->part' UNION ALL SELECT 'events feed', 'source', 'INGESTED', ''
+UNION ALL SELECT 'returns feed', 'source', 'NOT INGESTED', 'returns'""")
+def dq_needs(spark, sf):
+    """Declared questions, KPIs and sources against the tables and the references that hold."""
+    tables = {t: load(spark, sf, t) for t in TABLES}
+    checks = _union([Q.orphan_count(tables[f], a, tables[d], p, f"{f}>{d}") for f, a, d, p in LINKS if f in ("orders", "lineitem") and d != "orders"])
+    holding = {tuple(r.reference.split(">")) for r in checks.filter("is_valid").collect()}
+    rows = Q.needs_met({t: df.schema for t, df in tables.items()}, holding, _NEEDS)
+    return spark.createDataFrame(rows, "item string, kind string, status string, detail string")
+
+
+@query("SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS day FROM orders UNION ALL SELECT l_orderkey, CAST(l_shipdate AS DATE) FROM lineitem")
+def union_all_rows(spark, sf):
+    o = load(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("day"))
+    return o.unionByName(load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").cast("date").alias("day")))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey LIMIT 100")
+def ordered_top(spark, sf):
+    rows = load(spark, sf, "lineitem").orderBy(F.col("l_extendedprice").desc_nulls_last(), "l_orderkey", "l_linenumber", "l_partkey")
+    return rows.select("l_orderkey", "l_linenumber", "l_extendedprice").limit(100)

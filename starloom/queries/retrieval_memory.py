@@ -11,6 +11,7 @@ from starloom.operators import messages as M
 from starloom.operators import retrieval as R
 from starloom.operators import vectors as V
 from starloom.queries import load, query
+from starloom.session import scratch_path
 
 NOW = "2024-02-01 00:00:00"
 WIDTH = 64
@@ -30,10 +31,10 @@ def msg_by_role(spark, sf):
     return M.by_content(M.by_role(_messages(spark, sf), "user"), "the").select("seq", "role", "content")
 
 
-@query(f"WITH {_MSG} SELECT seq, role, content FROM m WHERE role IN ('system', 'assistant') AND conv_id IN (1, 2, 3, 5, 8)")
-def msg_metadata_filter(spark, sf):
-    wanted = {"role": ["system", "assistant"], "conv_id": [1, 2, 3, 5, 8]}
-    return _messages(spark, sf).filter(S.metadata_filter(wanted)).select("seq", "role", "content")
+@query("SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')")
+def metadata_filter(spark, sf):
+    wanted = {"o_orderstatus": "F", "o_orderpriority": ["1-URGENT", "2-HIGH"]}
+    return load(spark, sf, "orders").filter(S.metadata_filter(wanted)).select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
 @query(f"WITH {_MSG} SELECT seq, role, content FROM m ORDER BY seq DESC LIMIT 50")
@@ -114,6 +115,13 @@ def keyword_index(spark, sf):
     return M.last_by_keyword(M.keyword_postings(_records(spark, sf), "event_id", "keywords", "event_id").select("keyword", "event_id"), "event_id", "event_id")
 
 
+@query(f"WITH {_POST} SELECT keyword, event_id, row_number() OVER (PARTITION BY keyword ORDER BY event_id DESC) AS position FROM post")
+def keyword_positions(spark, sf):
+    """The newest-first list of every keyword, as rows."""
+    postings = M.keyword_postings(_records(spark, sf).withColumn("seq", F.col("event_id")), "event_id", "keywords", "seq")
+    return M.ranked_postings(postings, "event_id", "seq").select("keyword", "event_id", "position")
+
+
 @query(f"WITH {_POST} SELECT keyword, count(*) AS strength FROM post WHERE NOT idle GROUP BY keyword")
 def keyword_strength(spark, sf):
     return M.keyword_strength(_records(spark, sf), "keywords", "p", "o")
@@ -371,6 +379,24 @@ def index_merge(spark, sf):
     return R.recall_merge(found, "index_id", 30)
 
 
+@query("""
+WITH w AS (SELECT doc_id, source, text, length(text) AS n FROM documents),
+s AS (SELECT doc_id, source, text, n, unnest(CASE WHEN n <= 500 THEN [0] ELSE range(0, least((n - 500) // 480 + 1, (n - 1) // 480) + 1) END) AS i FROM w)
+SELECT source || '/' || doc_id AS file_path, CAST(i AS INTEGER) AS pos, sha256(text) AS fingerprint, length(substr(text, i * 480 + 1, 500)) AS chars FROM s""")
+def index_build(spark, sf):
+    """Every document cut into overlapping windows, written as an index and read back."""
+    d = load(spark, sf, "documents").select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), "text")
+    index = R.build_index(d, "path", "text", T.char_windows(F.col("text"), 500), scratch_path(spark, "index"))
+    return index.select("file_path", "pos", "fingerprint", F.length("text").cast("bigint").alias("chars"))
+
+
+@query("""
+SELECT doc_id, substr(text, 1, CAST(length(text) // 10 * 6 AS INTEGER)) AS head, substr(text, CAST(length(text) // 10 * 4 AS INTEGER) + 1) AS tail FROM documents""")
+def index_half_windows(spark, sf):
+    parts = load(spark, sf, "documents").select("doc_id", R.half_windows(F.col("text")).alias("w"))
+    return parts.select("doc_id", F.element_at("w", 1).alias("head"), F.element_at("w", 2).alias("tail"))
+
+
 @query("""SELECT source AS file_path, count(*) AS chunks, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents WHERE source NOT IN ('src3', 'src5') GROUP BY source
 UNION ALL SELECT 'src3', 2 * count(*), CAST(2 * sum(length(text)) AS BIGINT) FROM documents WHERE source = 'src3'""")
 def index_replace_delete(spark, sf):
