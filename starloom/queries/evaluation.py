@@ -120,8 +120,8 @@ def _doc_pairs(spark, sf):
 
 
 @query("""
-WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS ts FROM documents),
-t AS (SELECT doc_id AS pair_id, 0 AS side, ts FROM w WHERE doc_id + 1 IN (SELECT doc_id FROM w) UNION ALL SELECT doc_id - 1, 1, ts FROM w WHERE doc_id - 1 IN (SELECT doc_id FROM w)),
+WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS ts FROM documents),
+t AS (SELECT doc_id AS pair_id, 0 AS side, ts FROM words WHERE doc_id + 1 IN (SELECT doc_id FROM words) UNION ALL SELECT doc_id - 1, 1, ts FROM words WHERE doc_id - 1 IN (SELECT doc_id FROM words)),
 w0 AS (SELECT pair_id, side, unnest(ts) AS w, unnest(range(len(ts))) AS pos FROM t),
 w1 AS (SELECT pair_id, side, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM w0 WINDOW o AS (PARTITION BY pair_id, side ORDER BY pos)),
 g AS (SELECT pair_id, side, 1 AS n, w AS gram FROM w1 UNION ALL SELECT pair_id, side, 2, w || ' ' || w2 FROM w1 WHERE w2 IS NOT NULL
