@@ -21,15 +21,16 @@ def interaction_counts(events: DataFrame, time: str, keys: list[str], kind: str,
 def customer_summary(purchases: DataFrame, customer: str, day: str, price: str) -> DataFrame:
     """Per customer and day: purchases, new / returning flags, frequency and average value.
 
-    The grain is the day although the month is carried along.
+    The grain is the day although the month is carried along, so a group holds
+    one distinct day, or none when the day is unknown.
     """
-    total = F.count(F.lit(1))
+    total, days = F.count(F.lit(1)), F.max(F.col(day).isNotNull().cast("int"))
     return purchases.groupBy(day, customer).agg(
         F.trunc(F.first(day), "MM").alias("month_start"),
         total.alias("total_purchases"),
         (total > 1).alias("returning_customer_flag"),
         (total == 1).alias("new_customer_flag"),
-        S.guarded_ratio(total, F.count_distinct(F.col(day))).alias("purchase_frequency"),
+        S.guarded_ratio(total, days).alias("purchase_frequency"),
         F.avg(F.coalesce(F.col(price), F.lit(0.0))).alias("average_order_value"),
     )
 

@@ -125,14 +125,14 @@ def reachable(edges: DataFrame, sources: DataFrame, max_rounds: int = 10_000) ->
     leave by an anti-join.  A node reached over many edges is reduced to one row
     before the anti-join, so a hub does not multiply.
     """
-    visited = cut_lineage(sources.select("node").distinct().withColumn("depth", F.lit(0)))
-    frontier = visited
+    frontier = cut_lineage(sources.select("node").distinct().withColumn("depth", F.lit(0)))
+    visited = frontier
     for depth in range(1, max_rounds + 1):
         step = edges.join(frontier.select(F.col("node").alias("src")), "src", "left_semi").select(F.col("dst").alias("node")).distinct()
         frontier = cut_lineage(step.join(visited, "node", "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             return visited
-        visited = cut_lineage(visited.unionByName(frontier))
+        visited = visited.unionByName(frontier)  # every frontier is written once
     raise RuntimeError(f"no end after {max_rounds} rounds")
 
 

@@ -106,7 +106,7 @@ def answer_map_score(spark, sf):
 
 
 @query(f"""WITH {_ANSWERS}, q AS (SELECT p_partkey, sum(is_correct::INT) AS ok, count(*) AS n FROM a GROUP BY 1)
-SELECT round(avg((ok = n)::INT), 4) AS accuracy_by_question, round(sum(ok) / sum(n), 4) AS accuracy_by_sub_question, round(avg(ok / n), 4) AS proportional_accuracy FROM q""")
+SELECT round_even(avg((ok = n)::INT), 4) AS accuracy_by_question, round_even(sum(ok) / sum(n), 4) AS accuracy_by_sub_question, round_even(avg(ok / n), 4) AS proportional_accuracy FROM q""")
 def acc_three(spark, sf):
     return E.three_accuracies(E.score_answers(*_answers(spark, sf), "p_partkey"), "p_partkey")
 
@@ -188,9 +188,7 @@ SELECT round((SELECT avg((t = p)::INT) FROM x), 6) AS accuracy, round((SELECT f1
 def cls_scores(spark, sf):
     x = load(spark, sf, "labels").join(load(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id").select(
         F.col("quality").alias("t"), F.when(F.col("n_chars") > 1000, 1).otherwise(0).alias("p"), F.col("n_chars").alias("s"))
-    scores, auc = E.classification_scores(x, "t", "p"), E.roc_auc(x, "t", "s")
-    # two one-row results side by side
-    both = scores.withColumn("one", F.lit(1)).join(auc.withColumn("one", F.lit(1)), "one").drop("one")
+    both = E.classification_scores(x, "t", "p").withColumn("roc_auc", F.lit(E.roc_auc(x, "t", "s").first()[0]))
     return both.select(*[F.round(c, 6).alias(c) for c in both.columns])
 
 

@@ -282,7 +282,7 @@ mem AS (SELECT event_id AS memory_id, CAST(embedding AS DOUBLE[]) AS v, ts + INT
  pow(0.99, floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(ts)) / 86400000000)) AS rec FROM events JOIN embeddings ON event_id = vec_id WHERE {where}),
 r AS (SELECT query_id, memory_id, accessed, imp, rec, list_cosine_similarity(v, qv) AS rel FROM mem, c),
 s AS (SELECT *, min(imp) OVER w AS i0, max(imp) OVER w AS i1, min(rec) OVER w AS r0, max(rec) OVER w AS r1, min(rel) OVER w AS l0, max(rel) OVER w AS l1 FROM r WINDOW w AS (PARTITION BY query_id)),
-t AS (SELECT query_id, memory_id, accessed, round((imp - i0) / (i1 - i0) + (rec - r0) / (r1 - r0) + (rel - l0) / (l1 - l0), 6) AS score FROM s)
+t AS (SELECT query_id, memory_id, accessed, round(CASE WHEN i1 = i0 THEN 0.5 ELSE (imp - i0) / (i1 - i0) END + CASE WHEN r1 = r0 THEN 0.5 ELSE (rec - r0) / (r1 - r0) END + CASE WHEN l1 = l0 THEN 0.5 ELSE (rel - l0) / (l1 - l0) END, 6) AS score FROM s)
 SELECT query_id, memory_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, accessed DESC, memory_id) AS INTEGER) AS rank FROM t QUALIFY rank <= {k}"""
 
 

@@ -17,7 +17,8 @@ from starloom.queries.evaluation import PUNCT_SQL
 from starloom.session import cut_lineage, scratch_path
 from starloom.sources import sinks as SI
 
-_ENTITIES = "replace(replace(replace(replace({0}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
+# a page may be cut off inside an entity: the semicolon is optional
+_ENTITIES = "regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '&quot;?', '\"', 'g'), '&middot;?', '·', 'g'), '&copy;?', '©', 'g'), '&amp;?', '&', 'g')"
 
 
 @query(f"SELECT page_id, trim({_ENTITIES.format('regexp_extract(html, ' + chr(39) + '(?s)<title>(.*?)</title>' + chr(39) + ', 1)')}) AS title FROM pages")
