@@ -26,8 +26,9 @@ def budget_triggers(events: DataFrame, agent: str, order: list[str], weight: str
 
     The refill makes the state sequential, and one agent may own a third of all
     events.  With integer weights a state is one of ``budget`` numbers, so a
-    partition is summarised by what it turns each possible state into.  The
-    summaries (one short array per partition) are chained on the driver, then
+    partition owned by one agent is summarised by what it turns each possible
+    state into, any other one by its last agent's state.  The summaries (at most
+    one short array per partition) are chained on the driver, then
     every partition runs independently from its known starting state.
     """
     keyed = events.withColumn("__w", F.col(weight).cast("long"))
@@ -51,7 +52,8 @@ def budget_triggers(events: DataFrame, agent: str, order: list[str], weight: str
                     if tail <= 0:
                         tail = budget
         if pid is not None:
-            yield pd.DataFrame({"pid": [pid], "first": [first], "last": [last], "turns": [states.tolist()], "tail": [tail]})
+            # the whole table of states matters only where one agent fills the partition
+            yield pd.DataFrame({"pid": [pid], "first": [first], "last": [last], "turns": [states.tolist() if first == last else []], "tail": [tail]})
 
     rows = placed.select("__pid", agent, "__w").mapInPandas(
         summarise, f"pid int, first {kind}, last {kind}, turns array<long>, tail long").collect()

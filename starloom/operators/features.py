@@ -300,7 +300,8 @@ class GeneralSelection(FeatureTool):
         texts = [c for c in names if isinstance(df.schema[c].dataType, StringType) and row[f"n_{c}"] == row["__rows"]]
         unique = set()
         for c in texts:
-            if df.groupBy(c).count().filter("count > 1").isEmpty():
+            # a repeat among the first rows settles it; only otherwise all values are compared
+            if all(part.groupBy(c).count().filter("count > 1").isEmpty() for part in (df.select(c).limit(100_000), df)):
                 unique.add(c)
 
         def keep(c):
@@ -383,12 +384,25 @@ def target_views(df: DataFrame, target: str) -> dict[str, DataFrame]:
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """The n rows first in hash order, and the complement."""
+    """The n rows first in hash order, and the complement.
+
+    Rows are counted per leading hash bits (65 536 numbers on the driver); only
+    the bucket holding the n-th row is ordered, so n may be any share of the rows.
+    """
     order = df.withColumn("__h", hash_int(key, seed))
-    chosen = order.orderBy("__h", key).limit(n)
-    edge = chosen.agg(F.max(F.struct("__h", key)).alias("edge")).first().edge
+    bucket = F.floor(F.col("__h") / 65_536)
+    left, edge = n, None
+    for r in sorted(order.groupBy(bucket.alias("b")).count().collect()):
+        if left <= r["count"]:
+            if left > 0:
+                first = order.filter(bucket == r.b).select("__h", key).orderBy("__h", key).limit(left)
+                edge = first.agg(F.max(F.struct("__h", key)).alias("edge")).first().edge
+            break
+        left -= r["count"]
+    else:
+        return order.drop("__h"), order.limit(0).drop("__h")
     if edge is None:
-        return chosen.drop("__h"), order.drop("__h")
+        return order.limit(0).drop("__h"), order.drop("__h")
     at_or_before = (F.col("__h") < edge["__h"]) | ((F.col("__h") == edge["__h"]) & (F.col(key) <= edge[key]))
     return order.filter(at_or_before).drop("__h"), order.filter(~at_or_before).drop("__h")
 

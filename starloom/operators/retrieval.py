@@ -103,6 +103,12 @@ def top_per(df: DataFrame, key: str, order: list[Column], k: int, rank: str = "r
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
+def by_time_after_top_k(df: DataFrame, key: str, score: list[Column], k: int, time: list[Column]) -> DataFrame:
+    """The best k rows per key, then put in order of time."""
+    best = top_per(df, key, score, k).drop("rank")
+    return best.withColumn("position", F.row_number().over(Window.partitionBy(key).orderBy(*time)))  # k rows per key
+
+
 def first_wins(lists: list[DataFrame], query_id: str, doc_id: str, position: str = "rank") -> DataFrame:
     """Ranked lists one after another, each document kept where it first appears; scores are not fused.
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.functions import scalars as S
 from starloom.operators.retrieval import top_per
+from starloom.session import cut_lineage
 
 BLOCK_BYTES = 64 << 20
 
@@ -34,6 +35,8 @@ def query_blocks(queries: DataFrame, query_id: str, vector: str, limit: int = BL
     """
     n, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(1))).first()
     blocks = max(1, -(-int(n) * int(width) * 8 // limit))
+    if blocks > 1:
+        queries = cut_lineage(queries.select(query_id, vector))  # read once per block
     for b in range(blocks):
         part = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == b)
         rows = part.select(query_id, vector).toPandas()

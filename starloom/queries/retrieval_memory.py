@@ -344,6 +344,16 @@ def experience_filter_after(spark, sf):
     return kept.select(F.col("event_id").alias("exp_id"), "user_id", "value")
 
 
+@query("""
+WITH b AS (SELECT user_id, event_id, ts, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) <= 5)
+SELECT user_id, event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS position FROM b""")
+def recall_by_time(spark, sf):
+    """The five highest events of each user in order of time."""
+    e = load(spark, sf, "events").select("user_id", "event_id", "ts", "value")
+    out = R.by_time_after_top_k(e, "user_id", [F.col("value").desc(), F.col("event_id")], 5, [F.col("ts"), F.col("event_id")])
+    return out.select("user_id", "event_id", "position")
+
+
 @query(f"""WITH {_CENTROIDS}, d AS (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) BETWEEN 100 AND 100000 AS fits FROM documents),
 {_nearest_sql('list_cosine_similarity', 'DESC', 10)}
 SELECT CAST(NULL AS INTEGER) AS query_id, doc_id, CAST(NULL AS DOUBLE) AS score, 'whole' AS kind FROM d WHERE NOT fits

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from starloom.functions import text as T
 from starloom.functions.rows import element_rows
-from starloom.session import cut_lineage
+from starloom.session import small_side
 
 # Readable table extensions and the classes of corpus files.
 TABLE_EXTENSIONS = (".csv", ".xlsx", ".xls")
@@ -177,19 +177,19 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their 0-based index in (file, offset) order.
 
     A line's index is its place inside the file block a task read plus the
-    lines of the blocks before it.  Only block counts are ordered, so no line
-    is sorted; the written copy keeps places and counts in agreement.
+    lines of the blocks before it.  Only block counts are ordered: no line is
+    sorted, shuffled or copied.  Both reads split the same files the same way,
+    so places and counts agree, also when a task runs again.
     """
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
         F.monotonically_increasing_id().alias("__id"),
     )
-    lines = cut_lineage(lines)
     blocks = lines.groupBy("__file", "__start").agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("__first"))
     # one row per file block (128 MB): the only place where an order over everything is needed
     before = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("__file", "__start", "__first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    joined = lines.join(offsets, ["__file", "__start"])
+    joined = lines.join(small_side(offsets), ["__file", "__start"])
     return joined.select((F.col("__before") + F.col("__id") - F.col("__first")).alias("line_no"), "value")
 
 

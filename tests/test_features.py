@@ -192,3 +192,11 @@ def test_metric_names():
     assert [SC.metric_for_classes(n) for n in (0, 2, 3, 200, 201)] == ["rmse", "f1 binary", "f1 weighted", "f1 weighted", "rmse"]
     with pytest.raises(ValueError):
         SC.metric_for_classes(1)
+
+
+@pytest.mark.parametrize("n", [0, 1, 50, 99, 100, 500])
+def test_sample_sizes(spark, n):
+    df = spark.range(100)
+    a, b = FE.seeded_sample(df, "id", n, 3)
+    order = [r.id for r in df.orderBy(FE.hash_int("id", 3), "id").collect()]
+    assert sorted(r.id for r in a.collect()) == sorted(order[:n]) and sorted(r.id for r in b.collect()) == sorted(order[n:])
