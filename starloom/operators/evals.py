@@ -67,10 +67,12 @@ def retrieval_scores(found: DataFrame, references: DataFrame, key: str) -> DataF
     ``found`` has (key, rank, text), ``references`` (key, reference); a node
     hits a reference that contains its text.  No nodes gives 0 everywhere.
     """
-    pairs = references.join(found, key, "left").select(
-        key, "reference", "rank", F.coalesce(F.col("reference").contains(F.col("text")), F.lit(False)).alias("hit")
+    # long references are grouped by fingerprint, the text itself is not a key
+    marked = references.withColumn("__ref", F.sha2("reference", 256))
+    pairs = marked.join(found, key, "left").select(
+        key, "__ref", "rank", F.coalesce(F.col("reference").contains(F.col("text")), F.lit(False)).alias("hit")
     )
-    per_reference = pairs.groupBy(key, "reference").agg(
+    per_reference = pairs.groupBy(key, "__ref").agg(
         F.max(F.col("hit").cast("int")).alias("hit"), F.min(F.when(F.col("hit"), F.col("rank"))).alias("rank")
     )
     return per_reference.groupBy(key).agg(

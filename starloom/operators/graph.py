@@ -139,21 +139,27 @@ def reachable(edges: DataFrame, sources: DataFrame, max_rounds: int = 10_000) ->
 def dependency_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, level) in run order; nodes on or behind a cycle get a null level.
 
-    ``edges`` are (src needed by dst).  Each round releases the nodes with no
-    open dependency left; the rounds equal the depth of the graph.
+    ``edges`` are (src needed by dst).  Each round drops the edges leaving the
+    nodes just released; the next nodes are those edges' targets that keep no
+    other edge.  Only edges still open are rewritten, and the rounds equal the
+    depth of the graph.
     """
-    open_nodes = nodes.select("node").distinct()
-    open_edges = edges.select("src", "dst").distinct()
+    known = nodes.select("node").distinct()
+    inner = edges.join(known.withColumnRenamed("node", "dst"), "dst", "left_semi")
+    open_edges = cut_lineage(inner.select("src", "dst").distinct())
+    ready = cut_lineage(known.join(open_edges.select(F.col("dst").alias("node")), "node", "left_anti"))
     done, level = [], 0
-    while True:
-        ready = cut_lineage(open_nodes.join(open_edges.select(F.col("dst").alias("node")), "node", "left_anti"))
-        if ready.isEmpty():
-            break
+    while not ready.isEmpty():
         done.append(ready.withColumn("level", F.lit(level)))
-        open_nodes = cut_lineage(open_nodes.join(ready, "node", "left_anti"))
-        open_edges = cut_lineage(open_edges.join(ready.withColumnRenamed("node", "src"), "src", "left_anti"))
+        sources = ready.withColumnRenamed("node", "src")
+        released = open_edges.join(sources, "src", "left_semi").select(F.col("dst").alias("node")).distinct()
+        open_edges = cut_lineage(open_edges.join(sources, "src", "left_anti"))
+        ready = cut_lineage(released.join(open_edges.select(F.col("dst").alias("node")), "node", "left_anti"))
         level += 1
-    return reduce(DataFrame.unionByName, [*done, open_nodes.withColumn("level", F.lit(None).cast("int"))])
+    if open_edges.isEmpty():
+        return reduce(DataFrame.unionByName, done)
+    placed = reduce(DataFrame.unionByName, done, known.limit(0).withColumn("level", F.lit(0)))
+    return placed.unionByName(known.join(placed, "node", "left_anti").withColumn("level", F.lit(None).cast("int")))
 
 
 def node_totals(nodes: DataFrame) -> DataFrame:

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from starloom.functions.rows import element_rows, numbered_rows
 from starloom.session import cut_lineage, small_side
 
 # The published Okapi defaults.
 K1, B, EPSILON = 1.5, 0.75, 0.25
+# the blanks that separate tokens, the same in Java and here
+WHITESPACE = re.compile(r"[ \t\n\x0b\f\r]+")
+BLOCK_TERMS = 4_000_000
 
 
 def whitespace_tokens(text: Column, lower: bool = False) -> Column:
@@ -63,38 +70,68 @@ class BM25Index:
     def count(self) -> int:
         return self.n
 
-    def scores(self, queries: DataFrame, query_id: str, query_text: str) -> DataFrame:
-        """(query, doc, score) of every pair sharing a term; other pairs score 0 and are not listed.
-
-        Query and corpus tokens are cut to their common vocabulary before anything is shuffled.
-        A repeated query term counts each time.
-        """
+    def _asked(self, queries: DataFrame, query_id: str, query_text: str) -> DataFrame:
+        """(query, term, weight): known terms of each query, repeats counted, times the term's idf."""
         known = small_side(self.terms.select("term"))
-        asked = cut_lineage(
-            element_rows(queries, [query_id], whitespace_tokens(F.col(query_text), self.lower), "term")
-            .join(known, "term", "left_semi").groupBy(query_id, "term").agg(F.count(F.lit(1)).alias("weight"))
-        )
-        weighted = F.when(F.col("idf") < 0, F.lit(self.floor)).otherwise(F.col("idf"))
-        vocabulary = self.terms.join(asked.select("term").distinct(), "term", "left_semi").select(
-            "term", weighted.alias("idf")
-        )
-        matched = (
-            element_rows(self.docs, [self.doc_id, "length"], F.col("tokens"), "term").join(small_side(vocabulary), "term")
-            .groupBy(self.doc_id, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("length").alias("length"),
-                                              F.first("idf").alias("idf"))
-        )
-        gain = F.col("idf") * F.col("tf") * (K1 + 1) / (
-            F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(self.avgdl))
-        )
-        return (
-            matched.select(self.doc_id, "term", gain.alias("gain")).join(asked, "term")
-            .groupBy(query_id, self.doc_id).agg(F.sum(F.col("gain") * F.col("weight")).alias("score"))
-        )
+        tokens = element_rows(queries, [query_id], whitespace_tokens(F.col(query_text), self.lower), "term")
+        counted = cut_lineage(tokens.join(known, "term", "left_semi").groupBy(query_id, "term").agg(F.count(F.lit(1)).alias("n")))
+        idf = F.when(F.col("idf") < 0, F.lit(self.floor)).otherwise(F.col("idf"))
+        vocabulary = self.terms.join(counted.select("term").distinct(), "term", "left_semi").select("term", idf.alias("idf"))
+        return cut_lineage(counted.join(small_side(vocabulary), "term").select(query_id, "term", (F.col("n") * F.col("idf")).alias("weight")))
 
     def top_k(self, queries: DataFrame, query_id: str, query_text: str, k: int = 5, digits: int = 9) -> DataFrame:
-        """Best k documents per query with their rank; equal scores go to the lower id."""
-        scored = self.scores(queries, query_id, query_text).withColumn("score", F.round("score", digits))
-        return top_per(scored, query_id, [F.col("score").desc(), F.col(self.doc_id)], k)
+        """Best k documents per query with their rank, among those sharing a term; equal scores go to the lower id.
+
+        Common terms join nearly every query with nearly every document, so the
+        pairs are not shuffled: a batch of documents is scored where it lies and
+        hands on k candidates per query.  The query terms travel in blocks of
+        bounded size; more of them mean more passes, not larger tasks.
+        """
+        asked = self._asked(queries, query_id, query_text)
+        blocks = max(1, -(-asked.count() // BLOCK_TERMS))
+        schema = StructType([StructField(query_id, queries.schema[query_id].dataType),
+                             StructField(self.doc_id, self._docs.schema[self.doc_id].dataType)]).add("score", "double")
+        text = F.lower(self.text) if self.lower else F.col(self.text)
+        rows = self._docs.select(self.doc_id, text.alias("__text"))
+        found = self._docs.sparkSession.createDataFrame([], schema)
+        for b in range(blocks):
+            part = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == b)
+            found = found.unionByName(rows.mapInPandas(self._scorer(part.toPandas(), query_id, k, digits), schema))
+        return top_per(found, query_id, [F.col("score").desc(), F.col(self.doc_id)], k)
+
+    def _scorer(self, asked: pd.DataFrame, query_id: str, k: int, digits: int):
+        """Batch function over documents for one block of query terms."""
+        names, place = np.unique(asked[query_id].to_numpy(), return_inverse=True)
+        terms, term_no = np.unique(asked["term"].to_numpy().astype(str), return_inverse=True)
+        order = np.argsort(term_no, kind="stable")
+        starts = np.searchsorted(term_no[order], np.arange(len(terms) + 1))
+        who, weight = place[order], asked["weight"].to_numpy()[order]
+        number = {t: i for i, t in enumerate(terms)}
+        avgdl, doc_id, chunk = self.avgdl, self.doc_id, max(1, BLOCK_TERMS // max(len(names), 1))
+
+        def score(text):
+            words = [w for w in WHITESPACE.split(text or "") if w]
+            hits, tf = np.unique([number[w] for w in words if w in number], return_counts=True)
+            if not len(hits):
+                return np.full(len(names), -np.inf)
+            gain = tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / avgdl))
+            spans = [slice(starts[h], starts[h + 1]) for h in hits.astype(int)]
+            asking = np.concatenate([who[s] for s in spans])
+            total = np.bincount(asking, np.concatenate([weight[s] * g for s, g in zip(spans, gain)]), len(names))
+            return np.where(np.bincount(asking, minlength=len(names)) > 0, np.round(total, digits), -np.inf)
+
+        def run(batches):
+            for batch in batches:
+                batch = batch.sort_values(doc_id)
+                for at in range(0, len(batch) if len(names) else 0, chunk):
+                    some = batch.iloc[at:at + chunk]
+                    cost = -np.vstack([score(t) for t in some["__text"]])
+                    best = np.argsort(cost, axis=0, kind="stable")[:k]
+                    cols = np.broadcast_to(np.arange(len(names)), best.shape)
+                    keep = np.isfinite(cost[best, cols])
+                    yield pd.DataFrame({query_id: names[cols[keep]], doc_id: some[doc_id].to_numpy()[best[keep]], "score": -cost[best, cols][keep]})
+
+        return run
 
 
 def top_per(df: DataFrame, key: str, order: list[Column], k: int, rank: str = "rank") -> DataFrame:

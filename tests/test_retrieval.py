@@ -146,3 +146,36 @@ def test_index_paths(spark):
     paths = ["/data/uploads", "/data/uploads/a.txt", "/data/chats/ab1/x", "/data/chats/AB", "/data/uploadsx"]
     got = [r[0] for r in spark.createDataFrame([(p,) for p in paths], "p string").select(R.index_of_path(F.col("p"))).collect()]
     assert got == ["uploads", "uploads", "chats/ab1", "other", "other"]
+
+
+@pytest.mark.parametrize("block", [R.BLOCK_TERMS, 7])
+def test_bm25_against_brute_force(spark, monkeypatch, block):
+    import math
+    import random
+    from collections import Counter
+
+    random.seed(9)
+    words = ["the"] * 30 + [f"w{i}" for i in range(25)]  # a word in nearly every text
+    docs = [(i, " ".join(random.choice(words) for _ in range(random.randrange(0, 25)))) for i in range(60)]
+    queries = [(i, " ".join(random.choice(words + ["unknown"]) for _ in range(6))) for i in range(12)]
+    monkeypatch.setattr(R, "BLOCK_TERMS", block)
+    index = R.BM25Index(spark.createDataFrame(docs, "id int, t string").repartition(3), "id", "t")
+    got = {}
+    for r in index.top_k(spark.createDataFrame(queries, "q int, t string"), "q", "t", 5).collect():
+        got.setdefault(r.q, []).append((r["rank"], r.id, r.score))
+    tokens = {i: t.split() for i, t in docs}
+    n, avg = len(docs), sum(map(len, tokens.values())) / len(docs)
+    df = Counter(w for t in tokens.values() for w in set(t))
+    idf = {w: math.log(n - c + 0.5) - math.log(c + 0.5) for w, c in df.items()}
+    floor = 0.25 * sum(idf.values()) / len(idf)
+    idf = {w: floor if v < 0 else v for w, v in idf.items()}
+    for q, text in queries:
+        scores = []
+        for i, t in tokens.items():
+            tf = Counter(t)
+            shared = [w for w in text.split() if w in tf]
+            if shared:
+                s = sum(idf[w] * tf[w] * 2.5 / (tf[w] + 1.5 * (0.25 + 0.75 * len(t) / avg)) for w in shared)
+                scores.append((-round(s, 9), i))
+        want = [i for _, i in sorted(scores)[:5]]
+        assert [i for _, i, _ in sorted(got.get(q, []))] == want
