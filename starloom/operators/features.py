@@ -11,7 +11,7 @@ from pyspark.sql.types import NumericType, StringType
 from starloom.operators.ordering import exact_quantiles, number_rows
 from starloom.operators.scaling import FeatureTool
 from starloom.plans.registry import tool
-from starloom.session import cut_lineage
+from starloom.session import cut_lineage, small_side
 
 TAGS = ("feature engineering", "machine learning")
 
@@ -60,12 +60,21 @@ class PolynomialExpansion(FeatureTool):
 
 
 class _Lookup(FeatureTool):
-    """Adds columns of a fitted (category -> value) table; null and unseen stay null."""
+    """Adds columns of a fitted (category -> value) table; null and unseen stay null.
+
+    The table is written when fitted, and sent to every task only if it is
+    small, so that the rows themselves are not shuffled.
+    """
+
+    def fit(self, df):
+        super().fit(df)
+        self.table = cut_lineage(self.table)
+        return self
 
     def _transform(self, df):
         key = self.features[0]
         table = self.table.withColumnRenamed(key, "__key")
-        return df.join(table, F.col(key) == F.col("__key"), "left").drop("__key")
+        return df.join(small_side(table), F.col(key) == F.col("__key"), "left").drop("__key")
 
 
 @tool(*TAGS)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.operators.ordering import number_in_groups
+from starloom.session import small_side
 
 ALL_RECIPIENTS = "<all>"
 
@@ -44,7 +45,7 @@ def older_than_latest(messages: DataFrame, key: str, k: int, seq: str = "seq") -
     Only the group's k-th latest sequence is needed, so no group is collected.
     """
     edge = latest_per(messages.select(key, seq), key, k, seq).groupBy(key).agg(F.min(seq).alias("__edge"))
-    return messages.join(edge, key).filter(F.col(seq) < F.col("__edge")).drop("__edge")
+    return messages.join(small_side(edge), key).filter(F.col(seq) < F.col("__edge")).drop("__edge")
 
 
 def latest_of_kind(messages: DataFrame, kind: str, seq: str = "seq") -> DataFrame:

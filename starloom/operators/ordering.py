@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom.session import cut_lineage
+from starloom.session import cut_lineage, small_side
 
 _PID, _POS, _OFFSET = "__pid", "__pos", "__offset"
 
@@ -69,7 +69,8 @@ def number_in_groups(df: DataFrame, keys: list[str], order: list, name: str = "r
     """``row_number() OVER (PARTITION BY keys ORDER BY order)`` for hot keys.
 
     The global number minus the group's first global number; the join table has
-    one row per key, and adaptive execution splits a hot key's side of it.
+    one row per key.  Few keys are broadcast; with many of them adaptive
+    execution splits a hot key's side of the join.
     """
     key_order = [F.col(k).asc_nulls_first() for k in keys]
     tail = [o if isinstance(o, Column) else F.col(o).asc_nulls_last() for o in order]
@@ -77,7 +78,7 @@ def number_in_groups(df: DataFrame, keys: list[str], order: list, name: str = "r
     firsts = numbered.groupBy(*keys).agg(F.min("__global").alias("__first"))
     renamed = firsts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__first")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
-    out = numbered.join(renamed, same)
+    out = numbered.join(small_side(renamed), same)
     return out.withColumn(name, F.col("__global") - F.col("__first") + 1).drop(
         "__global", "__first", *[f"__k_{k}" for k in keys]
     )
@@ -91,7 +92,7 @@ def rank_rows(df: DataFrame, value: str, name: str = "rank", descending: bool =
     ranked = running_total(counts, order, [weight]).select(
         F.col(value).alias("__v"), (F.col(f"{weight}_before") + 1).cast("long").alias(name)
     )
-    return df.join(ranked, df[value].eqNullSafe(ranked["__v"]), "left").drop("__v")
+    return df.join(small_side(ranked), F.col(value).eqNullSafe(F.col("__v")), "left").drop("__v")
 
 
 ACCURACY = 10_000
