@@ -54,10 +54,14 @@ def score_answers(predictions: DataFrame, labels: DataFrame, key: str, literal:
 def three_accuracies(scored: DataFrame, key: str) -> DataFrame:
     """Share of fully right questions, pooled share of metrics, mean share per question; to 4 digits, half-even."""
     per = scored.groupBy(key).agg(F.sum(F.col("is_correct").cast("int")).alias("ok"), F.count(F.lit(1)).alias("n"))
+
+    def shown(c):  # the first rounding removes the noise of the order of summation
+        return F.bround(F.round(c, 10), 4)
+
     return per.agg(
-        F.bround(F.avg((F.col("ok") == F.col("n")).cast("double")), 4).alias("accuracy_by_question"),
-        F.bround(F.sum("ok") / F.sum("n"), 4).alias("accuracy_by_sub_question"),
-        F.bround(F.avg(F.col("ok") / F.col("n")), 4).alias("proportional_accuracy"),
+        shown(F.avg((F.col("ok") == F.col("n")).cast("double"))).alias("accuracy_by_question"),
+        shown(F.sum("ok") / F.sum("n")).alias("accuracy_by_sub_question"),
+        shown(F.avg(F.col("ok") / F.col("n"))).alias("proportional_accuracy"),
     )
 
 

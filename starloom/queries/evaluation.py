@@ -106,7 +106,7 @@ def answer_map_score(spark, sf):
 
 
 @query(f"""WITH {_ANSWERS}, q AS (SELECT p_partkey, sum(is_correct::INT) AS ok, count(*) AS n FROM a GROUP BY 1)
-SELECT round_even(avg((ok = n)::INT), 4) AS accuracy_by_question, round_even(sum(ok) / sum(n), 4) AS accuracy_by_sub_question, round_even(avg(ok / n), 4) AS proportional_accuracy FROM q""")
+SELECT round_even(round(avg((ok = n)::INT), 10), 4) AS accuracy_by_question, round_even(round(sum(ok) / sum(n), 10), 4) AS accuracy_by_sub_question, round_even(round(avg(ok / n), 10), 4) AS proportional_accuracy FROM q""")
 def acc_three(spark, sf):
     return E.three_accuracies(E.score_answers(*_answers(spark, sf), "p_partkey"), "p_partkey")
 
