@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -95,7 +96,7 @@ def _cells(vector: str, radius: float, axes: int):
     return [F.floor(F.element_at(vector, a + 1).cast("double") / width).cast("long") for a in range(axes)]
 
 
-def near_any(rows: DataFrame, stored: DataFrame, vector: str, radius: float, axes: int = 4, negate: bool = False) -> DataFrame:
+def near_any(rows: DataFrame, stored: DataFrame, vector: str, radius: float, axes: int | None = None, negate: bool = False) -> DataFrame:
     """Rows with (or, negated, without) a stored vector closer than ``radius`` in L2; exact.
 
     Space is cut into cells of twice the radius along the first ``axes``
@@ -103,7 +104,12 @@ def near_any(rows: DataFrame, stored: DataFrame, vector: str, radius: float, axe
     most 2 per axis), a row only in its own, so equality of cells finds every
     possible partner and the distance is checked inside the join.  Equal stored
     vectors are listed once, and the join only asks whether a partner exists.
+    More stored vectors get more axes: copies grow with the axes, but the
+    partners met per cell shrink with the number of cells.
     """
+    if axes is None:
+        n, size = stored.agg(F.count(F.lit(1)), F.coalesce(F.min(F.size(vector)), F.lit(1))).first()
+        axes = min(size, 8, max(4, math.ceil(math.log(max(n, 4) / 4, 4)) + 1))
     width = 2 * radius
     names = [f"__c{a}" for a in range(axes)]
     value = [F.element_at(vector, a + 1).cast("double") for a in range(axes)]
