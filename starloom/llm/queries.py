@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import decontam, mixing, rules, sharding, urls, warc
+from starloom.llm import decontam, minhash, mixing, quality, rules, sharding, urls, warc
 from starloom.llm.common import table
 
 QUERIES: dict = {}
@@ -117,3 +117,13 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < k THEN 'revis
 @query(WARC_SQL)
 def op5_warc(spark, folder):
     return warc.round_trip(table(spark, folder, "pages")).drop("url")
+
+
+@query()
+def op2_quality_classifier(spark, folder):
+    return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op7_minhash(spark, folder):
+    return minhash.near_duplicates(table(spark, folder, "documents"))
