@@ -12,9 +12,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
-#: A pair whose sketches agree in fewer registers is far below the similarity: at 0.8 the
-#: count is 96 with a deviation of 4.4.
-LEAST_AGREE = 72
+#: A pair whose sketches agree in fewer registers is below the similarity: at 0.8 the mean
+#: is 96 with a deviation of 4.4, so about one such pair in 20 000 is not looked at further.
+LEAST_AGREE = 79
+DRAWS = 4
+PACK = 7  # eight-bit registers in one number of a sketch
 BROADCAST_ROWS = 2_000_000  # of short ids
 
 _MIX1, _MIX2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -76,7 +78,11 @@ def signatures(batches):
                 for k in range(ROWS):
                     keys = scrambled(keys * _GOLD + winner[:, k::ROWS])
             bands = pa.ListArray.from_arrays(np.arange(0, len(sets) * BANDS + 1, BANDS, dtype=np.int32), pa.array(keys.reshape(-1).view(np.int64)))
-            sketch = pa.ListArray.from_arrays(np.arange(0, len(sets) * REGISTERS + 1, REGISTERS, dtype=np.int32), pa.array((winner & np.uint64(255)).astype(np.uint8).reshape(-1).view(np.int8)))
+            packed = np.zeros((len(sets), -(-REGISTERS // PACK)), dtype=np.uint64)
+            for k in range(REGISTERS):
+                packed[:, k // PACK] |= (winner[:, k] & np.uint64(255)) << np.uint64(8 * (k % PACK))
+            width = packed.shape[1]
+            sketch = pa.ListArray.from_arrays(np.arange(0, len(sets) * width + 1, width, dtype=np.int32), pa.array(packed.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), pa.array(sizes.astype(np.int32)), bands, sketch], names=names)
 
 
@@ -90,7 +96,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     """One narrow row per document with its node, and band keys and sketch where it has words."""
     rows = docs.select("doc_id", let(plain_words(F.coalesce("text", F.lit(""))), lambda w: F.struct(
         node_of(w, F.col("doc_id"), F.col("text")).alias("node"), F.transform(w, lambda x: F.xxhash64(x)).alias("hashes"))).alias("_s"))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node string, n_shingles int, bands array<bigint>, sketch array<tinyint>"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node string, n_shingles int, bands array<bigint>, sketch array<bigint>"
     return saved(rows.select("doc_id", F.col("_s.node").alias("node"), F.col("_s.hashes").alias("hashes")).mapInArrow(signatures, schema), "signatures")
 
 
@@ -104,27 +110,44 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+def agreeing(one: str, two: str) -> Column:
+    """Registers in which two sketches agree: equal bytes of the packed numbers, counted by bits."""
+    low = F.lit(int("7f" * PACK, 16))
+    packs = -(-REGISTERS // PACK)
+
+    def equal_bytes(k):
+        differ = F.col(one)[k].bitwiseXOR(F.col(two)[k])
+        marked = (differ.bitwiseAND(low) + low).bitwiseOR(differ).bitwiseOR(low)  # a byte's top bit is 0 where it is equal
+        return 8 * PACK - F.bit_count(marked)
+
+    return sum((equal_bytes(k) for k in range(1, packs)), equal_bytes(0)) - (packs * PACK - REGISTERS)
+
+
+def similar(one: str, two: str) -> Column:
+    """Jaccard similarity of two sets of at least SIMILARITY, with one intersection."""
+    return F.size(F.array_intersect(one, two)) * (1 + SIMILARITY) >= SIMILARITY * (F.size(one) + F.size(two)) - 1e-9
+
+
+def shingle_sets(nodes: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Distinct shingles of the given nodes, built in one pass over the documents."""
+    wanted = texts.select(F.col("node").alias("_node"), F.col("rep").alias("_rep")).join(nodes.withColumnRenamed("node", "_n"), F.col("_node") == F.col("_n"), "left_semi")
+    found = docs.select("doc_id", "text").join(small(saved(wanted, "wanted")), F.col("doc_id").eqNullSafe(F.col("_rep")))
+    built = let(plain_words(F.coalesce("text", F.lit(""))), lambda w: F.when(node_of(w, F.col("doc_id"), F.col("text")) == F.col("_node"), F.when(
+        F.size(w) >= SHINGLE, F.array_distinct(windows_of(w, SHINGLE))).otherwise(F.array(F.xxhash64(w)))))
+    return saved(found.select(F.col("_node").alias("node"), built.alias("set")).filter("set is not null").dropDuplicates(["node"]), "shingles")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose exact Jaccard similarity of shingle sets reaches the limit.
 
-    Sketches, of fixed size, are compared first; sets are built for the texts that are left.
+    Sketches, of fixed size, are compared first, so few sets meet.
     """
-    short = texts.select("node", "n", "sketch")
-    left, right = (short.select(*[F.col(c).alias(f"{s}_{c}") for c in short.columns]) for s in "ab")
-    agree = F.aggregate(F.zip_with("a_sketch", "b_sketch", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
+    left, right = (texts.select(F.col("node").alias(f"{s}_node"), F.col("n").alias(f"{s}_n"), F.col("sketch").alias(f"{s}_sketch")) for s in "ab")
     ratio = F.least("a_n", "b_n") >= SIMILARITY * F.greatest("a_n", "b_n")
-    close = pairs.join(left, F.col("a") == F.col("a_node")).join(right, F.col("b") == F.col("b_node")).filter(ratio & (agree >= LEAST_AGREE))
-    close = saved(close.select("a", "b"), "candidates")
-    wanted = close.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
-    wanted = saved(texts.select("node", "rep").join(wanted, F.col("node") == F.col("_node"), "left_semi").select(F.col("node").alias("_node"), F.col("rep").alias("_rep")), "wanted")
-    found = docs.select("doc_id", "text").join(small(wanted), F.col("doc_id").eqNullSafe(F.col("_rep")))
-    found = found.withColumn("_words", plain_words(F.coalesce("text", F.lit("")))).filter(node_of(F.col("_words"), F.col("doc_id"), F.col("text")) == F.col("_node"))
-    shingled = F.when(F.size("_words") >= SHINGLE, F.array_distinct(windows_of(F.col("_words"), SHINGLE))).otherwise(F.array(F.xxhash64("_words")))
-    sets = saved(found.select("_node", shingled.alias("_set")).dropDuplicates(["_node"]), "shingles")
-    one, two = (sets.select(F.col("_node").alias(f"_{s}"), F.col("_set").alias(f"_set_{s}")) for s in "ab")
-    both = close.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
-    shared = F.size(F.array_intersect("_set_a", "_set_b"))
-    return saved(both.filter(shared >= SIMILARITY * (F.size("_set_a") + F.size("_set_b") - shared)).select("a", "b"), "links")
+    close = pairs.join(left, F.col("a") == F.col("a_node")).join(right, F.col("b") == F.col("b_node")).filter(ratio & (agreeing("a_sketch", "b_sketch") >= LEAST_AGREE))
+    one, two = (sets.select(F.col("node").alias(f"_{s}"), F.col("set").alias(f"_set_{s}")) for s in "ab")
+    both = close.select("a", "b").join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
+    return saved(both.filter(similar("_set_a", "_set_b")).select("a", "b"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -135,60 +158,87 @@ def components(links: DataFrame) -> DataFrame:
     shrinks to stars in a number of rounds that grows with the log of the longest path.
     """
     edges = saved(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "edges")
-    before = None
     while True:
         both = edges.union(edges.select("v", "u"))
-        least = saved(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.join(least.withColumnRenamed("u", "_u"), F.col("u") == F.col("_u")).filter("v > u").select(F.col("m").alias("u"), "v")
-        up = saved(large.filter("u != v").distinct(), "large")
-        low = saved(up.groupBy("v").agg(F.min("u").alias("m")), "small-least")
-        small_star = up.join(low.withColumnRenamed("v", "_v"), F.col("v") == F.col("_v")).select(F.explode(F.array(F.struct(F.col("m").alias("u"), "v"), F.struct(F.col("m").alias("u"), F.col("u").alias("v")))).alias("e"))
-        edges = saved(small_star.select("e.u", "e.v").filter("u != v").distinct(), "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            return saved(edges.select(F.col("v").alias("node"), F.col("u").alias("root")).union(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()), "components")
-        before = now
-
-
-def cross_pairs(placed: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of one bucket that lie in different components so far.
-
-    Components meet first, then their members, so a component as large as its bucket
-    makes no pair at all.
-    """
-    known = placed.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node")).drop("_node")
+        least = both.groupBy(F.col("u").alias("_u")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = both.join(least, F.col("u") == F.col("_u")).filter("v > u").select(F.col("m").alias("u"), "v")
+        up = saved(large.filter("u != v").distinct(), "large-star")
+        low = up.groupBy(F.col("v").alias("_v")).agg(F.min("u").alias("m"))
+        pair = F.array(F.struct(F.col("m").alias("u"), "v"), F.struct(F.col("m").alias("u"), F.col("u").alias("v")))
+        small_star = up.join(low, F.col("v") == F.col("_v")).select(F.explode(pair).alias("e"))
+        edges = saved(small_star.select("e.u", "e.v").filter("u != v").distinct(), "small-star")
+        # done when every node hangs on one root, and no root on another
+        roles = edges.select("v", F.lit(1).alias("below")).union(edges.select("u", F.lit(0).alias("below")).distinct())
+        if roles.groupBy("v").agg(F.sum("below").alias("n"), F.min("below").alias("least")).filter("n > 1 or (n = 1 and least = 0)").isEmpty():
+            break
+    return saved(edges.select(F.col("v").alias("node"), F.col("u").alias("root")).union(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()), "components")
+
+
+def mixed_buckets(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component."""
+    known = shared.select("band", "node", "n").join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node")).drop("_node")
     mixed = known.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select(F.col("band").alias("_band"))
-    rows = saved(known.join(mixed, F.col("band") == F.col("_band"), "left_semi").select("band", "node", "n", "root"), "mixed-buckets")
-    parts = rows.groupBy("band", "root").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    one, two = (parts.select(*[F.col(c).alias(f"{s}_{c}") for c in parts.columns]) for s in "ab")
-    meet = one.join(two, (F.col("a_band") == F.col("b_band")) & (F.col("a_root") < F.col("b_root")) & (F.col("a_hi") >= SIMILARITY * F.col("b_lo")) & (F.col("b_hi") >= SIMILARITY * F.col("a_lo")))
-    members = rows.select("band", "root", "node", "n")
-    left, right = (members.select(*[F.col(c).alias(f"{s}{c}") for c in members.columns]) for s in "xy")
-    pairs = meet.select("a_band", "a_root", "b_root").join(left, (F.col("a_band") == F.col("xband")) & (F.col("a_root") == F.col("xroot")))
-    pairs = pairs.join(right, (F.col("a_band") == F.col("yband")) & (F.col("b_root") == F.col("yroot")) & (F.col("xn") >= SIMILARITY * F.col("yn")) & (F.col("yn") >= SIMILARITY * F.col("xn")))
-    return pairs.select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct()
-
-
-def near_classes(docs: DataFrame) -> DataFrame:
+    return saved(known.join(mixed, F.col("band") == F.col("_band"), "left_semi"), "mixed-buckets")
+
+
+def head_pairs(mixed: DataFrame, turn: int) -> DataFrame:
+    """Every member with a drawn member of its bucket that lies in another component: at most a pair a row."""
+    drawn = mixed.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root", "n")).alias("head")).withColumnRenamed("band", "_band")
+    other = (F.col("band") == F.col("_band")) & (F.col("root") != F.col("head.root")) & (F.least("n", "head.n") >= SIMILARITY * F.greatest("n", "head.n"))
+    return mixed.join(drawn, other).select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).distinct()
+
+
+def cross_links(mixed: DataFrame, texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links among all pairs of one bucket that still lie in different components.
+
+    Size, packed sketch and exact similarity are tested inside the join, in this order, and
+    the join puts out links only.
+    """
+    rows = saved(mixed.join(texts.select(F.col("node").alias("_node"), "sketch", "bands"), F.col("node") == F.col("_node")).drop("_node")
+                 .join(sets.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node")).select("band", "node", "n", "root", "sketch", "bands", "set"), "cross-members")
+    left, right = (rows.select(*[F.col(c).alias(f"{s}{c}") for c in rows.columns]) for s in "xy")
+    # a pair is looked at in the first of the buckets that it shares
+    first = F.coalesce(*[F.when(F.col("xbands")[k] == F.col("ybands")[k], F.col("xbands")[k]) for k in range(BANDS)]) == F.col("xband")
+    close = (F.least("xn", "yn") >= SIMILARITY * F.greatest("xn", "yn")) & (agreeing("xsketch", "ysketch") >= LEAST_AGREE) & first & similar("xset", "yset")
+    pairs = left.join(right, (F.col("xband") == F.col("yband")) & (F.col("xroot") < F.col("yroot")) & close)
+    return saved(pairs.select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct(), "links")
+
+
+def untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    old = tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+    return saved(pairs.join(old, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "pairs")
+
+
+def near_classes(docs: DataFrame, draws: int = DRAWS) -> DataFrame:
     """(doc_id, node, root) per document: equal roots are one class of near duplicates.
 
     Texts of equal words are one node.  In every bucket all nodes are compared with its
-    least node; then whatever still lies in different components of a bucket is compared
-    pair by pair.  So every pair that shares a bucket is either linked through others or
-    has been compared itself.
+    least node, then with some drawn nodes of other components, each time a pair a row at
+    most.  Whatever still lies in different components of a bucket is then compared inside
+    one join.  So every pair that shares a bucket is either linked through others or has
+    been compared itself, however large the bucket is.
     """
     signed = sketched(docs)
     texts = representatives(signed.filter("n_shingles > 0"))
     placed = texts.select("node", "n", F.explode("bands").alias("band"))
     heads = placed.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("_size")).filter("_size > 1").select(F.col("band").alias("_band"), "head")
     shared = saved(placed.join(heads, F.col("band") == F.col("_band")).select("band", "node", "n", "head"), "buckets")
-    star = saved(shared.filter("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    links = verified(star, texts, docs)
+    sets = shingle_sets(shared.select("node").distinct(), texts, docs)
+    tested = saved(shared.filter("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    links = verified(tested, texts, sets)
     roots = components(links)
-    rest = cross_pairs(shared.select("band", "node", "n"), roots).join(star.select(F.col("a").alias("_a"), F.col("b").alias("_b")), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
-    more = verified(saved(rest, "cross-pairs"), texts, docs)
+    mixed = mixed_buckets(shared, roots)
+    drawn = head_pairs(mixed, 0)
+    for draw in range(1, draws):
+        drawn = drawn.union(head_pairs(mixed, draw))
+    more = verified(untested(drawn.distinct(), tested), texts, sets)
     if not more.isEmpty():
-        roots = components(links.union(more))
+        links = links.union(more)
+        roots = components(links)
+        mixed = mixed_buckets(mixed, roots)
+    last = cross_links(mixed, texts, sets)
+    if not last.isEmpty():
+        roots = components(links.union(last))
     joined = signed.select("doc_id", "node").join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     return joined.select("doc_id", "node", F.coalesce("root", "node").alias("root"))
 
