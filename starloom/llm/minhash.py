@@ -250,8 +250,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     without words are classed with equal ones; repeated rows share their class.
     """
     placed = saved(near_classes(docs), "classes")
-    classes = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    joined = placed.join(classes.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"))
+    classes = placed.groupBy(F.col("root").alias("_root")).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    joined = placed.join(saved(classes, "class-ids"), F.col("root") == F.col("_root"))
     return joined.select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("stays"))
 
 

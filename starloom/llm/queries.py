@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import decontam, minhash, mixing, quality, rules, sharding, urls, warc
+from starloom.llm import decontam, minhash, mixing, quality, rules, sharding, suffix, urls, warc
 from starloom.llm.common import table
 
 QUERIES: dict = {}
@@ -127,3 +127,8 @@ def op2_quality_classifier(spark, folder):
 @query()
 def op7_minhash(spark, folder):
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op10_suffix_dedup(spark, folder):
+    return suffix.repeat_report(table(spark, folder, "documents"))
