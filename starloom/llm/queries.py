@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import decontam, minhash, mixing, quality, rules, sharding, suffix, urls, warc
+from starloom.llm import decontam, lm, minhash, mixing, quality, rules, sharding, suffix, urls, warc
 from starloom.llm.common import table
 
 QUERIES: dict = {}
@@ -132,3 +132,8 @@ def op7_minhash(spark, folder):
 @query()
 def op10_suffix_dedup(spark, folder):
     return suffix.repeat_report(table(spark, folder, "documents"))
+
+
+@query()
+def op3_lm_scoring(spark, folder):
+    return lm.score_texts(table(spark, folder, "documents"))
