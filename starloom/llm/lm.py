@@ -376,7 +376,7 @@ def train(rows: DataFrame, v: Vocabulary) -> np.ndarray:
     picked = rows.filter(F.pmod(F.xxhash64("bytes", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = saved(picked.withColumn("turn", F.pmod(F.xxhash64("bytes", F.lit(6)), F.lit(ROUNDS))), "lm-train")
     for turn in range(ROUNDS):
-        dealt = sample.filter(F.col("turn") == turn).drop("turn").repartition(trainers, F.xxhash64("bytes", F.lit(7)))
+        dealt = sample.filter(F.col("turn") == turn).drop("turn").repartition(trainers)
         made = saved(dealt.mapInPandas(trainer(v, weights), "weights array<float>, tokens long"), "lm-weights")
         mean = made.select("tokens", F.posexplode("weights").alias("i", "w")).groupBy("i").agg((F.sum(F.col("w") * F.col("tokens")) / F.sum("tokens")).alias("w")).toPandas()
         if len(mean):
