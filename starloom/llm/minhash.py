@@ -30,8 +30,8 @@ def scrambled(x: np.ndarray) -> np.ndarray:
 
 
 def weighted_shingles(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of one text and weights that grow with the log of their counts."""
-    n = max(len(words) - SHINGLE + 1, 1)
+    """Distinct shingle hashes of one text and weights that grow with the log of their counts; none without words."""
+    n = max(len(words) - SHINGLE + 1, 1) if len(words) else 0
     h = np.full(n, np.uint64(len(words) if len(words) < SHINGLE else SHINGLE))
     for k in range(min(SHINGLE, len(words))):
         h = scrambled(h * _GOLD + words[k:k + n])
