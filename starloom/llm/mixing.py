@@ -16,6 +16,7 @@ from starloom.llm.common import BLANKS, running_sums, saved
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 REPEATS = 2
+BROADCAST_ROWS = 500_000  # of an id, a source name and a few numbers
 
 
 def word_count(text: str = "text") -> Column:
@@ -107,5 +108,7 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SH
                     lambda r: F.struct(((end + r * F.col("source_size")) / F.col("weight")).alias("t"))))
     kept = saved(rows.select(F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"), ends.alias("_ends")).filter(F.size("_ends") > 0), "mix")
     same = docs["source"].eqNullSafe(F.col("_source")) & docs["doc_id"].eqNullSafe(F.col("_id")) & (word_count() == F.col("_size"))
-    timed = docs.join(kept, same).withColumn("_end", F.explode("_ends"))
+    # short rows below a counted limit are broadcast, so the texts move once, for the order
+    side = F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+    timed = docs.join(side, same).withColumn("_end", F.explode("_ends"))
     return timed.orderBy(F.col("_end.t"), F.col("doc_id")).select(*docs.columns)
