@@ -26,17 +26,17 @@ def hash_int(key, salt) -> F.Column:
 class PolynomialExpansion(FeatureTool):
     """Products of columns up to ``degree``; nulls count as 0.
 
-    With more than ten columns the ten best correlated with the label are kept.
-    Ties in that ranking go to the earlier column, and the label's own entry is
-    excluded by name.
+    All columns are expanded unless ``most`` is given: then the best correlated with the
+    label are kept, ties going to the earlier column.  The label's own entry is excluded
+    by name.
     """
 
-    def __init__(self, cols: list[str], label_col: str, degree: int = 2):
+    def __init__(self, cols: list[str], label_col: str, degree: int = 2, most: int | None = None):
         super().__init__([c for c in cols if c != label_col])
-        self.label_col, self.degree = label_col, degree
+        self.label_col, self.degree, self.most = label_col, degree, most
 
     def _fit(self, df):
-        if len(self.features) <= 10:
+        if self.most is None or len(self.features) <= self.most:
             return
         row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(self.label_col).cast("double")).alias(c)
                        for c in self.features]).first()
@@ -44,7 +44,7 @@ class PolynomialExpansion(FeatureTool):
         def strength(c):
             return -1.0 if row[c] is None or math.isnan(row[c]) else abs(row[c])
 
-        self.features = sorted(self.features, key=lambda c: -strength(c))[:10]
+        self.features = sorted(self.features, key=lambda c: -strength(c))[:self.most]
 
     def _transform(self, df):
         base = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.features}

@@ -106,7 +106,7 @@ def resolve_names(triples: DataFrame, predicate: str = IS_COMPOSITE_OF) -> DataF
     unique = classes.groupBy(short.alias("__short")).agg(F.count(F.lit(1)).alias("__n"), F.min("subject").alias("__full")).filter(
         "__n = 1"
     ).select("__short", "__full")
-    open_name = F.when((F.col("predicate") == predicate) & F.col("object").startswith("?:"), F.substring("object", 3, 1 << 20))
+    open_name = F.when((F.col("predicate") == predicate) & F.col("object").startswith("?:"), F.expr("substring(object, 3)"))
     joined = triples.withColumn("__name", open_name).join(unique, F.col("__name") == F.col("__short"), "left")
     return joined.withColumn("object", F.coalesce("__full", "object")).drop("__name", "__short", "__full")
 
@@ -162,6 +162,25 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return placed.unionByName(known.join(placed, "node", "left_anti").withColumn("level", F.lit(None).cast("int")))
 
 
+DEEP = 64  # levels after which a tree is searched for cycles
+
+
+def reject_cycles(links: DataFrame) -> None:
+    """Raise when a chain of parents never ends; ``links`` holds (node, up).
+
+    Every pass doubles the number of levels that a pointer spans, so after log2(n) passes
+    only nodes above which there is a cycle still point anywhere.
+    """
+    ahead, span = cut_lineage(links.filter("up is not null")), 1
+    nodes = links.count()
+    while span <= nodes and not ahead.isEmpty():
+        step = ahead.select(F.col("node").alias("__n"), F.col("up").alias("__u"))
+        ahead, span = cut_lineage(ahead.join(step, F.col("up") == F.col("__n")).select("node", F.col("__u").alias("up"))), span * 2
+    caught = ahead.select("node").first()
+    if caught is not None:
+        raise ValueError(f"the parents of node {caught[0]!r} form a cycle")
+
+
 def node_totals(nodes: DataFrame) -> DataFrame:
     """Own and inherited reward of every tree node (node, parent, value, visits).
 
@@ -172,6 +191,8 @@ def node_totals(nodes: DataFrame) -> DataFrame:
     own = nodes.select("node", F.coalesce("value", F.lit(0.0)).alias("value"), F.coalesce("visits", F.lit(0)).cast("long").alias("visits"))
     parts, moving = [own], own
     while True:
+        if len(parts) == DEEP:
+            reject_cycles(links)
         climbed = moving.join(links, "node").filter("up is not null").groupBy(F.col("up").alias("node")).agg(
             F.sum("value").alias("value"), F.sum("visits").alias("visits"))
         moving = cut_lineage(climbed)
@@ -213,6 +234,8 @@ def best_node(nodes: DataFrame, score: str) -> DataFrame:
     chains = nodes.filter(F.col(score) == F.lit(top)).select(F.col("node").alias("best"), "parent", F.array("place").alias("path"))
     done = []
     while not chains.isEmpty():
+        if len(done) == DEEP:
+            reject_cycles(nodes.select("node", F.col("parent").alias("up")))
         done.append(chains.filter("parent is null").select("best", "path"))
         chains = cut_lineage(chains.filter("parent is not null").join(links, F.col("parent") == F.col("node")).select(
             "best", F.col("__up").alias("parent"), F.concat(F.array("__pl"), "path").alias("path")))

@@ -162,14 +162,11 @@ def first_wins(lists: list[DataFrame], query_id: str, doc_id: str, position: str
 
 
 def recall_merge(found: DataFrame, query_id: str, k: int, score: str = "score") -> DataFrame:
-    """Merged result rows per query: all of them unsorted when there are at most k, else the best k.
+    """The best k result rows per query, ranked by score.
 
     ``found`` holds ``position``, the order of arrival, which also breaks ties.
     """
-    sizes = found.groupBy(query_id).agg(F.count(F.lit(1)).alias("__n"))
-    small = found.join(sizes.filter(F.col("__n") <= k), query_id, "left_semi").withColumn("rank", F.col("position"))
-    large = found.join(sizes.filter(F.col("__n") > k), query_id, "left_semi")
-    return small.unionByName(top_per(large, query_id, [F.col(score).desc(), F.col("position")], k))
+    return top_per(found, query_id, [F.col(score).desc(), F.col("position")], k)
 
 
 def half_windows(text: Column) -> Column:

@@ -45,6 +45,19 @@ def query_blocks(queries: DataFrame, query_id: str, vector: str, limit: int = BL
             yield rows[query_id].to_numpy(), _matrix(rows[vector])
 
 
+SCORES = 8 << 20  # of one score matrix
+MARGIN = 8
+
+
+def _exact_distances(left, right, rough, k):
+    """Distances from differences for the nearest by product and a margin; infinite for the rest."""
+    near = np.argpartition(rough, min(k + MARGIN, len(rough)) - 1, axis=0)[:k + MARGIN]
+    exact = np.full(rough.shape, np.inf)
+    for row in near:  # one candidate of every query at a time
+        exact[row, np.arange(len(right))] = np.sqrt(((left[row] - right) ** 2).sum(axis=1))
+    return exact
+
+
 def top_k(store: DataFrame, queries: DataFrame, store_id: str, query_id: str, vector: str, k: int = 10,
           metric: str = "cosine", where=None, exclude_self: bool = False, digits: int = 9) -> DataFrame:
     """Exact k nearest rows of ``store`` for every query, ties to the lower id.
@@ -63,9 +76,8 @@ def top_k(store: DataFrame, queries: DataFrame, store_id: str, query_id: str, ve
         squares = (right**2).sum(axis=1)
 
         def run(batches):
-            for batch in batches:
-                if not len(batch):
-                    continue
+            rows = max(1, SCORES // max(len(ids), 1))
+            for batch in (b.iloc[i:i + rows] for b in batches for i in range(0, len(b), rows)):
                 batch = batch.sort_values(store_id)
                 left = _matrix(batch[vector])
                 if metric == "cosine":
@@ -73,8 +85,10 @@ def top_k(store: DataFrame, queries: DataFrame, store_id: str, query_id: str, ve
                 else:
                     gaps = (left**2).sum(axis=1)[:, None] + squares[None, :] - 2 * (left @ right.T)
                     score = np.sqrt(np.maximum(gaps, 0.0))
-                score = np.round(score, digits)
                 names = batch[store_id].to_numpy()
+                if metric != "cosine":
+                    score = _exact_distances(left, right, np.where(names[:, None] == ids[None, :], np.inf, score) if exclude_self else score, k)
+                score = np.round(score, digits)
                 cost = sign * score
                 if exclude_self:
                     cost = np.where(names[:, None] == ids[None, :], np.inf, cost)

@@ -50,10 +50,10 @@ pr AS (SELECT row_number() OVER () AS id, conv_id, turn, {_norm_sql('o')} AS pt,
 x AS (SELECT id, w, count(*) AS n FROM (SELECT id, unnest(pt) AS w FROM pr) GROUP BY ALL), y AS (SELECT id, w, count(*) AS n FROM (SELECT id, unnest(et) AS w FROM pr) GROUP BY ALL),
 s AS (SELECT id, sum(least(x.n, y.n)) AS same FROM x JOIN y USING (id, w) GROUP BY id),
 f AS (SELECT conv_id, turn, CASE WHEN coalesce(same, 0) = 0 THEN 0.0 ELSE 2 * (same / len(pt)) * (same / len(et)) / (same / len(pt) + same / len(et)) END AS f1 FROM pr LEFT JOIN s USING (id))
-SELECT conv_id * 1000 + turn AS pair_id, round(max(f1), 6) AS score, max(f1) < 0.3 AS is_mismatch FROM f GROUP BY ALL""")
+SELECT conv_id::BIGINT * 4294967296 + turn AS pair_id, round(max(f1), 6) AS score, max(f1) < 0.3 AS is_mismatch FROM f GROUP BY ALL""")
 def text_max_f1(spark, sf):
     pairs = _turn_pairs(spark, sf).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"), F.translate("prediction", ".", "|").alias("prediction"),
+        (F.col("conv_id").cast("long") * 4294967296 + F.col("turn")).alias("pair_id"), F.translate("prediction", ".", "|").alias("prediction"),
         F.translate("expected", ".", "|").alias("expected"))
     return E.best_f1(pairs, "pair_id", "prediction", "expected").withColumn("score", F.round("score", 6))
 

@@ -19,11 +19,11 @@ WIDTH = 64
 
 def _messages(spark, sf):
     c = load(spark, sf, "conversations")
-    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq"), "conv_id", "role", F.col("text").alias("content"),
+    return c.select((F.col("conv_id").cast("long") * 4294967296 + F.col("turn")).alias("seq"), "conv_id", "role", F.col("text").alias("content"),
                     F.substring_index("text", " ", 1).alias("head"))
 
 
-_MSG = "m AS (SELECT conv_id * 1000 + turn AS seq, conv_id, role, text AS content, split_part(text, ' ', 1) AS head FROM conversations)"
+_MSG = "m AS (SELECT conv_id::BIGINT * 4294967296 + turn AS seq, conv_id, role, text AS content, split_part(text, ' ', 1) AS head FROM conversations)"
 
 
 @query(f"WITH {_MSG} SELECT seq, role, content FROM m WHERE role = 'user' AND contains(content, 'the')")
@@ -381,10 +381,10 @@ def index_clusters(spark, sf):
 
 @query("""
 WITH x AS (SELECT CASE lang WHEN 'en' THEN 'chats/' || source WHEN 'fr' THEN 'uploads' ELSE 'other' END AS index_id, doc_id AS position, n_chars / 100.0 AS score FROM documents),
-s AS (SELECT *, count(*) OVER (PARTITION BY index_id) AS n, row_number() OVER (PARTITION BY index_id ORDER BY score DESC, position) AS rn FROM x)
-SELECT index_id, position, CAST(score AS DOUBLE) AS score, CASE WHEN n <= 30 THEN position ELSE rn END AS rank FROM s WHERE n <= 30 OR rn <= 30""")
+s AS (SELECT *, row_number() OVER (PARTITION BY index_id ORDER BY score DESC, position) AS rn FROM x)
+SELECT index_id, position, CAST(score AS DOUBLE) AS score, rn AS rank FROM s WHERE rn <= 30""")
 def index_merge(spark, sf):
-    """Results per index: unsorted while few, else the best 30."""
+    """The best 30 results per index."""
     found = _paths(spark, sf).select(R.index_of_path(F.col("path")).alias("index_id"), F.col("doc_id").alias("position"), (F.col("n_chars") / 100.0).alias("score"))
     return R.recall_merge(found, "index_id", 30)
 

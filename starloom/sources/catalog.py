@@ -54,10 +54,13 @@ def table_schema(spark: SparkSession, name: str) -> list[dict]:
     return found["columns"]
 
 
+STATEMENT = r"""(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|[^;'"`])+"""  # up to a semicolon outside quotes
+
+
 def run_ddl(spark: SparkSession, statements: str | list[str]) -> int:
     """Run statements one by one; a list entry may itself hold several."""
     texts = [statements] if isinstance(statements, str) else statements
-    single = [s.strip() for t in texts for s in t.split(";") if s.strip()]
+    single = [s.strip() for t in texts for s in re.findall(STATEMENT, t) if s.strip()]
     for s in single:
         spark.sql(s)
     return len(single)

@@ -58,13 +58,13 @@ def profile(df: DataFrame) -> DataFrame:
     return out.select("e.column_name", "e.dtype", "row_count", "e.null_count").filter("null_count < row_count")
 
 
-def samples(df: DataFrame, n: int = 5, width: int = 60) -> dict[str, list[str]]:
-    """First values of each column as text, longer ones cut with an ellipsis."""
+def samples(df: DataFrame, n: int = 5, width: int | None = None) -> dict[str, list[str]]:
+    """First values of each column as whole text; only a given ``width`` cuts them, with an ellipsis."""
     rows = df.limit(n).collect()
 
     def shown(value):
         text = str(value)
-        return text[:width] + "…" if len(text) > width else text
+        return text[:width] + "…" if width is not None and len(text) > width else text
 
     return {c: [shown(r[c]) for r in rows] for c in df.columns}
 

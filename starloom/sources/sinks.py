@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.functions.rows import numbered_rows
@@ -68,6 +70,8 @@ def jdbc_append(df: DataFrame, url: str, table: str, user: str, password: str) -
 def sync_streams(streams: dict[str, DataFrame], folder: str, names: list[str] | None = None, snapshot: str | None = None) -> DataFrame:
     """Full refresh of each stream (all by default) and one status row per stream.
 
+    A stream that cannot be written gets the status 'failed', and the others go on.
+
     With ``snapshot`` the rows go to a partition of that load date, and earlier
     loads stay; re-running a date replaces only that date.
     """
@@ -76,9 +80,14 @@ def sync_streams(streams: dict[str, DataFrame], folder: str, names: list[str] |
         target = f"{folder.rstrip('/')}/{safe_identifier(name)}"
         if snapshot:
             target = f"{target}/load_date={snapshot}"
-        streams[name].write.mode("overwrite").parquet(target)
-        written = streams[name].sparkSession.read.parquet(target)
-        done.append(written.agg(F.lit(name).alias("stream"), F.lit("succeeded").alias("status"), F.count(F.lit(1)).alias("rows_synced")))
+        spark = streams[name].sparkSession
+        try:
+            streams[name].write.mode("overwrite").parquet(target)
+            written = spark.read.parquet(target)
+            done.append(written.agg(F.lit(name).alias("stream"), F.lit("succeeded").alias("status"), F.count(F.lit(1)).alias("rows_synced")))
+        except PySparkException as problem:
+            logging.getLogger(__name__).warning("stream %s failed: %s", name, str(problem).split("\n")[0])
+            done.append(spark.range(1).select(F.lit(name).alias("stream"), F.lit("failed").alias("status"), F.lit(0).cast("long").alias("rows_synced")))
     return reduce(DataFrame.unionByName, done)
 
 

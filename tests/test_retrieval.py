@@ -130,10 +130,10 @@ def test_near_duplicates(spark):
     assert got == {1: True, 2: False, 3: False, 5: False, 9: True}
 
 
-def test_recall_merge_small_is_unsorted(spark):
+def test_recall_merge_is_ranked(spark):
     df = spark.createDataFrame([(1, 1, 0.1), (1, 2, 0.9), (2, 1, 0.1), (2, 2, 0.9), (2, 3, 0.5)], "q int, position int, score double")
     got = {(r.q, r["rank"]): r.position for r in R.recall_merge(df, "q", 2).collect()}
-    assert got == {(1, 1): 1, (1, 2): 2, (2, 1): 2, (2, 2): 3}
+    assert got == {(1, 1): 2, (1, 2): 1, (2, 1): 2, (2, 2): 3}
 
 
 def test_cached_answers(spark):
@@ -179,3 +179,20 @@ def test_bm25_against_brute_force(spark, monkeypatch, block):
                 scores.append((-round(s, 9), i))
         want = [i for _, i in sorted(scores)[:5]]
         assert [i for _, i, _ in sorted(got.get(q, []))] == want
+
+
+def test_equal_vectors_are_at_distance_zero(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 16)) * 1e3)]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    got = V.top_k(df, df.select(F.col("id").alias("q"), "v"), "id", "q", "v", 1, "l2", digits=12).collect()
+    assert len(got) == 300 and all(r.id == r.q and r.score == 0 for r in got)
+
+
+def test_parent_cycles_are_named(spark):
+    from starloom.operators import graph as G
+
+    nodes = spark.createDataFrame([("a", "b", 1.0, 1), ("b", "a", 1.0, 1), ("c", None, 0.5, 2)], "node string, parent string, value double, visits int")
+    with pytest.raises(ValueError, match="cycle"):
+        G.reject_cycles(nodes.select("node", F.col("parent").alias("up")))
+    G.reject_cycles(nodes.filter("node = 'c'").select("node", F.col("parent").alias("up")))

@@ -44,7 +44,7 @@ def test_unsupported_file(spark, write):
 def test_profile_leaves_out_empty_columns(spark):
     df = spark.createDataFrame([(1, None, "x" * 70), (None, None, "b")], "a int, b string, c string")
     assert [(r.column_name, r.row_count, r.null_count) for r in FI.profile(df).collect()] == [("a", 2, 1), ("c", 2, 0)]
-    assert FI.samples(df)["c"] == ["x" * 60 + "…", "b"]
+    assert FI.samples(df)["c"] == ["x" * 70, "b"] and FI.samples(df, width=60)["c"] == ["x" * 60 + "…", "b"]
 
 
 def test_load_replaces_and_append_adds(spark, write, tmp_path):
@@ -224,3 +224,17 @@ def test_budget_state_carries_over_batches(spark, tmp_path):
         spark.createDataFrame([(1, day * 10 + i, 6) for i in range(4)], "agent long, seq long, w long").coalesce(1).write.mode("append").parquet(folder)
         out = ST.drain(ST.budget_stream(ST.file_stream(spark, folder, "agent long, seq long, w long"), "agent", ["seq"], "w", 20), "b", target=str(tmp_path / "out"))
     assert sorted(r.seq for r in out.collect()) == [3, 13, 23]
+
+
+def test_a_failing_stream_does_not_stop_the_others(spark, tmp_path):
+    from starloom.sources import sinks
+
+    bad = spark.range(3).select(F.raise_error(F.lit("broken")).alias("x"))
+    got = {(r.stream, r.status, r.rows_synced) for r in sinks.sync_streams({"a": spark.range(2).toDF("x"), "b": bad, "c": spark.range(4).toDF("x")}, str(tmp_path)).collect()}
+    assert got == {("a", "succeeded", 2), ("b", "failed", 0), ("c", "succeeded", 4)}
+
+
+def test_semicolons_in_quotes_do_not_split(spark):
+    from starloom.sources import catalog
+
+    assert catalog.run_ddl(spark, "SELECT ';' AS a; SELECT \"x;y\" AS b;") == 2
