@@ -7,8 +7,10 @@ row's own work.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructField, StructType
@@ -109,7 +111,7 @@ def first_fitting(candidates: Column, limit: int, tokens=word_count) -> Column:
     """First candidate with fewer tokens than the limit; none raises."""
     fits = F.filter(candidates, lambda c: tokens(c) < limit)
     return F.when(F.size(fits) > 0, F.try_element_at(fits, F.lit(1))).otherwise(
-        F.raise_error(F.lit("fail to reduce message length")).cast("string")
+        F.raise_error(F.lit("no candidate is below the token limit")).cast("string")
     )
 
 
@@ -170,55 +172,63 @@ def repair_json(text: Column) -> Column:
     return F.regexp_replace(trimmed, r"""("[^"\n]*"|'[^'\n]*')|[ \t]*(?:#|//)[^\n]*""", "$1")
 
 
-def _quoted(literal: str) -> str:
-    return "\\Q" + literal + "\\E"
+def _section_names(keys: list[str]) -> dict[str, set[str]]:
+    """Section name -> the marks of it that the keys ask for."""
+    asked: dict[str, set[str]] = {}
+    for key in keys:
+        if key.startswith("[") and key.endswith("]"):
+            asked.setdefault(key.strip("[/]"), set()).add(key)
+    return asked
 
 
-def _expected_case(text: str, key: str) -> str:
-    """A key written in another case takes its expected form."""
-    at = text.lower().find(key.lower())
-    return text if key in text or at < 0 else text.replace(text[at:at + len(key)], key)
+def _mended_section(text: str, name: str, asked: set[str]) -> str:
+    """One scan finds the marks of a section in any case; then its start and its end are decided once.
 
-
-def _completed_pair(text: str, key: str) -> str:
-    """Add the missing half of a [KEY] ... [/KEY] pair around JSON-like content."""
-    opening = key.replace("/", "")
-    closing = "[/" + opening[1:]
-    if opening not in text:
-        text = f"{opening}\n{text}"
-    body = text.rstrip()
-    if closing in text or body.endswith(opening):
-        return text
-    if not body.endswith(("}", "]")):
-        # keep the last section up to its final bracket
-        tail = text[text.rfind(opening):]
-        text = tail[:max(tail.rfind("}"), tail.rfind("]")) + 1]
-    return f"{text}\n{closing}"
-
-
-def _closed_by_last(text: str, key: str) -> str:
-    """The last of several opening marks becomes the missing closing one."""
-    opening = key.replace("/", "")
-    if key in text or text.count(opening) < 2:
-        return text
-    head, _, tail = text.rpartition(opening)
-    return head + key + tail
+    A mark that occurs in another case only takes the asked form.  A missing start goes to
+    the top.  For a missing end, the last of several starts becomes the end unless a body
+    that ends in a bracket follows it; otherwise the end follows the last bracket, and
+    what stands around that last section goes.
+    """
+    start, end = f"[{name}]", f"[/{name}]"
+    pieces = re.split(rf"(?i)(\[/?{re.escape(name)}\])", text)  # plain text and marks in turn
+    written = set(pieces[1::2])
+    for form in asked - written:
+        pieces[1::2] = [form if mark.lower() == form.lower() else mark for mark in pieces[1::2]]
+    if start not in pieces[1::2]:
+        pieces = ["", start, "\n" + pieces[0], *pieces[1:]]
+    if end in pieces[1::2]:
+        return "".join(pieces)
+    starts = [i for i in range(1, len(pieces), 2) if pieces[i] == start]
+    body = "".join(pieces[starts[-1] + 1:])
+    bracket = max(body.rfind("}"), body.rfind("]"))
+    if bracket < 0 and len(starts) > 1:
+        pieces[starts[-1]] = end
+        return "".join(pieces)
+    if not body.strip():
+        return "".join(pieces)
+    if bracket == len(body.rstrip()) - 1:
+        return "".join(pieces) + "\n" + end
+    return start + body[:bracket + 1] + "\n" + end
 
 
 def repair_sections(text: Column, keys: list[str]) -> Column:
     """Repair the section marks of a text: case, missing halves, a start instead of the end.
 
-    An Arrow helper: as column expressions every step would repeat the previous ones.
+    Keys without brackets are words whose case alone is set right.  An Arrow helper: the
+    marks of a text are found once, where column expressions would search again per decision.
     """
+    sections, words = _section_names(keys), [k for k in keys if not (k.startswith("[") and k.endswith("]"))]
 
     @F.pandas_udf(StringType())
     def repair(texts: pd.Series) -> pd.Series:
         def one(t):
-            for key in keys if t is not None else []:
-                t = _expected_case(t, key)
-                if key.startswith("[") and key.endswith("]"):
-                    t = _completed_pair(t, key)
-                t = _closed_by_last(t, key)
+            if t is None:
+                return None
+            for word in words:
+                if word not in t:
+                    t = re.sub(re.escape(word), lambda _: word, t, flags=re.IGNORECASE)
+            for name, asked in sections.items():
+                t = _mended_section(t, name, asked)
             return t
 
         return texts.map(one)
@@ -245,20 +255,22 @@ def _halves(line: str) -> list[str]:
     return ["".join(pieces[:middle]), "".join(pieces[middle:])]
 
 
-def _pack(text: str, budget: int) -> list[str]:
-    waiting, chunks, current, used = text.splitlines(keepends=True)[::-1], [], [], 0
-    while waiting:
-        line = waiting.pop()
-        size = len(line.split())
-        if used + size <= budget:
-            current.append(line)
-            used += size
-        elif size > budget:
-            waiting.extend(_halves(line)[::-1])
-        else:
-            chunks.append("".join(current))
-            current, used = [line], size
-    return chunks + ["".join(current)] if current else chunks
+def _within(line: str, budget: int) -> list[str]:
+    """The line, or its halves halved again until each has at most ``budget`` words."""
+    if len(line.split()) <= budget:
+        return [line]
+    return [piece for half in _halves(line) for piece in _within(half, budget)]
+
+
+def _packed(text: str, budget: int) -> list[str]:
+    """Cut points from the running word count: each chunk ends at the last piece that its budget reaches."""
+    pieces = [piece for line in text.splitlines(keepends=True) for piece in _within(line, budget)]
+    reached = np.cumsum([len(p.split()) for p in pieces])
+    cuts = [0]
+    while cuts[-1] < len(pieces):
+        before = reached[cuts[-1] - 1] if cuts[-1] else 0
+        cuts.append(int(np.searchsorted(reached, before + budget, side="right")))
+    return ["".join(pieces[i:j]) for i, j in zip(cuts, cuts[1:])]
 
 
 def pack_lines(text: Column, max_tokens: int, reserved: int = 0) -> Column:
@@ -269,7 +281,7 @@ def pack_lines(text: Column, max_tokens: int, reserved: int = 0) -> Column:
 
     @F.pandas_udf(ArrayType(StringType()))
     def pack(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else _pack(t, budget))
+        return texts.map(lambda t: None if t is None else _packed(t, budget))
 
     return pack(text)
 

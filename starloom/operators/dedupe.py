@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -9,7 +12,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from starloom.functions.rows import numbered_rows
 from starloom.functions.text import similar_texts
-from starloom.session import cut_lineage
+from starloom.session import cut_lineage, scratch_path
 
 
 def band_keys(text: Column, bands: int, rows: int, width: int) -> Column:
@@ -62,34 +65,55 @@ def link_components(links: DataFrame, max_rounds: int = 200) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def length_steps(length: Column, threshold: float) -> Column:
+    """Two neighbouring length classes of a text; texts whose lengths allow the similarity share one."""
+    step = F.floor(F.log(F.greatest(length, F.lit(1)).cast("double")) / math.log((2 - threshold) / threshold)).cast("long")
+    return F.array(step, step + 1)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str, text: str, threshold: float = 0.8, bands: int = 16, rows: int = 4,
                     width: int = 3) -> DataFrame:
-    """(id, keeper, is_kept) per document: the earliest of each group of similar texts is kept.
-
-    Equal texts are merged first.  Inside a band bucket each text is compared
-    with its bucket's earliest text only, not with every other one, so a bucket
-    costs one check per member however large it is.
-    Candidates are verified by the exact similarity; buckets may miss a pair,
-    the check never accepts a wrong one.
+    """(id, keeper, is_kept): in id order, a text goes if it is alike a kept one.
+
+    Texts that share a band bucket and a length class are compared, the later one with the
+    earlier one, because the similarity depends on the order.  Rounds settle them: a text
+    that is the earliest open one in all its buckets stays, and every later text of these
+    buckets is compared with it and goes if alike.  So texts meet kept ones only, and a
+    group of copies is settled by one round, however large.  Ids, buckets and lengths
+    circulate; a text is read for a comparison only.  Null texts count as empty, equal texts
+    as one.  ``keeper`` is a kept text that the row is alike; buckets may miss a pair.
     """
-    prints = docs.select(F.col(doc_id).alias("id"), F.sha2(text, 256).alias("h"), F.col(text).alias("t"))
-    firsts = cut_lineage(prints.groupBy("h").agg(F.min("id").alias("rep"), F.min_by("t", "id").alias("t")))
-    buckets = cut_lineage(numbered_rows(firsts, ["rep"], band_keys(F.col("t"), bands, rows, width), "band", "bucket"))
-    heads = buckets.groupBy("band", "bucket").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = buckets.join(heads, ["band", "bucket"]).filter("rep != head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    left, right = firsts.select(F.col("rep").alias("a"), F.col("t").alias("ta")), firsts.select(F.col("rep").alias("b"), F.col("t").alias("tb"))
-    checked = pairs.join(left, "a").join(right, "b")
-    shorter, longer = F.least(F.length("ta"), F.length("tb")), F.greatest(F.length("ta"), F.length("tb"))
-    # the ratio cannot exceed 2 * shorter / (shorter + longer): far too different lengths need no comparison
-    likely = checked.filter(2.0 * shorter / (shorter + longer) > threshold)
     spark = docs.sparkSession
+    prints = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("h", F.sha2("t", 256))
+    path = scratch_path(spark, "first-texts")
+    prints.groupBy("h").agg(F.min("id").alias("rep"), F.first("t").alias("t")).write.parquet(path)
+    firsts = spark.read.parquet(path)
+    banded = numbered_rows(firsts, ["rep", F.length("t").alias("n")], band_keys(F.col("t"), bands, rows, width), "band", "bucket")
+    members = banded.select("rep", "n", F.explode(length_steps(F.col("n"), threshold)).alias("step"), "band", "bucket")
+    members = members.select("rep", "n", F.xxhash64("step", "band", "bucket").alias("place"))
+    shared = cut_lineage(members.groupBy("place").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("place"))
+    waiting = cut_lineage(members.join(shared, "place"))
     # comparing is costly and the rows are few bytes: keep them on all cores
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    links = cut_lineage(likely.repartition(tasks).filter(similar_texts("ta", "tb", threshold)).select("a", "b"))
-    groups = link_components(links) if not links.isEmpty() else None
+    gone = []
+    while not waiting.isEmpty():
+        heads = waiting.groupBy("place").agg(F.min_by(F.struct(F.col("rep").alias("head"), F.col("n").alias("head_n")), "rep").alias("first"))
+        met = cut_lineage(waiting.join(heads, "place").select("rep", "n", "first.*", "place"))
+        stays = met.groupBy("rep").agg(F.max(F.col("rep") != F.col("head")).alias("late")).filter("not late").select(F.col("rep").alias("head"))
+        shorter, longer = F.least("n", "head_n"), F.greatest("n", "head_n")
+        # the similarity cannot exceed 2 * shorter / (shorter + longer)
+        near = met.filter((F.col("rep") != F.col("head")) & (2.0 * shorter > threshold * (shorter + longer)))
+        pairs = near.join(stays, "head", "left_semi").select("rep", "head").distinct()
+        later, earlier = firsts.select("rep", F.col("t").alias("tl")), firsts.select(F.col("rep").alias("head"), F.col("t").alias("te"))
+        alike = pairs.join(later, "rep").join(earlier, "head").repartition(tasks).filter(similar_texts("tl", "te", threshold))
+        dropped = cut_lineage(alike.groupBy("rep").agg(F.min("head").alias("keeper")))
+        gone.append(dropped)
+        settled = dropped.select("rep").unionByName(stays.select(F.col("head").alias("rep")))
+        waiting = cut_lineage(met.select("rep", "n", "place").join(settled, "rep", "left_anti"))
     placed = prints.select("id", "h").join(firsts.select("h", "rep"), "h")
-    if groups is None:
-        out = placed.withColumn("keeper", F.col("rep"))
+    if gone:
+        placed = placed.join(reduce(DataFrame.unionByName, gone), "rep", "left")
     else:
-        out = placed.join(groups.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("keeper", F.coalesce("root", "rep"))
+        placed = placed.withColumn("keeper", F.lit(None).cast(placed.schema["rep"].dataType))
+    out = placed.withColumn("keeper", F.coalesce("keeper", "rep"))
     return out.select(F.col("id").alias(doc_id), "keeper", (F.col("id") == F.col("keeper")).alias("is_kept"))

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# Fixed value: what a name may consist of.
 IDENTIFIER = re.compile(r"^[a-zA-Z0-9_]+$")
 
 
@@ -40,18 +41,21 @@ def table_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFram
     return spark.createDataFrame(rows, "table_name string, position int, column_name string, dtype string")
 
 
-def verify_table(spark: SparkSession, name: str) -> dict:
-    """Whether the table exists and its columns."""
-    if not spark.catalog.tableExists(name):
-        return {"exists": False, "columns": []}
-    return {"exists": True, "columns": [{"name": c, "type": t} for c, t in spark.table(name).dtypes]}
+def described(spark: SparkSession, name: str) -> DataFrame:
+    """(position, column_name, dtype) of one table; no rows where the catalog has no such table."""
+    dtypes = spark.table(name).dtypes if spark.catalog.tableExists(name) else []
+    return spark.createDataFrame([(i, c, t) for i, (c, t) in enumerate(dtypes, 1)], "position int, column_name string, dtype string")
 
 
-def table_schema(spark: SparkSession, name: str) -> list[dict]:
-    found = verify_table(spark, name)
-    if not found["exists"]:
-        raise RuntimeError(f"Table '{name}' does not exist.")
-    return found["columns"]
+def verify_table(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
+
+
+def table_schema(spark: SparkSession, name: str) -> DataFrame:
+    """As ``described``, for a table that must be there."""
+    if not verify_table(spark, name):
+        raise ValueError(f"the catalog holds no table named {name}")
+    return described(spark, name)
 
 
 STATEMENT = r"""(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|[^;'"`])+"""  # up to a semicolon outside quotes

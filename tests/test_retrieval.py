@@ -1,6 +1,7 @@
 """Vectors, BM25, merging, messages and near duplicates against brute force and known answers."""
 
 import datetime
+import random
 
 import numpy as np
 import pytest
@@ -130,6 +131,38 @@ def test_near_duplicates(spark):
     assert got == {1: True, 2: False, 3: False, 5: False, 9: True}
 
 
+def test_near_duplicates_follow_the_greedy_rule(spark):
+    from difflib import SequenceMatcher
+
+    path = "/root/testdata/sf0.01/documents.parquet"
+    docs = spark.read.parquet(path).filter("length(text) < 700").select("doc_id", "text")
+    texts = sorted((r.doc_id, r.text) for r in docs.collect())
+    kept = []
+    for i, t in texts:
+        if not any(2 * min(len(t), len(k)) > 0.8 * (len(t) + len(k)) and SequenceMatcher(None, t, k).ratio() > 0.8 for _, k in kept):
+            kept.append((i, t))
+    got = DD.near_duplicates(docs, "doc_id", "text").collect()
+    mine = {r.doc_id for r in got if r.is_kept}
+    by_id = dict(texts)
+    for r in got:  # whatever goes is alike a kept text
+        assert r.keeper in mine
+        assert r.is_kept or SequenceMatcher(None, by_id[r.doc_id], by_id[r.keeper]).ratio() > 0.8
+    right = {i for i, _ in kept}
+    assert len(got) == len(texts) and len(mine ^ right) <= 0.01 * len(texts)
+
+
+def test_near_duplicates_of_a_chain(spark):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+    a, b, c = " ".join(words[:20]), " ".join(words[100:104] + words[4:20]), " ".join(words[100:104] + words[200:204] + words[8:20])
+    assert [SequenceMatcher(None, x, y).ratio() > 0.8 for x, y in ((b, a), (c, b), (c, a))] == [True, True, False]
+    rows = [(1, a), (2, b), (3, c), (4, None), (5, "")]
+    got = {r.id: (r.keeper, r.is_kept) for r in DD.near_duplicates(spark.createDataFrame(rows, "id int, t string"), "id", "t", bands=64, rows=1).collect()}
+    assert got == {1: (1, True), 2: (1, False), 3: (3, True), 4: (4, True), 5: (4, False)}
+
+
 def test_recall_merge_is_ranked(spark):
     df = spark.createDataFrame([(1, 1, 0.1), (1, 2, 0.9), (2, 1, 0.1), (2, 2, 0.9), (2, 3, 0.5)], "q int, position int, score double")
     got = {(r.q, r["rank"]): r.position for r in R.recall_merge(df, "q", 2).collect()}

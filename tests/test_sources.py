@@ -57,8 +57,10 @@ def test_load_replaces_and_append_adds(spark, write, tmp_path):
     SI.staging_shell(FI.read_table(spark, path), "shell_t", str(tmp_path / "s"))
     assert spark.table("shell_t").count() == 0 and spark.table("shell_t").columns == ["id", "v"]
     assert {"default.appended_t", "default.loaded_t", "default.shell_t"} <= set(C.list_tables(spark))
-    assert C.verify_table(spark, "loaded_t")["exists"] and not C.verify_table(spark, "nothing_here")["exists"]
-    with pytest.raises(RuntimeError):
+    assert C.verify_table(spark, "loaded_t") and not C.verify_table(spark, "nothing_here")
+    assert [tuple(r) for r in C.table_schema(spark, "loaded_t").collect()] == [(1, "id", "int"), (2, "v", "double")]
+    assert C.described(spark, "nothing_here").count() == 0
+    with pytest.raises(ValueError):
         C.table_schema(spark, "nothing_here")
     counts = {r.table_name: r.row_count for r in C.catalog_inventory(spark).collect()}
     assert counts["default.appended_t"] == 4

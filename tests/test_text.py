@@ -77,7 +77,7 @@ def test_pack_lines(apply):
 
 def test_first_fitting(apply):
     assert apply(lambda c: T.first_fitting(F.split(c, "\\|"), 3), "a b c|a b|a") == ["a b"]
-    with pytest.raises(Exception, match="fail to reduce"):
+    with pytest.raises(Exception, match="no candidate is below"):
         apply(lambda c: T.first_fitting(F.split(c, "\\|"), 1), "a b c|a b")
 
 
@@ -114,6 +114,18 @@ def test_repair_sections(apply):
     assert got[2] == "[CONTENT] x [/CONTENT]"
     assert got[3] == '[CONTENT]\n{"a": 1}\n[/CONTENT]'
     assert got[4].endswith("[/CONTENT]") and got[5] is None
+    both = lambda c: T.repair_sections(c, ["[CONTENT]", "[/CONTENT]", "Shared Knowledge"])
+    got = apply(both, "[content] {}\n[/Content]", "[CONTENT] a [CONTENT] b", "x: shared knowledge [CONTENT][/CONTENT]", "")
+    assert got == ["[CONTENT] {}\n[/CONTENT]", "[CONTENT] a [/CONTENT] b", "x: Shared Knowledge [CONTENT][/CONTENT]", "[CONTENT]\n"]
+
+
+def test_pack_lines_is_greedy(apply):
+    rng = random.Random(3)
+    text = "\n".join(" ".join("w" for _ in range(rng.randrange(0, 60))) for _ in range(50))
+    chunks = apply(lambda c: T.pack_lines(c, 160), text)[0]
+    assert "".join(chunks) == text
+    for this, following in zip(chunks, chunks[1:]):
+        assert len(this.split()) <= 60 < len(this.split()) + len(following.splitlines()[0].split())
 
 
 def test_rouge_and_bleu(spark):
