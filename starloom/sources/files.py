@@ -204,6 +204,6 @@ def json_lines_subset(spark: SparkSession, path: str, schema: str, indices: Data
 def experiences_from_log(lines: DataFrame, schema: str, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """Experience rows of a log and the marked lines whose JSON cannot be read."""
     marked = lines.filter(F.col(column).contains(EXPERIENCE_PREFIX)).select(
-        F.regexp_extract(column, r"(?s)" + T._quoted(EXPERIENCE_PREFIX) + r"(.*)$", 1).alias("body"))
+        F.regexp_extract(column, rf"(?s)\Q{EXPERIENCE_PREFIX}\E(.*)$", 1).alias("body"))
     good = marked.filter(T.is_json(F.col("body")))
     return good.select(F.from_json("body", schema).alias("__e")).select("__e.*"), marked.filter(~T.is_json(F.col("body")))
