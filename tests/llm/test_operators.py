@@ -294,6 +294,26 @@ def test_repeats_equal_brute_force(spark, awkward, empty, hot):
     assert suffix.repeat_report(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [suffix.HOT, 1])
+def test_repeated_rows_and_null_ids_keep_one_text(spark, hot):
+    only = [" ".join(f"{name}{i}" for i in range(90)) for name in ("twice", "null", "other")]
+    rows = [(1, PHRASE * 20), (2, only[0]), (2, only[0]), (2, PHRASE * 20), (3, only[0] + " end"), (None, only[1]), (None, only[1]), (None, only[1]), (None, only[2]), (None, only[1] + only[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    order = {(r.doc_id, r.text): r.th for r in docs.withColumn("th", F.xxhash64("text")).collect()}
+    seen, want = set(), Counter()
+    for i, t in sorted(order, key=lambda r: (r[0] is None, r[0] or 0, order[r])):
+        b = t.encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - 99):
+            if b[p:p + 100] in seen:
+                gone[p:p + 100] = b"\1" * 100
+            seen.add(b[p:p + 100])
+        runs = sum(1 for k in range(len(b)) if gone[k] and not (k and gone[k - 1]))
+        want[(i, len(b), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest())] += rows.count((i, t))
+    assert Counter(tuple(r) for r in suffix.repeat_report(docs, hot).collect()) == want
+    assert want[(2, len(only[0]), 0, 0, hashlib.sha256(only[0].encode()).hexdigest())] == 2
+
+
 def test_interval_expansion_finds_equal_strings():
     draw = np.random.default_rng(9)
     text = np.append(draw.integers(2, 4, 3000), 0).astype(np.uint16)
