@@ -171,6 +171,15 @@ def test_near_classes_on_awkward_rows(awkward, empty):
     assert minhash.near_duplicates(empty).count() == 0 and minhash.one_of_each(empty).count() == 0
 
 
+def test_copies_that_differ_in_repeats_are_one_class(spark):
+    rows = []
+    for k in range(40):
+        words = [f"w{k}x{i}" for i in range(104)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:30] * 50 + words))]
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
 def test_prob_minhash_estimates_weighted_overlap():
     draw = np.random.default_rng(3)
     shared, one, two = (draw.integers(0, 1 << 63, n, dtype=np.uint64) for n in (700, 150, 150))
