@@ -87,7 +87,7 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
-    """The driver takes the counts' histogram, the head words and 64 class sums."""
+    """The driver takes the counts' histogram, the head words, the end token whatever its count, and 64 class sums."""
     sizes = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     least, kept = 1, 0
     for r in counts.groupBy("n").count().orderBy(F.desc("n")).limit(head).collect():
@@ -95,7 +95,7 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
         if kept > head:
             least = r["n"] + 1
             break
-    words = sorted(((-r["n"], bytes(r["word"])) for r in counts.filter(F.col("n") >= least).toLocalIterator()))
+    words = sorted(((-r["n"], bytes(r["word"])) for r in counts.filter((F.col("n") >= least) | (F.octet_length("word") == 0)).toLocalIterator()))
     ids = {w: i for i, (_, w) in enumerate(words)}
     last = F.conv(F.hex(F.substring("word", -1, 1)), 16, 10).cast("int")
     by_class = F.when(last < 64, last.bitwiseAND(31)).otherwise(F.lit(32) + last.bitwiseAND(31))
@@ -105,6 +105,9 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     for n, w in words[:CLASSES * PER_CLASS]:
         if w:
             rest[rest_class(w[-1])] -= 1 - n
+    for n, w in words[CLASSES * PER_CLASS:]:
+        if not w:
+            rest[0] += 1 - n
     return Vocabulary(ids, np.array([-n for n, _ in words], dtype=np.int64), rest, sizes["total"] or 0, sizes["distinct"] or 0)
 
 
@@ -262,7 +265,7 @@ class Encoder:
         known = np.where(flat < 0, len(self.v.ids), flat)
         classes = (self.v.class_of[flat] if len(self.v.ids) else np.full(len(flat), CLASSES, dtype=np.int16)).copy()
         unknown = np.flatnonzero(flat < 0)
-        classes[unknown] = self.rest_of(unknown, tails)
+        classes[unknown] = self.rest_of(tails)
         inputs = self.inputs[known]
         inputs[unknown] = CLASSES * PER_CLASS + classes[unknown] - CLASSES
         starts = np.cumsum(lengths) - lengths
@@ -271,11 +274,9 @@ class Encoder:
         shifted[starts] = BOS
         return flat, known, classes, shifted, starts, lengths, tails
 
-    def rest_of(self, unknown, tails):
-        last = [w[-1] for t in tails for w in t]
-        if len(last) < len(unknown):  # an end token that training never saw
-            return np.full(len(unknown), CLASSES, dtype=np.int16)
-        return np.array([CLASSES + rest_class(b) for b in last], dtype=np.int16)
+    def rest_of(self, tails):
+        end = [] if END in self.v.ids else [CLASSES]  # an end token that training never saw
+        return np.array([c for t in tails for c in [*(CLASSES + rest_class(w[-1]) for w in t), *end]], dtype=np.int16)
 
 
 def token_chunks(batches, most: int = 8 << 20):

@@ -256,6 +256,27 @@ def test_language_model_is_a_distribution():
     assert own + rest == pytest.approx(1, abs=1e-4)
 
 
+@pytest.mark.parametrize(("n", "times", "head"), [(70_000, 1, lm.HEAD), (1_500, 2, lm.HEAD)])
+def test_language_model_keeps_the_end_token(spark, n, times, head):
+    text = " ".join([f"w{i}{chr(97 + i % 26)}" for i in range(n)] * times)
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 7 != 2][:2]
+    docs = spark.createDataFrame([(i, text) for i in ids], "doc_id long, text string")
+    counts = docs.select(F.col("text").cast("binary")).mapInArrow(lm.count_words, lm.COUNTS).groupBy("word").agg(F.sum("n").alias("n"))
+    v = lm.vocabulary(counts, head)
+    want = np.ones(lm.RESTS)
+    for r in counts.collect():
+        w = bytes(r.word)
+        if v.ids.get(w, v.own) >= v.own:
+            want[lm.rest_class(w[-1]) if w else 0] += r.n + 1
+    assert lm.END in v.ids and v.rest.tolist() == want.tolist()
+    _, _, classes, *_ = lm.Encoder(v).stream([b"zzz-b zzz-c"])
+    assert classes[:2].tolist() == [lm.CLASSES + lm.rest_class(b) for b in b"bc"]
+    total, distinct = 2 * (n * times + 1), n + 1
+    for r in lm.score_texts(docs, head).collect():
+        assert r.n_known == r.n_tokens == n * times + 1
+        assert r.base_score == pytest.approx(n * times * math.log10(2 * times + 1) + math.log10(3) - r.n_tokens * math.log10(total + distinct + 1))
+
+
 def test_url_rules(spark, empty):
     given = [(1, "http://A.Example.NET/en/1", "a.example.net", "/en/1", "example.net/en/", "allow"), (2, "x://net/?q", "net", "/", "net/", "block"),
              (3, "https://net", "net", "", None, None), (4, None, "", "", None, None), (5, "no scheme", "", "", None, None),
