@@ -4,8 +4,8 @@ Words are counted over all training documents.  The most frequent ones have thei
 outputs, in classes of equal size; every other word belongs to one of 64 classes by its last
 byte and is drawn in it by its count, unseen words by one.  So the model is a distribution
 over all texts, and what a word outside the broadcast vocabulary adds is its count, which
-comes from a join.  The recurrent weights are trained by truncated backpropagation on hashed
-shares of the training documents, in parallel, and averaged.
+comes from a join.  The recurrent weights are trained by truncated backpropagation on all
+training documents, in hashed shares, in parallel, and averaged.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ RESTS = 64
 HIDDEN = 16
 LANES = 256
 WINDOW = 32
-TRAIN = 300_000  # trained words are the geometric mean of this and of all words
 PER_TRAINER = 250_000
 ROUNDS = 2
 TRAIN_LANES, TRAIN_WINDOW, RATE = 32, 16, 0.01
@@ -367,17 +366,17 @@ def trainer(v: Vocabulary, flat_weights: np.ndarray):
 
 
 def train(rows: DataFrame, v: Vocabulary) -> np.ndarray:
-    """Rounds of parallel training on disjoint shares, each followed by averaging in Spark."""
+    """Rounds of parallel training on disjoint shares of all rows, each followed by averaging in Spark.
+
+    Rows are dealt to rounds by a hash of id and text, so copies under several ids are spread.
+    """
     weights = starting_weights(v)
-    wanted = math.sqrt(float(v.total) * TRAIN)
     if not v.total:
         return weights
-    share = min(1.0, wanted / v.total)
-    trainers = max(1, round(wanted * min(1.0, v.total / wanted) / ROUNDS / PER_TRAINER))
-    picked = rows.filter(F.pmod(F.xxhash64("bytes", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = saved(picked.withColumn("turn", F.pmod(F.xxhash64("bytes", F.lit(6)), F.lit(ROUNDS))), "lm-train")
+    trainers = max(1, round(v.total / ROUNDS / PER_TRAINER))
+    turns = rows.withColumn("turn", F.pmod(F.xxhash64("doc_id", "bytes", F.lit(6)), F.lit(ROUNDS)))
     for turn in range(ROUNDS):
-        dealt = sample.filter(F.col("turn") == turn).drop("turn").repartition(trainers)
+        dealt = turns.filter(F.col("turn") == turn).select("bytes").repartition(trainers)
         made = saved(dealt.mapInPandas(trainer(v, weights), "weights array<float>, tokens long"), "lm-weights")
         mean = made.select("tokens", F.posexplode("weights").alias("i", "w")).groupBy("i").agg((F.sum(F.col("w") * F.col("tokens")) / F.sum("tokens")).alias("w")).toPandas()
         if len(mean):
@@ -394,8 +393,8 @@ def score_texts(docs: DataFrame, head: int = HEAD) -> DataFrame:
     """
     held_out = fold("doc_id", FOLDS) == HELD_OUT
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.monotonically_increasing_id().alias("row"), text_of().cast("binary").alias("bytes"))
-    training = rows.filter(~F.col("held_out")).select("bytes")
-    counts = saved(training.mapInArrow(count_words, COUNTS).groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    training = rows.filter(~F.col("held_out")).select("doc_id", "bytes")
+    counts = saved(training.select("bytes").mapInArrow(count_words, COUNTS).groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     v = vocabulary(counts, head)
     weights = train(training, v)
     scored = saved(rows.mapInArrow(scorer(v, weights), SCORED), "lm-scores")

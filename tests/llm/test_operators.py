@@ -256,6 +256,23 @@ def test_language_model_is_a_distribution():
     assert own + rest == pytest.approx(1, abs=1e-4)
 
 
+def test_language_model_trains_on_all_rows(spark, monkeypatch):
+    same, own = " ".join(f"s{i % 50}" for i in range(1000)), " ".join(f"t{i % 40}" for i in range(1000))
+    docs = spark.createDataFrame([(i, same if i % 3 else f"{own} {i}") for i in range(600)], "doc_id long, bytes string").withColumn("bytes", F.col("bytes").cast("binary"))
+    counts = docs.select("bytes").mapInArrow(lm.count_words, lm.COUNTS).groupBy("word").agg(F.sum("n").alias("n"))
+    v, seen, write = lm.vocabulary(counts), [], lm.saved
+
+    def counting(df, label):
+        out = write(df, label)
+        if label == "lm-weights":
+            seen.append(out.agg(F.sum("tokens")).first()[0])
+        return out
+
+    monkeypatch.setattr(lm, "saved", counting)
+    lm.train(docs, v)
+    assert sum(seen) == v.total and len(seen) == lm.ROUNDS and min(seen) > 0.4 * v.total
+
+
 @pytest.mark.parametrize(("n", "times", "head"), [(70_000, 1, lm.HEAD), (1_500, 2, lm.HEAD)])
 def test_language_model_keeps_the_end_token(spark, n, times, head):
     text = " ".join([f"w{i}{chr(97 + i % 26)}" for i in range(n)] * times)
