@@ -46,15 +46,34 @@ def query_blocks(queries: DataFrame, query_id: str, vector: str, limit: int = BL
 
 
 SCORES = 8 << 20  # of one score matrix
-MARGIN = 8
+PAIR_VALUES = 4 << 20  # of vector components in one step of exact distances
 
 
-def _exact_distances(left, right, rough, k):
-    """Distances from differences for the nearest by product and a margin; infinite for the rest."""
-    near = np.argpartition(rough, min(k + MARGIN, len(rough)) - 1, axis=0)[:k + MARGIN]
-    exact = np.full(rough.shape, np.inf)
-    for row in near:  # one candidate of every query at a time
-        exact[row, np.arange(len(right))] = np.sqrt(((left[row] - right) ** 2).sum(axis=1))
+def _exact_distances(left, right, gaps, skip, k, digits):
+    """Distances from differences for every pair that can be among the nearest k, ties included; infinite for the rest.
+
+    ``gaps`` are squared distances by product.  Their error is below (width + 4) epsilon of the
+    squared sum of both norms, so the k-th upper bound of a query is above its k-th distance, and
+    a pair whose lower bound is above that by more than a rounding step is not among the nearest.
+    """
+    width, eps = left.shape[1], np.finfo(np.float64).eps
+    error = np.linalg.norm(left, axis=1)[:, None] + np.linalg.norm(right, axis=1)[None, :]
+    error *= error
+    error *= (width + 4) * eps
+    exact = np.full(gaps.shape, np.inf)
+    if len(left) > k:
+        upper = np.sqrt(np.maximum(gaps + error, 0.0))
+        upper[skip] = np.inf
+        limit = np.partition(upper, k - 1, axis=0)[k - 1] * (1 + 4 * (width + 4) * eps) + 1.001 * 10.0**-digits
+        np.subtract(gaps, error, out=upper)
+        far = np.sqrt(np.maximum(upper, 0.0, out=upper), out=upper) > limit  # never where a bound is no number
+        rows, cols = np.nonzero(~(far | skip))
+    else:
+        rows, cols = np.nonzero(~skip)
+    step = max(1, PAIR_VALUES // max(width, 1))
+    for at in range(0, len(rows), step):
+        r, c = rows[at:at + step], cols[at:at + step]
+        exact[r, c] = np.sqrt(((left[r] - right[c]) ** 2).sum(axis=1))
     return exact
 
 
@@ -84,10 +103,10 @@ def top_k(store: DataFrame, queries: DataFrame, store_id: str, query_id: str, ve
                     score = _unit(left) @ right.T
                 else:
                     gaps = (left**2).sum(axis=1)[:, None] + squares[None, :] - 2 * (left @ right.T)
-                    score = np.sqrt(np.maximum(gaps, 0.0))
                 names = batch[store_id].to_numpy()
                 if metric != "cosine":
-                    score = _exact_distances(left, right, np.where(names[:, None] == ids[None, :], np.inf, score) if exclude_self else score, k)
+                    own = names[:, None] == ids[None, :] if exclude_self else np.zeros(gaps.shape, dtype=bool)
+                    score = _exact_distances(left, right, gaps, own, k, digits)
                 score = np.round(score, digits)
                 cost = sign * score
                 if exclude_self:

@@ -229,3 +229,15 @@ def test_parent_cycles_are_named(spark):
     with pytest.raises(ValueError, match="cycle"):
         G.reject_cycles(nodes.select("node", F.col("parent").alias("up")))
     G.reject_cycles(nodes.filter("node = 'c'").select("node", F.col("parent").alias("up")))
+
+
+def test_l2_keeps_every_tie_and_close_rows_of_large_norm(spark):
+    draw = np.random.default_rng(4)
+    order = draw.permutation(200)
+    same = [(int(i), [3.0, 1.0 + 1e-13 * int(i % 7), 2.0] if i < 100 else [4.0 + float(i), 0.0, 0.0]) for i in order]
+    close = [(1000 + int(i), [1e6, 1e6, 1e6 + 1e-3 * int(i + 1)]) for i in order]
+    store = spark.createDataFrame([*same, *close], "id long, v array<double>").coalesce(1)
+    asked = spark.createDataFrame([(1, [3.0, 1.0, 2.0]), (2, [1e6, 1e6, 1e6])], "q long, v array<double>")
+    got = V.top_k(store, asked, "id", "q", "v", k=5, metric="l2").collect()
+    assert sorted(r.id for r in got if r.q == 1) == [0, 1, 2, 3, 4]
+    assert sorted(r.id for r in got if r.q == 2) == [1000, 1001, 1002, 1003, 1004]
