@@ -137,39 +137,36 @@ class CatCross(FeatureTool):
     """``<a>_<b>``: id of a pair of categories, n_a * n_b for an unseen one.
 
     Ids are rank_a * n_b + rank_b over the sorted values (null last), so the
-    product of the two value sets is never built.  Every column above
-    ``max_cat_num`` is left out, also when two such columns are neighbours.
+    product of the two value sets is never built.  The ranks of a column are a
+    written table that is joined by value.  All columns are crossed unless
+    ``max_cat_num`` is given: then every column above it is left out, also
+    when two such columns are neighbours.
     """
 
-    def __init__(self, cols: list[str], max_cat_num: int = 100):
+    def __init__(self, cols: list[str], max_cat_num: int | None = None):
         super().__init__(cols)
         self.max_cat_num = max_cat_num
 
     def _fit(self, df):
-        sizes = df.agg(*[F.countDistinct(c).alias(c) for c in self.features]).first()
-        self.kept = [c for c in self.features if sizes[c] <= self.max_cat_num]
-        # at most max_cat_num + 1 values per column reach the driver
-        self.values = {}
-        for c in self.kept:
-            found = df.select(c).distinct().collect()
-            known = sorted(r[0] for r in found if r[0] is not None)
-            self.values[c] = known + ([None] if len(known) < len(found) else [])
-
-    def _rank(self, c):
-        out = F.lit(None).cast("int")
-        known = [v for v in self.values[c] if v is not None]
-        if known:
-            out = F.nullif(F.array_position(F.array(*[F.lit(v) for v in known]), F.col(c)), F.lit(0)) - 1
-        if None in self.values[c]:
-            out = F.when(F.col(c).isNull(), F.lit(len(known))).otherwise(out)
-        return out
+        self.kept = self.features
+        if self.max_cat_num is not None:
+            sizes = df.agg(*[F.countDistinct(c).alias(c) for c in self.features]).first()
+            self.kept = [c for c in self.features if sizes[c] <= self.max_cat_num]
+        self.ranks = {c: cut_lineage(number_rows(df.select(c).distinct(), [c], f"__rank_{c}", start=0)) for c in self.kept}
+        self.sizes = {c: ranks.count() for c, ranks in self.ranks.items()}
 
     def _transform(self, df):
+        if len(self.kept) < 2:
+            return df
+        ranked = df
+        for c in self.kept:
+            ranks = self.ranks[c].withColumnRenamed(c, "__value")
+            ranked = ranked.join(small_side(ranks), F.col(c).eqNullSafe(F.col("__value")), "left").drop("__value")
         made = {}
         for a, b in combinations(self.kept, 2):
-            n_a, n_b = len(self.values[a]), len(self.values[b])
-            made[f"{a}_{b}"] = F.coalesce(self._rank(a) * n_b + self._rank(b), F.lit(n_a * n_b)).cast("long")
-        return df.withColumns(made) if made else df
+            n_a, n_b = self.sizes[a], self.sizes[b]
+            made[f"{a}_{b}"] = F.coalesce(F.col(f"__rank_{a}") * n_b + F.col(f"__rank_{b}"), F.lit(n_a * n_b)).cast("long")
+        return ranked.withColumns(made).drop(*[f"__rank_{c}" for c in self.kept])
 
 
 _GROUP_FUNCTIONS = {

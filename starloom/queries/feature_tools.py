@@ -162,7 +162,7 @@ JOIN a ON x.kind IS NOT DISTINCT FROM a.v JOIN b ON x.band IS NOT DISTINCT FROM
 def feat_catcross(spark, sf):
     """The user column has too many categories and stays uncrossed."""
     df = _events(spark, sf).select("event_id", "kind", F.floor(F.col("value") / 100).cast("int").alias("band"), "user_id")
-    return FE.CatCross(["kind", "band", "event_id"]).fit_transform(df)
+    return FE.CatCross(["kind", "band", "event_id"], max_cat_num=100).fit_transform(df)
 
 
 @query(f"""WITH {_EVENTS}, g AS (SELECT kind, round(avg(value), 6) AS value_mean_by_kind, round(stddev_samp(value), 6) AS value_std_by_kind,

@@ -124,6 +124,12 @@ def test_cross(wide):
     assert "cat1_cat2" not in FE.CatCross(["cat1", "cat2"], max_cat_num=3).fit_transform(wide).columns
 
 
+def test_cross_of_many_categories(spark):
+    rows = [(i % 3, i if i else None) for i in range(250)]
+    out = FE.CatCross(["a", "b"]).fit_transform(spark.createDataFrame(rows, "a int, b int").repartition(3)).collect()
+    assert sorted((r.a, r.b or 0, r.a_b) for r in out) == sorted((a, b or 0, a * 250 + (249 if b is None else b - 1)) for a, b in rows)
+
+
 def test_cross_unseen(spark, wide):
     tool = FE.CatCross(["cat1", "cat2"]).fit(wide)
     assert tool.transform(spark.createDataFrame([("Z", "A")], "cat1 string, cat2 string")).first().cat1_cat2 == 6
