@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import decontam, lm, merkle, minhash, mixing, quality, rules, sharding, suffix, urls, warc
+from starloom.llm import alignment, decontam, lm, merkle, minhash, mixing, quality, rules, secrets, sharding, suffix, urls, warc
 from starloom.llm.common import table
 
 QUERIES: dict = {}
@@ -184,3 +184,13 @@ FROM placed p JOIN ended e ON p.lang IS NOT DISTINCT FROM e.lang AND p.pos = e.p
 @query(MANIFEST_SQL)
 def op11_merkle_manifest(spark, folder):
     return merkle.manifest_report(table(spark, folder, "documents"))
+
+
+@query()
+def op12_secret_scan(spark, folder):
+    return secrets.secret_report(table(spark, folder, "documents"))
+
+
+@query()
+def op13_token_alignment(spark, folder):
+    return alignment.alignment_report(table(spark, folder, "documents"))
