@@ -27,6 +27,15 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def boxed(docs: DataFrame, *columns) -> DataFrame:
+    """Whole rows as one column ``_doc`` and beside it only the columns that an operator reads.
+
+    Whatever else a row carries, and whatever it is called, cannot meet a name that the operator
+    makes; ``select("_doc.*")`` gives the rows back.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *columns)
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.llm.common import let, plain_words, saved, text_of, windows_of
+from starloom.llm.common import boxed, let, plain_words, saved, text_of, windows_of
 
 N = 10
 BROADCAST_BYTES = 64 << 20
@@ -85,15 +85,21 @@ def contamination_report(docs: DataFrame, items: DataFrame, n: int = N) -> DataF
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
-    """The documents in which no window of an item occurs, with all their columns."""
+    """The documents in which no window of an item occurs, with all their columns, whatever these are called.
+
+    Null and empty texts and all documents of a table without items stay; repeated rows stay or go together.
+    """
     bad = window_hits(docs, items, n=n).filter(F.size("_spans") > 0).select(F.col("_id").alias("_bad_id"), F.col("_th").alias("_bad_th")).distinct()
-    return docs.join(saved(bad, "contaminated"), docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"]) == F.col("_bad_th")), "left_anti")
+    rows = boxed(docs, "doc_id", F.xxhash64("text").alias("_th"))
+    return rows.join(saved(bad, "contaminated"), F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.col("_th") == F.col("_bad_th")), "left_anti").select("_doc.*")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
     """All documents, without the words inside occurrences of item windows; other characters stay."""
     bad = window_hits(docs, items, n=n).filter(F.size("_spans") > 0).groupBy(F.col("_id").alias("_bad_id"), F.col("_th").alias("_bad_th")).agg(F.first("_spans").alias("_spans"))
-    joined = docs.join(saved(bad, "spans"), docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"]) == F.col("_bad_th")), "left")
+    rows = boxed(docs, "doc_id", "text")
+    joined = rows.join(saved(bad, "spans"), F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_th")), "left")
+
     def rebuilt(ws):
         gaps = F.split(F.col("text"), ANY_CASE)
         hit = lambda i: F.exists("_spans", lambda s: (i >= s["pos"]) & (i < s["pos"] + s["len"]))
@@ -101,4 +107,4 @@ def remove_spans(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
 
     words = F.regexp_extract_all(F.col("text"), F.lit(ANY_CASE), F.lit(0))
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(let(words, rebuilt))
-    return joined.withColumn("text", text).select(*docs.columns)
+    return joined.withColumn("_new", text).select(*[F.col("_new").alias("text") if c == "text" else F.col(f"_doc.`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.llm.common import let, plain_words, saved, windows_of
+from starloom.llm.common import boxed, let, plain_words, saved, windows_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -256,15 +256,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The document with the least id of every class, with all its columns; of repeated rows one stays."""
+    """The document with the least id of every class, with all its columns, whatever these are called.
+
+    Of rows repeated in id and words one stays; an empty table gives none.
+    """
     placed = saved(near_classes(docs), "classes")
     chosen = saved(placed.groupBy("root").agg(F.min(F.struct("doc_id", "node")).alias("c")).select(F.col("c.doc_id").alias("_id"), F.col("c.node").alias("_node")), "chosen")
     words = plain_words(F.coalesce("text", F.lit("")))
-    keyed = docs.withColumn("_key", let(words, lambda w: node_of(w, F.col("doc_id"), F.col("text"))))
+    keyed = boxed(docs, "doc_id", "text").withColumn("_key", let(words, lambda w: node_of(w, F.col("doc_id"), F.col("text"))))
     kept = keyed.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_node")), "left_semi")
     repeated = placed.groupBy(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).count().filter("count > 1").select("_id", "_node")
     if not repeated.isEmpty():
         again = saved(repeated, "repeated")
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_node"))
         kept = kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "_key"]))
-    return kept.select(*docs.columns)
+    return kept.select("_doc.*")

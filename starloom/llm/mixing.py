@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom.llm.common import BLANKS, running_sums, saved
+from starloom.llm.common import BLANKS, boxed, running_sums, saved
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -97,18 +97,27 @@ def mixed_sizes(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
     """The mix itself: whole documents in the order of their virtual finish times, repeats as further rows.
 
-    A document is in as often as it finishes before the cut; documents without words
-    finish at once and stay in once.  Equal (source, id, size) rows finish together.
+    A document is in as often as it finishes before its source's target.  The one that is being
+    served there is in, too, if that brings the source nearer to its target, or if the source
+    would have nothing otherwise.  Documents without words finish at once and stay in once.
+    Equal (source, id, size) rows finish together.  All columns stay, whatever they are called;
+    an empty table gives an empty mix.
     """
     rows = mix(docs, weights, share, repeats)
     rounds = F.sequence(F.lit(0), F.lit(repeats - 1))
-    end = F.col("before") + F.col("words")
+    end, target = F.col("before") + F.col("words"), F.floor("target")
+
+    def taken(r):
+        begins, stops = F.col("before") + r * F.col("source_size"), end + r * F.col("source_size")
+        nearer = (begins < target) & ((stops - target < target - begins) | (begins == 0))
+        return (stops <= target) | nearer
+
     ends = F.when(F.col("words") == 0, F.array(F.struct(F.try_divide(end, F.col("weight")).alias("t")))).otherwise(
-        F.transform(F.filter(rounds, lambda r: end + r * F.col("source_size") <= F.floor("target")),
+        F.transform(F.filter(rounds, taken),
                     lambda r: F.struct(((end + r * F.col("source_size")) / F.col("weight")).alias("t"))))
     kept = saved(rows.select(F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"), ends.alias("_ends")).filter(F.size("_ends") > 0), "mix")
-    same = docs["source"].eqNullSafe(F.col("_source")) & docs["doc_id"].eqNullSafe(F.col("_id")) & (word_count() == F.col("_size"))
+    same = F.col("source").eqNullSafe(F.col("_source")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (word_count() == F.col("_size"))
     # short rows below a counted limit are broadcast, so the texts move once, for the order
     side = F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
-    timed = docs.join(side, same).withColumn("_end", F.explode("_ends"))
-    return timed.orderBy(F.col("_end.t"), F.col("doc_id")).select(*docs.columns)
+    timed = boxed(docs, "source", "doc_id", "text").join(side, same).select("_doc", "doc_id", F.explode("_ends").alias("_end"))
+    return timed.orderBy(F.col("_end.t"), F.col("doc_id")).select("_doc.*")

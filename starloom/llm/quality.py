@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.llm.common import fold, let, saved, text_of, words_of
+from starloom.llm.common import boxed, fold, let, saved, text_of, words_of
 from starloom.llm.rules import STOP_WORDS, SYMBOLS, removed_by, removed_chars
 
 SAMPLE = 400_000  # most labelled rows that a model is fitted on
@@ -106,7 +106,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     n = known.count()
     if n > sample:
         known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int((1 << 30) * sample / n))
-    return docs.join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select(statistics().alias("stats"), "label", (F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(4)) == 0).alias("calibrate"))
+    rows = docs.select("doc_id", "text")
+    return rows.join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select(statistics().alias("stats"), "label", (F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(4)) == 0).alias("calibrate"))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> QualityModel:
@@ -164,5 +165,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, th
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the classifier does not reject, with all their columns."""
-    return with_score(docs, fit_quality(docs, labels, sample)).filter(F.col("_score") >= threshold).drop("_score")
+    """The documents that the classifier does not reject, with all their columns, whatever these are called.
+
+    Null and empty texts are scored like any other, equal rows alike, a score at the threshold
+    stays; without documents the result is empty, without labels everything stays.
+    """
+    scored = with_score(boxed(docs, "text"), fit_quality(docs, labels, sample))
+    return scored.filter(F.col("_score") >= threshold).select("_doc.*")
