@@ -31,7 +31,8 @@ LANES = 256
 WINDOW = 32
 PER_TRAINER = 250_000
 ROUNDS = 2
-TRAIN_LANES, TRAIN_WINDOW, RATE = 32, 16, 0.01
+TRAIN_LANES, TRAIN_WINDOW, RATE = 128, 16, 0.02
+SEGMENT = 256  # tokens of a document that one lane trains on in a row
 COUNTED = 1_000_000  # different words that one task holds while counting
 END = b""  # the end token: no word is empty
 
@@ -170,77 +171,105 @@ class Lanes:
             yield out
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
-
-
 def forward(w, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: list | None = None):
     """States after each step of a window, and the last one; a fresh document starts from nothing."""
     states = np.empty((*inputs.shape, HIDDEN), dtype=np.float32)
+    given = [np.ascontiguousarray(w[k][inputs.T]) for k in ("ef", "ec")]  # by step
+    begins = fresh.any(axis=0)
+    half = np.float32(0.5)
     for t in range(inputs.shape[1]):
-        h = np.where(fresh[:, t, None], np.float32(0), h)
-        x = inputs[:, t]
-        f = sigmoid(w["ef"][x] + h @ w["uf"])
+        if begins[t]:
+            h = np.where(fresh[:, t, None], np.float32(0), h)
+        f = h @ w["uf"]
+        f += given[0][t]
+        f *= half  # the logistic function by way of tanh
+        np.tanh(f, out=f)
+        f *= half
+        f += half
         g = f * h
-        c = np.tanh(w["ec"][x] + g @ w["uc"])
+        c = g @ w["uc"]
+        c += given[1][t]
+        np.tanh(c, out=c)
         if keep is not None:
-            keep.append((x, h, f, g, c))
+            keep.append((inputs[:, t], h, f, g, c))
         h = h + f * (c - h)
         states[:, t] = h
     return states, h
 
 
-def outputs(w, states: np.ndarray, classes: np.ndarray, slots: np.ndarray, grads: dict | None = None):
-    """Log-probabilities of class and, for words of their own, of the word in it."""
-    logits = states @ w["wc"] + w["bc"]
+def softmax(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the chosen columns; the logits become the probabilities."""
+    row = np.arange(len(logits))
     logits -= logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(axis=1)
-    row = np.arange(len(states))
-    logp = logits[row, classes] - np.log(total)
+    picked = logits[row, chosen]
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=1)
+    logits /= total[:, None]
+    return picked - np.log(total)
+
+
+def outputs(w, states: np.ndarray, classes: np.ndarray, slots: np.ndarray, grads: dict | None = None):
+    """Log-probabilities of class and, for words of their own, of the word in it.
+
+    Tokens are put in order of their class once; then a class is a slice, and all that does not
+    need its weights is done for all of them together.
+    """
+    d = states @ w["wc"]
+    d += w["bc"]
+    logp = softmax(d, classes)
     back = None
     if grads is not None:
-        d = e / total[:, None]
-        d[row, classes] -= 1
+        d[np.arange(len(d)), classes] -= 1
         grads["wc"] += states.T @ d
         grads["bc"] += d.sum(axis=0)
         back = d @ w["wc"].T
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        at = order[edges[k]:edges[k + 1]]
-        if not len(at):
-            continue
-        s = states[at]
-        inner = s @ w["ww"][k] + w["bw"][k]
-        inner -= inner.max(axis=1, keepdims=True)
-        e = np.exp(inner)
-        total = e.sum(axis=1)
-        row = np.arange(len(at))
-        logp[at] += inner[row, slots[at]] - np.log(total)
-        if grads is not None:
-            d = e / total[:, None]
-            d[row, slots[at]] -= 1
-            grads["ww"][k] += s.T @ d
-            grads["bw"][k] += d.sum(axis=0)
-            back[at] += d @ w["ww"][k].T
+    own = np.flatnonzero(classes < CLASSES)
+    own = own[np.argsort(classes[own], kind="stable")]
+    edges = np.searchsorted(classes[own], np.arange(CLASSES + 1)).tolist()
+    parts = [(k, a, b) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
+    s, d = states[own], np.empty((len(own), PER_CLASS), dtype=states.dtype)
+    for k, a, b in parts:
+        np.matmul(s[a:b], w["ww"][k], out=d[a:b])
+    d += w["bw"][classes[own]]
+    logp[own] += softmax(d, slots[own])
+    if grads is not None and parts:
+        d[np.arange(len(own)), slots[own]] -= 1
+        inner = np.empty_like(s)
+        for k, a, b in parts:
+            grads["ww"][k] += s[a:b].T @ d[a:b]
+            np.matmul(d[a:b], w["ww"][k].T, out=inner[a:b])
+        grads["bw"][[k for k, _, _ in parts]] += np.add.reduceat(d, [a for _, a, _ in parts], axis=0)
+        back[own] += inner
     return logp, back
 
 
 def backward(w, kept: list, fresh: np.ndarray, back: np.ndarray, grads: dict) -> None:
     """Through the steps of one window, not beyond it."""
     carry = np.zeros_like(back[:, 0])
+    each = np.empty((len(kept), len(carry), 2 * HIDDEN), dtype=back.dtype)  # of both kinds of input weights, step by step
     for t in range(len(kept) - 1, -1, -1):
-        x, h, f, g, c = kept[t]
+        _, h, f, g, c = kept[t]
         d = back[:, t] + carry
         dc = d * f * (1 - c * c)
         dg = dc @ w["uc"].T
         df = (d * (c - h) + dg * h) * f * (1 - f)
-        np.add.at(grads["ec"], x, dc)
-        np.add.at(grads["ef"], x, df)
+        each[t, :, :HIDDEN], each[t, :, HIDDEN:] = dc, df
         grads["uc"] += g.T @ dc
         grads["uf"] += h.T @ df
         carry = np.where(fresh[:, t, None], 0, d * (1 - f) + dg * f + df @ w["uf"].T)
+    x = np.concatenate([k[0] for k in kept])
+    order = np.argsort(x, kind="stable")
+    first = np.flatnonzero(np.append(True, x[order][1:] != x[order][:-1]))
+    sums = np.add.reduceat(each.reshape(len(x), -1)[order], first, axis=0)
+    grads["ec"][x[order][first]] += sums[:, :HIDDEN]
+    grads["ef"][x[order][first]] += sums[:, HIDDEN:]
+
+
+def segments(starts: np.ndarray, lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the parts of documents, of ``most`` tokens at the utmost."""
+    parts = -(-lengths // most)
+    nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    return np.repeat(starts, parts) + nth * most, np.minimum(np.repeat(lengths, parts) - nth * most, most)
 
 
 class Encoder:
@@ -332,6 +361,8 @@ def trainer(v: Vocabulary, flat_weights: np.ndarray):
         first, second, step, seen = np.zeros_like(flat), np.zeros_like(flat), 0, 0
         for _, held in token_chunks(batches, 1 << 20):
             ids, known, classes, inputs, starts, lengths, _ = encoder.stream([t for _, t in held])
+            # one long document would leave the other lanes idle; truncated backpropagation does not need it in one lane
+            starts, lengths = segments(starts, lengths, SEGMENT)
             fresh_at = np.zeros(len(ids), dtype=bool)
             fresh_at[starts] = True
             h = np.zeros((0, HIDDEN), dtype=np.float32)
@@ -352,9 +383,17 @@ def trainer(v: Vocabulary, flat_weights: np.ndarray):
                 change /= len(at)
                 np.clip(change, -1, 1, out=change)
                 step += 1
-                first += 0.1 * (change - first)
-                second += 0.01 * (change * change - second)
-                flat -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+                first *= 0.9
+                first += 0.1 * change
+                second *= 0.99
+                change *= change
+                change *= 0.01
+                second += change
+                np.sqrt(second, out=change)
+                change += 1e-6 * math.sqrt(1 - 0.99**step)
+                np.divide(first, change, out=change)
+                change *= RATE * math.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+                flat -= change
                 seen += len(at)
         if seen:
             yield pd.DataFrame({"weights": [flat.tolist()], "tokens": [seen]})
@@ -376,7 +415,8 @@ def train(rows: DataFrame, v: Vocabulary) -> np.ndarray:
     trainers = max(1, round(v.total / ROUNDS / PER_TRAINER))
     turns = rows.withColumn("turn", F.pmod(F.xxhash64("doc_id", "bytes", F.lit(6)), F.lit(ROUNDS)))
     for turn in range(ROUNDS):
-        dealt = turns.filter(F.col("turn") == turn).select("bytes").repartition(trainers)
+        # in an order of their own, so that a task run again learns the same weights
+        dealt = turns.filter(F.col("turn") == turn).select("bytes").repartition(trainers).sortWithinPartitions(F.xxhash64("bytes"), "bytes")
         made = saved(dealt.mapInPandas(trainer(v, weights), "weights array<float>, tokens long"), "lm-weights")
         mean = made.select("tokens", F.posexplode("weights").alias("i", "w")).groupBy("i").agg((F.sum(F.col("w") * F.col("tokens")) / F.sum("tokens")).alias("w")).toPandas()
         if len(mean):
