@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from starloom.functions.rows import numbered_rows
@@ -71,17 +71,56 @@ def length_steps(length: Column, threshold: float) -> Column:
     return F.array(step, step + 1)
 
 
+PREFIX, GROWTH = 16, 4  # open texts of a bucket that a round settles at first, and how much more the next one does
+
+
+def compared(pairs: DataFrame, firsts: DataFrame, threshold: float, tasks: int) -> DataFrame:
+    """The (rep, head) pairs whose texts are alike; texts join last, and comparing keeps all cores busy."""
+    later, earlier = firsts.select("rep", F.col("t").alias("tl")), firsts.select(F.col("rep").alias("head"), F.col("t").alias("te"))
+    held = pairs.join(later, "rep").join(earlier, "head").repartition(tasks)
+    return cut_lineage(held.filter(similar_texts("tl", "te", threshold)).select("rep", "head"))
+
+
+def length_allows(threshold: float) -> Column:
+    """The similarity cannot exceed 2 * shorter / (shorter + longer)."""
+    return 2.0 * F.least("n", "head_n") > threshold * (F.least("n", "head_n") + F.greatest("n", "head_n"))
+
+
+def settle(ready: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Kept and dropped texts (rep, keeper) among those whose earlier alike texts are all in ``edges``.
+
+    A text without an earlier alike one stays; whatever is alike it goes, and links to texts
+    that are gone do not count any more.  Only links circulate here, no texts.
+    """
+    kept = ready.join(edges, "rep", "left_anti").select("rep", F.col("rep").alias("keeper"))
+    dropped = None
+    fresh = kept
+    while True:
+        hit = edges.join(fresh.select(F.col("rep").alias("head")), "head", "left_semi").groupBy("rep").agg(F.min("head").alias("keeper"))
+        dropped = cut_lineage(hit if dropped is None else dropped.unionByName(hit).groupBy("rep").agg(F.min("keeper").alias("keeper")))
+        edges = cut_lineage(edges.join(dropped, "rep", "left_anti").join(dropped.select(F.col("rep").alias("head")), "head", "left_anti"))
+        if edges.isEmpty():
+            fresh = ready.join(kept, "rep", "left_anti").join(dropped, "rep", "left_anti")
+            return kept.unionByName(fresh.select("rep", F.col("rep").alias("keeper"))), dropped
+        fresh = cut_lineage(ready.join(kept, "rep", "left_anti").join(dropped, "rep", "left_anti").join(edges, "rep", "left_anti").select("rep"))
+        if fresh.isEmpty():
+            return kept, dropped
+        kept = cut_lineage(kept.unionByName(fresh.select("rep", F.col("rep").alias("keeper"))))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str, text: str, threshold: float = 0.8, bands: int = 16, rows: int = 4,
                     width: int = 3) -> DataFrame:
     """(id, keeper, is_kept): in id order, a text goes if it is alike a kept one.
 
     Texts that share a band bucket and a length class are compared, the later one with the
-    earlier one, because the similarity depends on the order.  Rounds settle them: a text
-    that is the earliest open one in all its buckets stays, and every later text of these
-    buckets is compared with it and goes if alike.  So texts meet kept ones only, and a
-    group of copies is settled by one round, however large.  Ids, buckets and lengths
-    circulate; a text is read for a comparison only.  Null texts count as empty, equal texts
-    as one.  ``keeper`` is a kept text that the row is alike; buckets may miss a pair.
+    earlier one, because the similarity depends on the order.  A round takes the first open
+    texts of every bucket, compares them among each other and settles those that are among the
+    first in all of their buckets; then the later texts of these buckets are compared with the
+    ones that stay.  The next round takes four times as many, so the rounds grow with the
+    logarithm of the unlike texts of a bucket, a group of copies is gone after one, and texts
+    meet kept ones only beyond the first few.  Ids, buckets and lengths circulate; a text is
+    read for a comparison only.  Null texts count as empty, equal texts as one.  ``keeper`` is
+    a kept text that the row is alike; buckets may miss a pair.
     """
     spark = docs.sparkSession
     prints = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("h", F.sha2("t", 256))
@@ -90,26 +129,31 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, threshold: float =
     firsts = spark.read.parquet(path)
     banded = numbered_rows(firsts, ["rep", F.length("t").alias("n")], band_keys(F.col("t"), bands, rows, width), "band", "bucket")
     members = banded.select("rep", "n", F.explode(length_steps(F.col("n"), threshold)).alias("step"), "band", "bucket")
-    members = members.select("rep", "n", F.xxhash64("step", "band", "bucket").alias("place"))
-    shared = cut_lineage(members.groupBy("place").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("place"))
+    members = cut_lineage(members.select("rep", "n", F.xxhash64("step", "band", "bucket").alias("place")))
+    shared = members.groupBy("place").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("place")
     waiting = cut_lineage(members.join(shared, "place"))
-    # comparing is costly and the rows are few bytes: keep them on all cores
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    gone = []
+    gone, prefix = [], PREFIX
     while not waiting.isEmpty():
-        heads = waiting.groupBy("place").agg(F.min_by(F.struct(F.col("rep").alias("head"), F.col("n").alias("head_n")), "rep").alias("first"))
-        met = cut_lineage(waiting.join(heads, "place").select("rep", "n", "first.*", "place"))
-        stays = met.groupBy("rep").agg(F.max(F.col("rep") != F.col("head")).alias("late")).filter("not late").select(F.col("rep").alias("head"))
-        shorter, longer = F.least("n", "head_n"), F.greatest("n", "head_n")
-        # the similarity cannot exceed 2 * shorter / (shorter + longer)
-        near = met.filter((F.col("rep") != F.col("head")) & (2.0 * shorter > threshold * (shorter + longer)))
-        pairs = near.join(stays, "head", "left_semi").select("rep", "head").distinct()
-        later, earlier = firsts.select("rep", F.col("t").alias("tl")), firsts.select(F.col("rep").alias("head"), F.col("t").alias("te"))
-        alike = pairs.join(later, "rep").join(earlier, "head").repartition(tasks).filter(similar_texts("tl", "te", threshold))
-        dropped = cut_lineage(alike.groupBy("rep").agg(F.min("head").alias("keeper")))
+        nth = F.row_number().over(Window.partitionBy("place").orderBy("rep"))
+        front = cut_lineage(waiting.withColumn("nth", nth).filter(F.col("nth") <= prefix).select("rep", "n", "place"))
+        heads = front.select(F.col("rep").alias("head"), F.col("n").alias("head_n"), "place")
+        near = front.join(heads, "place").filter((F.col("head") < F.col("rep")) & length_allows(threshold)).select("rep", "head").distinct()
+        edges = compared(near, firsts, threshold, tasks)
+        places = waiting.groupBy("rep").agg(F.count(F.lit(1)).alias("places"))
+        ready = cut_lineage(front.groupBy("rep").agg(F.count(F.lit(1)).alias("seen")).join(places, "rep").filter("seen = places").select("rep"))
+        kept, dropped = settle(ready, edges)
         gone.append(dropped)
-        settled = dropped.select("rep").unionByName(stays.select(F.col("head").alias("rep")))
-        waiting = cut_lineage(met.select("rep", "n", "place").join(settled, "rep", "left_anti"))
+        settled = kept.select("rep").unionByName(dropped.select("rep"))
+        later = cut_lineage(waiting.join(settled, "rep", "left_anti"))
+        if not later.isEmpty():
+            stays = heads.join(kept.select(F.col("rep").alias("head")), "head", "left_semi")
+            rest = later.join(stays, "place").filter(length_allows(threshold)).select("rep", "head").distinct()
+            rest = rest.filter(F.col("head") < F.col("rep")).join(near, ["rep", "head"], "left_anti")
+            hit = compared(rest, firsts, threshold, tasks).groupBy("rep").agg(F.min("head").alias("keeper"))
+            gone.append(cut_lineage(hit))
+            later = cut_lineage(later.join(gone[-1], "rep", "left_anti"))
+        waiting, prefix = later, prefix * GROWTH
     placed = prints.select("id", "h").join(firsts.select("h", "rep"), "h")
     if gone:
         placed = placed.join(reduce(DataFrame.unionByName, gone), "rep", "left")

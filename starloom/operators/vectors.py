@@ -2,24 +2,15 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from functools import reduce
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.functions import scalars as S
+from starloom.operators import tiles
 from starloom.operators.retrieval import top_per
-from starloom.session import cut_lineage
-
-BLOCK_BYTES = 64 << 20
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.vstack(column.to_numpy()).astype(np.float64)
+from starloom.session import cut_lineage, small_side
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -27,25 +18,13 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.where(norms == 0, 1.0, norms)
 
 
-def query_blocks(queries: DataFrame, query_id: str, vector: str, limit: int = BLOCK_BYTES) -> Iterator[tuple]:
-    """(ids, matrix) blocks of a bounded size.
+def _cut(store: DataFrame, queries: DataFrame, vector: str) -> tuple[int, int]:
+    """Numbers of tiles of both sides, from their row counts and the width of the vectors."""
+    rows = store.count()
+    asked, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(1))).first()
+    return tiles.store_tiles(store.sparkSession, rows, width), tiles.tiles_for(asked, width, tiles.QUERY_VALUES)
+
 
-    One block is enough for most query sets.  A larger set is hashed into
-    blocks that are read one at a time, so the size a task receives never grows
-    with the number of queries.
-    """
-    n, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(1))).first()
-    blocks = max(1, -(-int(n) * int(width) * 8 // limit))
-    if blocks > 1:
-        queries = cut_lineage(queries.select(query_id, vector))  # read once per block
-    for b in range(blocks):
-        part = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == b)
-        rows = part.select(query_id, vector).toPandas()
-        if len(rows):
-            yield rows[query_id].to_numpy(), _matrix(rows[vector])
-
-
-SCORES = 8 << 20  # of one score matrix
 PAIR_VALUES = 4 << 20  # of vector components in one step of exact distances
 
 
@@ -78,83 +57,164 @@ def _exact_distances(left, right, gaps, skip, k, digits):
 
 
 def top_k(store: DataFrame, queries: DataFrame, store_id: str, query_id: str, vector: str, k: int = 10,
-          metric: str = "cosine", where=None, exclude_self: bool = False, digits: int = 9) -> DataFrame:
+          metric: str = "cosine", where=None, exclude_self: bool = False, digits: int = 9, with_vector: bool = False, per: str | None = None) -> DataFrame:
     """Exact k nearest rows of ``store`` for every query, ties to the lower id.
 
-    Scores are a matrix product per Arrow batch and only k candidates per query
-    leave the batch, so pairs are never written out.  ``where`` filters the
-    store before scoring.  ``score`` is the cosine, or the L2 distance.
+    Tiles of both sides meet on the executors; a task scores its store rows in steps and
+    carries the best k of every query from one step to the next, so only these leave it.
+    ``where`` filters the store before scoring.  ``score`` is the cosine, or the L2 distance;
+    ``with_vector`` adds the stored vector of each row found; with ``per``, a column of the
+    store, every query gets the k nearest of each of its values.
     """
-    pool = (store.filter(where) if where is not None else store).select(store_id, vector)
-    sign = -1.0 if metric == "cosine" else 1.0
-    schema = StructType([StructField(query_id, queries.schema[query_id].dataType),
-                         StructField(store_id, store.schema[store_id].dataType)]).add("score", "double")
-
-    def search(ids, matrix):
-        right = _unit(matrix) if metric == "cosine" else matrix
-        squares = (right**2).sum(axis=1)
-
-        def run(batches):
-            rows = max(1, SCORES // max(len(ids), 1))
-            for batch in (b.iloc[i:i + rows] for b in batches for i in range(0, len(b), rows)):
-                batch = batch.sort_values(store_id)
-                left = _matrix(batch[vector])
-                if metric == "cosine":
-                    score = _unit(left) @ right.T
-                else:
-                    gaps = (left**2).sum(axis=1)[:, None] + squares[None, :] - 2 * (left @ right.T)
-                names = batch[store_id].to_numpy()
-                if metric != "cosine":
-                    own = names[:, None] == ids[None, :] if exclude_self else np.zeros(gaps.shape, dtype=bool)
-                    score = _exact_distances(left, right, gaps, own, k, digits)
-                score = np.round(score, digits)
-                cost = sign * score
-                if exclude_self:
-                    cost = np.where(names[:, None] == ids[None, :], np.inf, cost)
-                best = np.argsort(cost, axis=0, kind="stable")[:k]
-                cols = np.broadcast_to(np.arange(len(ids)), best.shape)
-                keep = np.isfinite(cost[best, cols])
-                yield pd.DataFrame({query_id: ids[cols[keep]], store_id: names[best[keep]], "score": score[best, cols][keep]})
-
-        return pool.mapInPandas(run, schema)
-
-    found = reduce(DataFrame.unionByName, [search(i, m) for i, m in query_blocks(queries, query_id, vector)],
-                   store.sparkSession.createDataFrame([], schema))
+    own = [per] if per else []
+    pool = (store.filter(where) if where is not None else store).select(store_id, vector, *own)
+    asked = queries.select(query_id, F.col(vector).alias("__asked"))
+    schema = StructType([StructField(query_id, queries.schema[query_id].dataType), StructField(store_id, store.schema[store_id].dataType)]).add("score", "double")
+    for column in own:
+        schema = schema.add(StructField(column, store.schema[column].dataType))
+
+    def best_of(names, rows, asking, points) -> tiles.Best:
+        best, squares = tiles.Best(k, len(asking)), (points**2).sum(axis=1)
+        for at, to in tiles.steps(len(names), len(asking)):
+            part = rows[at:to]
+            skip = names[at:to, None] == asking[None, :] if exclude_self else np.zeros((to - at, len(asking)), dtype=bool)
+            if metric == "cosine":
+                cost = -np.round(_unit(part) @ points.T, digits)
+                cost[skip] = np.inf
+            else:
+                gaps = (part**2).sum(axis=1)[:, None] + squares[None, :] - 2 * (part @ points.T)
+                cost = np.round(_exact_distances(part, points, gaps, skip, k, digits), digits)
+            best.add(cost, at)
+        return best
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by([(c, "ascending") for c in (*own, store_id)])
+        query, row, cost = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0)]
+        if left.num_rows and right.num_rows:
+            rows, points = tiles.matrix(left[vector]), tiles.matrix(right["__asked"])
+            points = _unit(points) if metric == "cosine" else points
+            names, asking = (tiles.flat(t[c]).to_numpy(zero_copy_only=False) for t, c in ((left, store_id), (right, query_id)))
+            for at, to in tiles.runs(left[per]) if per else [(0, len(names))]:
+                found = best_of(names[at:to], rows[at:to], asking, points).kept()
+                query.append(found[0])
+                row.append(found[1] + at)
+                cost.append(found[2])
+        query, row, cost = pa.array(np.concatenate(query)), pa.array(np.concatenate(row)), np.concatenate(cost)
+        out = {query_id: tiles.flat(right[query_id]).take(query), store_id: tiles.flat(left[store_id]).take(row), "score": 0.0 - cost if metric == "cosine" else cost}
+        return pa.table(out | {c: tiles.flat(left[c]).take(row) for c in own})
+
+    found = tiles.meet(pool, asked, store_id, query_id, _cut(pool, asked, "__asked"), search, schema)
     best = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
-    return top_per(found, query_id, [best, F.col(store_id)], k)
+    ranked = top_per(found, [query_id, *own], [best, F.col(store_id)], k)
+    return ranked.join(pool.select(store_id, vector), store_id).select(*ranked.columns, vector) if with_vector else ranked
 
 
-def _cells(vector: str, radius: float, axes: int):
-    width = 2 * radius
-    return [F.floor(F.element_at(vector, a + 1).cast("double") / width).cast("long") for a in range(axes)]
+CROWD = 512  # stored vectors of a cell that are compared without cutting it further
+ROUNDS = 6  # of cutting, two axes each: a stored vector has at most 2 ** 12 copies
+PIECE_VALUES = 1 << 18  # vector components of one side in one piece of a cell
 
 
-def near_any(rows: DataFrame, stored: DataFrame, vector: str, radius: float, axes: int | None = None, negate: bool = False) -> DataFrame:
-    """Rows with (or, negated, without) a stored vector closer than ``radius`` in L2; exact.
+def top_k_within(store: DataFrame, queries: DataFrame, group: str, store_id: str, query_id: str, vector: str, k: int = 10, digits: int = 9) -> DataFrame:
+    """Exact k nearest rows by cosine for every (query, group), among the store rows of that group; ties to the lower id."""
+    pool = store.select(group, store_id, vector)
+    asked = queries.select(group, query_id, F.col(vector).alias("__asked"))
+    schema = StructType([StructField(query_id, queries.schema[query_id].dataType), StructField(group, store.schema[group].dataType),
+                         StructField(store_id, store.schema[store_id].dataType)]).add("score", "double")
 
-    Space is cut into cells of twice the radius along the first ``axes``
-    coordinates.  A stored vector is listed in every cell its ball touches (at
-    most 2 per axis), a row only in its own, so equality of cells finds every
-    possible partner and the distance is checked inside the join.  Equal stored
-    vectors are listed once, and the join only asks whether a partner exists.
-    More stored vectors get more axes: copies grow with the axes, but the
-    partners met per cell shrink with the number of cells.
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by(store_id)
+        points = _unit(tiles.matrix(left[vector])) if left.num_rows else None
+        probes = _unit(tiles.matrix(right["__asked"])) if right.num_rows else None
+        found = []
+        for own, asking in tiles.cells(left, right):
+            best = tiles.Best(k, len(asking))
+            for at, to in tiles.steps(len(own), len(asking)):
+                best.add(-np.round(points[own[at:to]] @ probes[asking].T, digits), at)
+            query, row, cost = best.kept()
+            found.append((asking[query], own[row], 0.0 - cost))
+        query, row, score = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+        return pa.table({query_id: tiles.flat(right[query_id]).take(pa.array(query)), group: tiles.flat(right[group]).take(pa.array(query)),
+                         store_id: tiles.flat(left[store_id]).take(pa.array(row)), "score": score})
+
+    width = asked.agg(F.max(F.size("__asked"))).first()[0] or 1
+    found = tiles.meet_in_cells(pool, asked, group, store_id, query_id, max(1, PIECE_VALUES // width), search, schema)
+    return top_per(found, [query_id, group], [F.col("score").desc(), F.col(store_id)], k)
+
+
+def _split(cells: DataFrame, name: str, axes: DataFrame, width: float, reach: float) -> DataFrame:
+    """Vectors of the cells in ``axes`` move to finer ones along these axes: to all that their ball touches."""
+    at = lambda i: F.element_at(name, F.get("axes", F.lit(i)) + 1)
+    finer = cells.join(small_side(axes), "key", "left")
+    for i in (0, 1):
+        touched = F.array_distinct(F.array(F.floor((at(i) - reach) / width), F.floor((at(i) + reach) / width)))
+        finer = finer.withColumn(f"cell{i}", F.explode(F.when(F.size("axes") > i, touched).otherwise(F.array(F.lit(None).cast("bigint")))))
+    key = F.when(F.col("axes").isNull(), F.col("key")).otherwise(F.xxhash64("key", "cell0", "cell1"))
+    return cut_lineage(finer.select(name, key.alias("key")))
+
+
+def _cells(points: DataFrame, probes: DataFrame, radius: float) -> tuple[DataFrame, DataFrame]:
+    """Cells (``key``) of both sides: any two vectors closer than the radius share one.
+
+    All start in one cell.  A crowded cell is cut along the two axes on which its own vectors
+    spread most, into steps of twice the radius, as long as they spread by more than a step;
+    so an axis on which all are alike is never used, and a dense cluster is not cut in vain.
     """
-    if axes is None:
-        n, size = stored.agg(F.count(F.lit(1)), F.coalesce(F.min(F.size(vector)), F.lit(1))).first()
-        axes = min(size, 8, max(4, math.ceil(math.log(max(n, 4) / 4, 4)) + 1))
+    points, probes = points.withColumn("key", F.lit(0).cast("bigint")), probes.withColumn("key", F.lit(0).cast("bigint"))
     width = 2 * radius
-    names = [f"__c{a}" for a in range(axes)]
-    value = [F.element_at(vector, a + 1).cast("double") for a in range(axes)]
-    reach = [F.array_distinct(F.array(F.floor((v - radius) / width), F.floor((v + radius) / width))) for v in value]
-    listed = stored.select(vector).distinct()
-    for name, cells in zip(names, reach):
-        listed = listed.withColumn(name, F.explode(cells))
-    listed = listed.withColumnRenamed(vector, "__stored")
-    own = rows.withColumns(dict(zip(names, _cells(vector, radius, axes))))
-    same = reduce(lambda a, b: a & b, [own[n] == listed[n] for n in names])
-    close = S.squared_distance(F.col(vector), F.col("__stored")) < radius * radius
-    return own.join(listed, same & close, "left_anti" if negate else "left_semi").select(*rows.columns)
+    for _ in range(ROUNDS):
+        crowded = points.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD).select("key")
+        values = points.join(small_side(crowded), "key", "left_semi").select("key", F.posexplode("s").alias("axis", "value"))
+        spread = values.groupBy("key", "axis").agg(F.stddev_pop("value").alias("by")).filter(F.col("by") > width)
+        widest = F.slice(F.sort_array(F.collect_list(F.struct("by", "axis")), asc=False), 1, 2)  # one entry per axis of a vector
+        axes = cut_lineage(spread.groupBy("key").agg(F.transform(widest, lambda x: x["axis"]).alias("axes")))
+        if axes.isEmpty():
+            break
+        points, probes = _split(points, "s", axes, width, radius), _split(probes, "p", axes, width, 0.0)
+    return points, probes
+
+
+def _near(radius: float):
+    """Probes that have a stored vector of their cell within the radius."""
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        points = tiles.matrix(left["s"]) if left.num_rows else None
+        probes = tiles.matrix(right["p"]) if right.num_rows else None
+        hit = np.zeros(right.num_rows, dtype=bool)
+        for own, asking in tiles.cells(left, right):
+            for at, to in tiles.steps(len(asking), len(own)):
+                hit[asking[at:to]] |= _any_within(probes[asking[at:to]], points[own], radius)
+        return pa.table({"p": tiles.flat(right["p"]).filter(pa.array(hit))})
+
+    return search
+
+
+def _any_within(some: np.ndarray, near: np.ndarray, radius: float) -> np.ndarray:
+    """Which rows have another one closer than the radius: by product, and by differences where that is not sure."""
+    gaps = (some**2).sum(axis=1)[:, None] + (near**2).sum(axis=1)[None, :] - 2 * (some @ near.T)
+    error = (np.linalg.norm(some, axis=1)[:, None] + np.linalg.norm(near, axis=1)[None, :])**2 * ((some.shape[1] + 4) * np.finfo(np.float64).eps)
+    sure = (gaps + error < radius * radius).any(axis=1)
+    row, col = np.nonzero(~(gaps - error >= radius * radius) & ~sure[:, None])  # also where a gap is no number
+    step = max(1, PAIR_VALUES // max(some.shape[1], 1))
+    for at in range(0, len(row), step):
+        r, c = row[at:at + step], col[at:at + step]
+        close = ((some[r] - near[c]) ** 2).sum(axis=1) < radius * radius
+        sure[r[close]] = True
+    return sure
+
+
+def near_any(rows: DataFrame, stored: DataFrame, vector: str, radius: float, negate: bool = False) -> DataFrame:
+    """Rows with (or, negated, without) a stored vector closer than ``radius`` in L2; exact.
+
+    Different vectors of both sides are placed in cells; a cell is cut into pieces of bounded
+    size, each pair of pieces meets in one task as a matrix product, and distances near the
+    radius are taken from differences.  A null vector is near nothing.
+    """
+    wide = F.col(vector).cast("array<double>")
+    different = lambda df, name: cut_lineage(df.select(wide.alias(name)).filter(F.col(name).isNotNull()).distinct())
+    points, probes = _cells(different(stored, "s"), different(rows, "p"), radius)
+    width = points.agg(F.max(F.size("s"))).first()[0] or 1
+    found = tiles.meet_in_cells(points, probes, "key", "s", "p", max(1, PIECE_VALUES // width), _near(radius), "p array<double>")
+    return rows.join(found.distinct(), wide == F.col("p"), "left_anti" if negate else "left_semi")
 
 
 def upsert(store: DataFrame, rows: DataFrame, key: str) -> DataFrame:
@@ -178,61 +238,62 @@ def centroids(store: DataFrame, group: str, vector: str, width: int, digits: int
 
 
 def _min_max(value, low, high):
-    """Scaled into 0..1; a zero range gives one half for every row."""
-    return (value - low) / (high - low) if high != low else np.full(len(value), 0.5)
+    """Scaled into 0..1; a zero range gives one half."""
+    wide = high != low
+    return np.where(wide, (value - low) / np.where(wide, high - low, 1.0), 0.5)
 
 
 def memory_retrieve(memories: DataFrame, queries: DataFrame, memory_id: str, query_id: str, vector: str, created: str,
                     accessed: str, importance: str, now, decay: float = 0.99, k: int = 4, digits: int = 9) -> DataFrame:
     """Best k memories per query by importance + recency + relevance, each scaled to 0..1 over all memories.
 
-    Importance and recency need one range each, relevance one per query.  The
-    ranges are a first pass that keeps two numbers per query and batch, the
-    scores a second one that keeps k rows, so query x memory pairs stay inside
-    the batches.  Equal totals go to the memory accessed last, then the lower id.
+    Importance and recency need one range each, relevance one per query.  Tiles of memories and
+    queries meet twice: the first time they give two numbers per query, which are aggregated to
+    its range; the second time the queries bring that range along and k rows per query leave a
+    task.  Equal totals go to the memory accessed last, then the lower id.
     """
     days = S.whole_days(F.lit(now).cast("timestamp"), F.col(created))
     base = memories.select(
         memory_id, vector, F.unix_micros(F.col(accessed).cast("timestamp")).alias("__seen"),
         F.col(importance).cast("double").alias("__imp"), F.pow(F.lit(float(decay)), days).alias("__rec"),
     )
+    base = cut_lineage(base)  # read by both meetings
     span = base.agg(F.min("__imp"), F.max("__imp"), F.min("__rec"), F.max("__rec")).first()
-    id_type = memories.schema[memory_id].dataType
-    q_type = queries.schema[query_id].dataType
-    ranges = StructType([StructField(query_id, q_type)]).add("lo", "double").add("hi", "double")
-    scored = (StructType([StructField(query_id, q_type), StructField(memory_id, id_type)])
-              .add("score", "double").add(StructField("__seen", LongType())))
-
-    def one_block(ids, matrix):
-        right = _unit(matrix)
-
-        def extremes(batches):
-            for batch in batches:
-                if len(batch):
-                    rel = _unit(_matrix(batch[vector])) @ right.T
-                    yield pd.DataFrame({query_id: ids, "lo": rel.min(axis=0), "hi": rel.max(axis=0)})
-
-        got = base.select(vector).mapInPandas(extremes, ranges).groupBy(query_id).agg(
-            F.min("lo").alias("lo"), F.max("hi").alias("hi")).toPandas().set_index(query_id).reindex(ids)
-        lows, highs = got["lo"].to_numpy(), got["hi"].to_numpy()
-
-        def score(batches):
-            for batch in batches:
-                if not len(batch):
-                    continue
-                batch = batch.sort_values(["__seen", memory_id], ascending=[False, True])
-                rel = _unit(_matrix(batch[vector])) @ right.T
-                own = _min_max(batch["__imp"].to_numpy(), span[0], span[1]) + _min_max(batch["__rec"].to_numpy(), span[2], span[3])
-                names, seen = batch[memory_id].to_numpy(), batch["__seen"].to_numpy()
-                for j, q in enumerate(ids):
-                    total = np.round(own + _min_max(rel[:, j], lows[j], highs[j]), digits)
-                    best = np.argsort(-total, kind="stable")[:k]
-                    yield pd.DataFrame({query_id: q, memory_id: names[best], "score": total[best], "__seen": seen[best]})
-
-        return base.mapInPandas(score, scored)
-
-    found = reduce(DataFrame.unionByName, [one_block(i, m) for i, m in query_blocks(queries, query_id, vector)],
-                   memories.sparkSession.createDataFrame([], scored))
+    asked = queries.select(query_id, F.col(vector).alias("__asked"))
+    q_field = StructField(query_id, queries.schema[query_id].dataType)
+    ranges = StructType([q_field]).add("lo", "double").add("hi", "double")
+    scored = StructType([q_field, StructField(memory_id, memories.schema[memory_id].dataType)]).add("score", "double").add(StructField("__seen", LongType()))
+
+    def relevances(left, right):
+        """The tile in the order that breaks ties, and its relevance to all queries of the other tile, in equal steps."""
+        left = left.sort_by([("__seen", "descending"), (memory_id, "ascending")])
+        if not left.num_rows or not right.num_rows:
+            return left, iter(())
+        rows, points = _unit(tiles.matrix(left[vector])), _unit(tiles.matrix(right["__asked"]))
+        return left, ((at, rows[at:to] @ points.T) for at, to in tiles.steps(len(rows), len(points)))
+
+    def extremes(left: pa.Table, right: pa.Table) -> pa.Table:
+        low, high = np.full(right.num_rows, np.inf), np.full(right.num_rows, -np.inf)
+        for _, near in relevances(left, right)[1]:
+            low, high = np.minimum(low, near.min(axis=0)), np.maximum(high, near.max(axis=0))
+        there = right.num_rows if left.num_rows else 0
+        return pa.table({query_id: tiles.flat(right[query_id]).slice(0, there), "lo": low[:there], "hi": high[:there]})
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        left, parts = relevances(left, right)
+        best = tiles.Best(k, right.num_rows)
+        own = _min_max(np.asarray(left["__imp"]), span[0], span[1]) + _min_max(np.asarray(left["__rec"]), span[2], span[3]) if left.num_rows else None
+        low, high = np.asarray(right["lo"]), np.asarray(right["hi"])
+        for at, near in parts:
+            best.add(-np.round(own[at:at + len(near), None] + _min_max(near, low, high), digits), at)
+        query, row, cost = best.kept()
+        return pa.table({query_id: tiles.flat(right[query_id]).take(pa.array(query)), memory_id: tiles.flat(left[memory_id]).take(pa.array(row)),
+                         "score": 0.0 - cost, "__seen": tiles.flat(left["__seen"]).take(pa.array(row))})
+
+    cut = _cut(base, asked, "__asked")
+    spans = tiles.meet(base, asked, memory_id, query_id, cut, extremes, ranges).groupBy(query_id).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    ranged = asked.join(cut_lineage(spans), query_id)
+    found = tiles.meet(base, ranged, memory_id, query_id, cut, score, scored)
     order = [F.col("score").desc(), F.col("__seen").desc(), F.col(memory_id)]
     return top_per(found, query_id, order, k).drop("__seen")
 
@@ -240,11 +301,36 @@ def memory_retrieve(memories: DataFrame, queries: DataFrame, memory_id: str, que
 def focus_retrieve(memories: DataFrame, queries: DataFrame, memory_id: str, key_text: str, now, k: int = 30, **columns):
     """Several focus points over the memories that are not idle; also the access times to write back."""
     awake = memories.filter(~F.col(key_text).contains("idle"))
-    found = memory_retrieve(awake, queries, memory_id=memory_id, now=now, k=k, **columns)
+    found = cut_lineage(memory_retrieve(awake, queries, memory_id=memory_id, now=now, k=k, **columns))
     touched = found.select(memory_id).distinct().withColumn("last_accessed", F.lit(now).cast("timestamp"))
     return found, touched
 
 
+def write_access(memories: DataFrame, touched: DataFrame, memory_id: str, accessed: str, folder: str) -> DataFrame:
+    """The memories with the new access times, written as the store's next version and read back."""
+    renamed = touched.select(F.col(memory_id).alias("__id"), F.col("last_accessed").cast(memories.schema[accessed].dataType).alias("__seen"))
+    rows = memories.join(renamed, F.col(memory_id) == F.col("__id"), "left").withColumn(accessed, F.coalesce("__seen", accessed))
+    rows.select(*memories.columns).write.mode("overwrite").parquet(folder)
+    return memories.sparkSession.read.parquet(folder)
+
+
+def recall_union(messages: DataFrame, group: str, seq: str, role: str, vector: str, k: int, minimum: int = 200, related: int = 5, digits: int = 9) -> DataFrame:
+    """What a group recalls: its latest k messages and, where the gate is open, the related older ones before them.
+
+    The older messages are the group's long-term store; the question is its last message.
+    ``position`` counts from the best related message to the latest one.
+    """
+    newest = Window.partitionBy(group).orderBy(F.col(seq).desc())
+    placed = cut_lineage(messages.withColumn("__nth", F.row_number().over(newest)))
+    open_ = recall_gate(messages, group, seq, role, k, minimum).filter("use_longterm").select(group)
+    recent = placed.filter(F.col("__nth") <= k).select(group, seq, F.lit(False).alias("related"), (F.lit(k) - F.col("__nth") + F.lit(related + 1)).cast("int").alias("__at"))
+    asked = placed.filter("__nth = 1").join(open_, group, "left_semi").select(group, F.col(group).alias("__query"), vector)
+    found = top_k_within(placed.filter(F.col("__nth") > k), asked, group, seq, "__query", vector, related, digits)
+    both = recent.unionByName(found.select(group, seq, F.lit(True).alias("related"), F.col("rank").cast("int").alias("__at")))
+    position = F.row_number().over(Window.partitionBy(group).orderBy("__at"))  # at most k + related rows
+    return both.select(group, seq, "related", position.alias("position"))
+
+
 def recall_gate(conversations: DataFrame, key: str, seq: str, role: str, k: int, minimum: int = 200) -> DataFrame:
     """Groups that also consult the long-term store: k set, more than ``minimum`` rows, last row from the user."""
     stats = conversations.groupBy(key).agg(F.count(F.lit(1)).alias("messages"), F.max_by(role, seq).alias("last_role"))

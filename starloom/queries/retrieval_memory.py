@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import scalars as S
 from starloom.functions import text as T
+from starloom.operators import cross_index as X
 from starloom.operators import dedupe as DD
 from starloom.operators import messages as M
 from starloom.operators import retrieval as R
@@ -13,6 +14,11 @@ from starloom.operators import vectors as V
 from starloom.queries import load, query
 from starloom.session import scratch_path
 
+def _letters_sql(text: str) -> str:
+    """The counts of the letters a to z in a text."""
+    return f"list_transform(range(0, 26), lambda i: (length(lower({text})) - length(replace(lower({text}), chr((97 + i)::INTEGER), '')))::DOUBLE)"
+
+
 NOW = "2024-02-01 00:00:00"
 WIDTH = 64
 
@@ -249,6 +255,17 @@ def vec_upsert_delete(spark, sf):
     return V.delete(store, e.filter("label = 4").select("vec_id"), "vec_id")
 
 
+@query("""
+WITH v AS (SELECT vec_id, label, 0 AS version FROM embeddings UNION ALL SELECT vec_id, label + 100, 2 FROM embeddings WHERE label = 3 UNION ALL SELECT vec_id, label + 50, 1 FROM embeddings WHERE label < 5)
+SELECT vec_id, max_by(label, version) AS label, max(version) AS version FROM v GROUP BY vec_id""")
+def vec_latest_versions(spark, sf):
+    """Several versions of some vectors; the last one of each counts."""
+    e = load(spark, sf, "embeddings").select("vec_id", "label")
+    newer = e.filter("label = 3").select("vec_id", F.expr("label + 100").alias("label"), F.lit(2).alias("version"))
+    between = e.filter("label < 5").select("vec_id", F.expr("label + 50").alias("label"), F.lit(1).alias("version"))
+    return V.latest_versions(e.withColumn("version", F.lit(0)).unionByName(newer).unionByName(between), "vec_id", "version")
+
+
 def _text_and_vector_queries(spark, sf):
     b, e = load(spark, sf, "benchmark"), load(spark, sf, "embeddings")
     return b.join(e.select(F.col("vec_id").alias("item_id"), "embedding"), "item_id")
@@ -301,6 +318,28 @@ def memory_focus(spark, sf):
     return found
 
 
+@query(_memory_sql("event_type <> 'error'", 30).replace("WITH ", "WITH found AS (WITH ", 1) + f""")
+SELECT event_id AS memory_id, CASE WHEN event_id IN (SELECT memory_id FROM found) THEN TIMESTAMP '{NOW}' ELSE ts + INTERVAL 1 DAY * (user_id % 7) END AS accessed
+FROM events JOIN embeddings ON event_id = vec_id""")
+def memory_focus_access(spark, sf):
+    """The access times of all memories after the focus points have been looked up, written back and read again."""
+    m = _memories(spark, sf).withColumn("key_text", F.when(F.col("event_type") == "error", "is idle").otherwise(F.col("event_type")))
+    _, touched = V.focus_retrieve(m, _centroids(spark, sf), memory_id="memory_id", key_text="key_text", now=NOW, k=30, **_MEMORY_COLUMNS)
+    return V.write_access(m, touched, "memory_id", "accessed", scratch_path(spark, "memories")).select("memory_id", "accessed")
+
+
+@query(f"""
+WITH m AS (SELECT conv_id, turn, role, {_letters_sql('text')} AS v, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS nth, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
+q AS (SELECT conv_id, v AS qv FROM m WHERE nth = 1 AND role = 'user' AND n > 3),
+f AS (SELECT m.conv_id, turn, row_number() OVER (PARTITION BY m.conv_id ORDER BY round(coalesce(list_cosine_similarity(v, qv), 0), 6) DESC, turn) AS r FROM m JOIN q USING (conv_id) WHERE nth > 2 QUALIFY r <= 5),
+u AS (SELECT conv_id, turn, false AS related, 8 - nth AS place FROM m WHERE nth <= 2 UNION ALL SELECT conv_id, turn, true, r FROM f)
+SELECT conv_id, turn, related, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY place) AS INTEGER) AS position FROM u""")
+def memory_recall_union(spark, sf):
+    """The latest two messages of each conversation after up to five related older ones."""
+    c = load(spark, sf, "conversations").select("conv_id", "turn", "role", X.letter_shares(F.col("text")).alias("embedding"))
+    return V.recall_union(c, "conv_id", "turn", "role", "embedding", k=2, minimum=3, digits=6)
+
+
 @query("""SELECT conv_id, count(*) AS messages, max_by(role, turn) AS last_role, count(*) > 3 AND max_by(role, turn) = 'user' AS use_longterm
 FROM conversations GROUP BY conv_id""")
 def memory_recall_gate(spark, sf):
@@ -389,6 +428,27 @@ def index_merge(spark, sf):
     return R.recall_merge(found, "index_id", 30)
 
 
+@query(f"""
+WITH files AS (SELECT CASE lang WHEN 'en' THEN '/data/chats/' || source || '/f' || doc_id WHEN 'fr' THEN '/data/uploads/' || source || '/' || doc_id ELSE '/srv/' || doc_id END AS path,
+  CASE lang WHEN 'en' THEN 'chats/' || source WHEN 'fr' THEN 'uploads' ELSE 'other' END AS idx, text,
+  len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) BETWEEN 100 AND 100000 AS fits FROM documents),
+q AS (SELECT item_id, {_letters_sql('text')} AS qv FROM benchmark),
+nodes AS (SELECT item_id, path, text FROM files JOIN q ON fits AND idx <> 'other'
+  QUALIFY row_number() OVER (PARTITION BY item_id, idx ORDER BY round(coalesce(list_cosine_similarity({_letters_sql('text')}, qv), 0), 6) DESC, path) <= 3),
+results AS (SELECT *, 'node' AS kind FROM nodes UNION ALL SELECT item_id, path, text, 'text' FROM files JOIN q ON NOT fits AND idx <> 'other'),
+parts AS (SELECT item_id, path, kind, unnest(CASE WHEN length(text) > 3000 THEN [substr(text, 1, CAST(length(text) // 10 * 6 AS INTEGER)), substr(text, CAST(length(text) // 10 * 4 AS INTEGER) + 1)] ELSE [text] END) AS piece FROM results),
+scored AS (SELECT item_id, path, kind, max(round(coalesce(list_cosine_similarity({_letters_sql('piece')}, qv), 0), 6)) AS score FROM parts JOIN q USING (item_id) GROUP BY ALL)
+SELECT item_id, path, score, kind, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, path) AS INTEGER) AS rank FROM scored QUALIFY rank <= 10
+UNION ALL SELECT NULL, path, NULL, 'whole', NULL FROM files WHERE idx = 'other'""")
+def cross_index_search(spark, sf):
+    """Every benchmark text over the indexes that the documents' paths belong to."""
+    path = F.when(F.col("lang") == "en", F.concat(F.lit("/data/chats/"), "source", F.lit("/f"), F.col("doc_id").cast("string"))).when(
+        F.col("lang") == "fr", F.concat(F.lit("/data/uploads/"), "source", F.lit("/"), F.col("doc_id").cast("string"))).otherwise(F.concat(F.lit("/srv/"), F.col("doc_id").cast("string")))
+    files = load(spark, sf, "documents").select(path.alias("path"), "text")
+    return X.cross_search(files, load(spark, sf, "benchmark"), "path", "text", "item_id", "text", T.word_count(F.col("text")),
+                          k=3, recall=10, longest=3_000, low=100, high=100_000, digits=6)
+
+
 @query("""
 WITH w AS (SELECT doc_id, source, text, length(text) AS n FROM documents),
 s AS (SELECT doc_id, source, text, n, unnest(CASE WHEN n <= 500 THEN [0] ELSE range(0, least((n - 500) // 480 + 1, (n - 1) // 480) + 1) END) AS i FROM w)

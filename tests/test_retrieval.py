@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom.operators import dedupe as DD
 from starloom.operators import messages as M
 from starloom.operators import retrieval as R
+from starloom.operators import tiles
 from starloom.operators import vectors as V
 
 
@@ -23,13 +24,13 @@ def store(spark):
 
 
 @pytest.mark.parametrize("metric", ["cosine", "l2"])
-@pytest.mark.parametrize("limit", [V.BLOCK_BYTES, 400])
-def test_top_k(spark, store, metric, limit, monkeypatch):
+@pytest.mark.parametrize("values", [None, 50])
+def test_top_k(spark, store, metric, values, monkeypatch):
     vectors, df = store
-    monkeypatch.setattr(V, "BLOCK_BYTES", limit)
+    if values:  # many tiles of both sides, and steps of one row
+        for name in ("TILE_VALUES", "QUERY_VALUES", "SCORES"):
+            monkeypatch.setattr(tiles, name, values)
     queries = df.filter("id < 30").select(F.col("id").alias("q"), "vec")
-    real = V.query_blocks
-    monkeypatch.setattr(V, "query_blocks", lambda q, i, v: real(q, i, v, limit))
     got = {}
     for r in V.top_k(df, queries, "id", "q", "vec", 7, metric).collect():
         got.setdefault(r.q, []).append((r["rank"], r.id))
@@ -64,6 +65,25 @@ def test_near_any(spark, store, radius):
     assert {r.id for r in V.near_any(new, df.select("vec"), "vec", radius, negate=True).collect()} == set(range(120)) - near
 
 
+@pytest.mark.parametrize("crowd, piece", [(10, 60), (3, 1 << 18)])
+def test_near_any_in_split_cells(spark, monkeypatch, crowd, piece):
+    """Three clusters, two of them dense, that are equal on the first axes; some rows on the edge of a cell."""
+    monkeypatch.setattr(V, "CROWD", crowd)
+    monkeypatch.setattr(V, "PIECE_VALUES", piece)
+    rng = np.random.default_rng(11)
+    centre = np.repeat(np.array([[0, 0, 5.0, -3, 1], [0, 0, -4, 2, 2], [0, 0, 1, 9, -7]]), 70, axis=0)
+    points = centre + rng.normal(scale=np.repeat([1.5, 0.01, 0.4], 70)[:, None], size=centre.shape)
+    points[:, :2] = 7.0
+    moved = np.round(points + rng.normal(scale=0.15, size=points.shape), 2)
+    stored = spark.createDataFrame([([float(x) for x in v],) for v in points], "vec array<double>")
+    rows = spark.createDataFrame([(i, [float(x) for x in v], i) for i, v in enumerate(moved)] + [(900, None, 1)], "id int, vec array<double>, key int")
+    near = {i for i in range(210) if (np.linalg.norm(points - moved[i], axis=1) < 0.4).any()}
+    assert 20 < len(near) < 200
+    got = V.near_any(rows, stored, "vec", 0.4)
+    assert got.columns == rows.columns and {r.id for r in got.collect()} == near
+    assert {r.id for r in V.near_any(rows, stored, "vec", 0.4, negate=True).collect()} == {*range(210), 900} - near
+
+
 def test_upsert_keeps_every_row(spark, store):
     _, df = store
     out = V.upsert(df, df.filter("id < 3").withColumn("tag", F.lit(9)), "id")
@@ -105,6 +125,76 @@ def test_bm25_add_clear_count(spark):
     assert index.clear().count() == 0 and index.top_k(q, "q", "t").count() == 0
 
 
+def test_bm25_after_changes_equals_a_new_index(spark):
+    random.seed(4)
+    words = ["the"] * 20 + [f"w{i}" for i in range(30)]
+    rows = [(i, None if i == 7 else " ".join(random.choice(words) for _ in range(random.randrange(0, 20)))) for i in range(90)]
+    queries = spark.createDataFrame([(i, " ".join(random.choice(words) for _ in range(5))) for i in range(8)], "q int, t string")
+    docs = spark.createDataFrame(rows, "id int, t string")
+    index = R.BM25Index(docs.filter("id < 50"), "id", "t", block_docs=6).delete(docs.filter("id % 5 = 1 AND id < 50"))
+    index.add(docs.filter("id >= 50")).delete(docs.filter("id % 7 = 2")).delete(docs.filter("id = 3")).add(docs.filter("id = 3"))
+    left = docs.filter("NOT (id % 5 = 1 AND id < 50) AND id % 7 <> 2")
+    fresh = R.BM25Index(left, "id", "t")
+    got, want = ({(r.q, r.id, r["rank"]): r.score for r in i.top_k(queries, "q", "t", 6).collect()} for i in (index, fresh))
+    assert got == want and len(got) == 48
+    assert index.count() == fresh.count() == left.count() and index.avgdl == fresh.avgdl
+    assert sorted(map(tuple, index.terms.collect())) == sorted(map(tuple, fresh.terms.collect()))
+
+
+def test_best_rows_carried_over_steps():
+    rng = np.random.default_rng(3)
+    cost = np.round(rng.random((200, 7)), 1)
+    cost[rng.random(cost.shape) < 0.2] = np.inf
+    cost[:, 6] = np.inf
+    best = tiles.Best(9, 7)
+    for at in range(0, 200, 13):
+        best.add(cost[at:at + 13], at)
+    query, row, found = best.kept()
+    for q in range(7):
+        want = [(c, i) for c, i in sorted((c, i) for i, c in enumerate(cost[:, q])) if np.isfinite(c)][:9]
+        assert [(c, i) for c, i in zip(found[query == q], row[query == q])] == want
+
+
+def test_search_returns_the_vector(spark, store):
+    vectors, df = store
+    got = V.top_k(df, df.filter("id < 3").select(F.col("id").alias("q"), "vec"), "id", "q", "vec", 2, with_vector=True).collect()
+    assert len(got) == 6 and all(list(r.vec) == list(vectors[r.id]) for r in got)
+
+
+def test_memory_ranges_over_many_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    t = datetime.datetime(2024, 1, 1)
+    rows = [(i, [float(x) for x in rng.normal(size=4)], t + datetime.timedelta(hours=int(h)), t + datetime.timedelta(hours=int(h) + i % 3), float(p))
+            for i, (h, p) in enumerate(zip(rng.integers(0, 300, 200), rng.integers(0, 9, 200)))]
+    m = spark.createDataFrame(rows, "id int, vec array<double>, made timestamp, seen timestamp, imp double")
+    asked = [(q, [float(x) for x in rng.normal(size=4)]) for q in range(9)]
+    q = spark.createDataFrame(asked, "q int, vec array<double>")
+    now = datetime.datetime(2024, 1, 20)
+    one = V.memory_retrieve(m, q, "id", "q", "vec", "made", "seen", "imp", now, k=5).collect()
+    monkeypatch.setattr(tiles, "TILE_VALUES", 60)
+    monkeypatch.setattr(tiles, "QUERY_VALUES", 12)
+    many = V.memory_retrieve(m, q, "id", "q", "vec", "made", "seen", "imp", now, k=5).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and len(one) == 45
+    vec = np.array([r[1] for r in rows])
+    unit = vec / np.linalg.norm(vec, axis=1, keepdims=True)
+    scale = lambda x: (x - x.min()) / (x.max() - x.min())
+    own = scale(np.array([r[4] for r in rows])) + scale(np.array([0.99 ** ((now - r[2]).days) for r in rows]))
+    for i, v in asked:
+        total = np.round(own + scale(unit @ (np.array(v) / np.linalg.norm(v))), 9)
+        want = sorted(range(200), key=lambda j: (-total[j], -rows[j][3].timestamp(), j))[:5]
+        assert [r.id for r in sorted((r for r in one if r.q == i), key=lambda r: r["rank"])] == want
+
+
+def test_access_times_are_written_back(spark, tmp_path):
+    t = datetime.datetime(2024, 1, 1)
+    m = spark.createDataFrame([(i, [1.0, float(i)], t, t, 5, "idle" if i == 3 else "awake") for i in range(6)], "id int, vec array<double>, made timestamp, seen timestamp, imp int, key string")
+    q = spark.createDataFrame([(0, [1.0, 0.0])], "q int, vec array<double>")
+    now = datetime.datetime(2024, 2, 1)
+    found, touched = V.focus_retrieve(m, q, "id", "key", now, k=2, query_id="q", vector="vec", created="made", accessed="seen", importance="imp")
+    after = V.write_access(m, touched, "id", "seen", str(tmp_path / "v2"))
+    assert after.columns == m.columns and {r.id for r in after.collect() if r.seen == now} == {r.id for r in found.collect()} == {0, 1}
+
+
 def test_latest_and_unseen(spark):
     m = spark.createDataFrame([(i, f"m{i % 5}") for i in range(10)], "seq int, content string")
     assert sorted(r.seq for r in M.latest(m, 3).collect()) == [7, 8, 9] and M.latest(m, 0).count() == 10
@@ -163,6 +253,26 @@ def test_near_duplicates_of_a_chain(spark):
     assert got == {1: (1, True), 2: (1, False), 3: (3, True), 4: (4, True), 5: (4, False)}
 
 
+def test_rounds_grow_with_the_logarithm_of_a_bucket(spark, monkeypatch):
+    """Unlike texts that share most of their words meet in the same buckets."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    common = [word() for _ in range(60)]
+    texts = [" ".join(common[:30] + [word() for _ in range(40)] + common[30:]) for _ in range(70)]
+    calls = []
+    real = DD.compared
+    monkeypatch.setattr(DD, "compared", lambda *a: calls.append(1) or real(*a))
+    monkeypatch.setattr(DD, "PREFIX", 4)
+    rounds = {}
+    for n in (16, 64):
+        calls.clear()
+        rows = spark.createDataFrame(list(enumerate(texts[:n])), "id int, t string")
+        got = DD.near_duplicates(rows, "id", "t", threshold=0.95, bands=32, rows=1).collect()
+        assert len(got) == n and all(r.is_kept for r in got)
+        rounds[n] = len(calls)
+    assert 2 < rounds[64] <= rounds[16] + 2  # a round compares twice at most
+
+
 def test_recall_merge_is_ranked(spark):
     df = spark.createDataFrame([(1, 1, 0.1), (1, 2, 0.9), (2, 1, 0.1), (2, 2, 0.9), (2, 3, 0.5)], "q int, position int, score double")
     got = {(r.q, r["rank"]): r.position for r in R.recall_merge(df, "q", 2).collect()}
@@ -181,7 +291,7 @@ def test_index_paths(spark):
     assert got == ["uploads", "uploads", "chats/ab1", "other", "other"]
 
 
-@pytest.mark.parametrize("block", [R.BLOCK_TERMS, 7])
+@pytest.mark.parametrize("block", [R.BLOCK_DOCS, 4])
 def test_bm25_against_brute_force(spark, monkeypatch, block):
     import math
     import random
@@ -191,8 +301,10 @@ def test_bm25_against_brute_force(spark, monkeypatch, block):
     words = ["the"] * 30 + [f"w{i}" for i in range(25)]  # a word in nearly every text
     docs = [(i, " ".join(random.choice(words) for _ in range(random.randrange(0, 25)))) for i in range(60)]
     queries = [(i, " ".join(random.choice(words + ["unknown"]) for _ in range(6))) for i in range(12)]
-    monkeypatch.setattr(R, "BLOCK_TERMS", block)
-    index = R.BM25Index(spark.createDataFrame(docs, "id int, t string").repartition(3), "id", "t")
+    if block < 10:
+        monkeypatch.setattr(R, "QUERY_TERMS", 8)
+        monkeypatch.setattr(R, "TILE_DOCS", 12)
+    index = R.BM25Index(spark.createDataFrame(docs, "id int, t string").repartition(3), "id", "t", block_docs=block)
     got = {}
     for r in index.top_k(spark.createDataFrame(queries, "q int, t string"), "q", "t", 5).collect():
         got.setdefault(r.q, []).append((r["rank"], r.id, r.score))
