@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -58,13 +59,28 @@ def table_schema(spark: SparkSession, name: str) -> DataFrame:
     return described(spark, name)
 
 
-STATEMENT = r"""(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|[^;'"`])+"""  # up to a semicolon outside quotes
+# what a statement is made of: comments, quoted parts, the semicolon that ends it, an opening that nothing closes, and the rest
+PIECE = re.compile(r"""(?P<comment>--[^\n]*|/\*.*?\*/)|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|(?P<end>;)|(?P<open>/\*|['"`])|[^;'"`/-]+|[-/]""", re.DOTALL)
+
+
+def split_statements(text: str) -> list[str]:
+    """Statements between semicolons that stand outside quotes and comments; what is comment only is none."""
+    found, start, said = [], 0, False
+    for piece in PIECE.finditer(text):
+        if piece["open"]:
+            raise ValueError(f"nothing closes {piece[0]} at {piece.start()}: {text[piece.start():piece.start() + 40]!r}")
+        if piece["end"]:
+            found += [text[start:piece.start()].strip()] if said else []
+            start, said = piece.end(), False
+        elif not piece["comment"]:
+            said = said or not piece[0].isspace()
+    return found + ([text[start:].strip()] if said else [])
 
 
 def run_ddl(spark: SparkSession, statements: str | list[str]) -> int:
     """Run statements one by one; a list entry may itself hold several."""
     texts = [statements] if isinstance(statements, str) else statements
-    single = [s.strip() for t in texts for s in re.findall(STATEMENT, t) if s.strip()]
+    single = [s for t in texts for s in split_statements(t)]
     for s in single:
         spark.sql(s)
     return len(single)
@@ -111,13 +127,61 @@ def jdbc_count_query(schema: str, table: str) -> str:
     return f'SELECT COUNT(*) AS row_count FROM "{safe_identifier(schema)}"."{safe_identifier(table)}"'
 
 
-def jdbc_inventory(spark: SparkSession, url: str, user: str, password: str, schema: str = "public") -> DataFrame:
-    """Tables of a database schema with their row counts, counted by the database."""
+def jdbc_bounds_query(schema: str, table: str, column: str) -> str:
+    return (f'SELECT MIN("{safe_identifier(column)}") AS low, MAX("{safe_identifier(column)}") AS high '
+            f'FROM "{safe_identifier(schema)}"."{safe_identifier(table)}"')
 
-    def read(query):
-        return spark.read.format("jdbc").options(**jdbc_options(url, query, user, password)).load()
 
-    names = [r.table_name for r in read(jdbc_tables_query(schema)).collect()]
-    parts = [read(jdbc_count_query(schema, n)).select(F.lit(schema).alias("table_schema"), F.lit(n).alias("table_name"), "row_count")
-             for n in sorted(names)]
-    return reduce(DataFrame.unionByName, parts)
+def jdbc_counts_query(schema: str, tables: list[str]) -> str:
+    """All counts by one query, so the database is asked once."""
+    each = [f"SELECT '{safe_identifier(t)}' AS table_name, COUNT(*) AS row_count FROM \"{safe_identifier(schema)}\".\"{t}\"" for t in sorted(tables)]
+    return " UNION ALL ".join(each)
+
+
+@dataclass(frozen=True)
+class Database:
+    """Tables of one schema of a JDBC database; every name is checked before it enters a query."""
+
+    spark: SparkSession
+    url: str
+    user: str
+    password: str
+    schema: str = "public"
+
+    def read(self, query: str, partition: tuple[str, int, int, int] | None = None) -> DataFrame:
+        return self.spark.read.format("jdbc").options(**jdbc_options(self.url, query, self.user, self.password, partition)).load()
+
+    def tables(self) -> list[str]:
+        """Names of the base tables, sorted."""
+        return sorted(r.table_name for r in self.read(jdbc_tables_query(self.schema)).select("table_name").collect())
+
+    def columns(self, table: str) -> DataFrame:
+        """(position, column_name, dtype) of one table; no rows where there is no such table."""
+        found = self.read(f"{jdbc_columns_query(self.schema)} AND table_name = '{safe_identifier(table)}'")
+        return found.select(F.col("ordinal_position").cast("int").alias("position"), "column_name", F.col("data_type").alias("dtype"))
+
+    def verify(self, table: str) -> bool:
+        return not self.columns(table).isEmpty()
+
+    def scan(self, table: str, column: str | None = None, parts: int = 16) -> DataFrame:
+        """A table; with an integer ``column`` in as many parallel parts between its least and greatest value.
+
+        Rows where the column is null belong to the first part.  An empty table is one part.
+        """
+        query = f'SELECT * FROM "{safe_identifier(self.schema)}"."{safe_identifier(table)}"'
+        ends = self.read(jdbc_bounds_query(self.schema, table, column)).first() if column else None
+        if ends is None or ends.low is None or ends.high == ends.low:
+            return self.read(query)
+        return self.read(query, (column, int(ends.low), int(ends.high) + 1, min(parts, int(ends.high) - int(ends.low) + 1)))
+
+    def inventory(self) -> DataFrame:
+        """Row counts of all tables, counted by the database."""
+        names = self.tables()
+        if not names:
+            return self.spark.createDataFrame([], "table_schema string, table_name string, row_count bigint")
+        return self.read(jdbc_counts_query(self.schema, names)).select(F.lit(self.schema).alias("table_schema"), "table_name", "row_count")
+
+
+def jdbc_inventory(spark: SparkSession, url: str, user: str, password: str, schema: str = "public") -> DataFrame:
+    """Tables of a database schema with their row counts."""
+    return Database(spark, url, user, password, schema).inventory()

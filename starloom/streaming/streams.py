@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from starloom.functions import scalars as S
 from starloom.operators.budget import spend
@@ -25,17 +27,27 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
     return reader.load(path)
 
 
-def drain(stream: DataFrame, label: str, mode: str = "append", target: str | None = None) -> DataFrame:
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def drain(stream: DataFrame, label: str, mode: str = "append", target: str | None = None, rocksdb: bool = False) -> DataFrame:
     """Run a stream over what is available now into parquet and read the result.
 
     Output and checkpoint lie in the shared folder, so a restarted run goes on
-    where the lost one stopped.
+    where the lost one stopped.  ``rocksdb`` names that state store for this run.
     """
     spark = stream.sparkSession
     target = target or scratch_path(spark, label)
-    query = (stream.writeStream.format("parquet").outputMode(mode).option("path", f"{target}/data")
-             .option("checkpointLocation", f"{target}/state").trigger(availableNow=True).start())
-    query.awaitTermination()
+    before = spark.conf.get(STORE)
+    if rocksdb:
+        spark.conf.set(STORE, ROCKSDB)
+    try:
+        query = (stream.writeStream.format("parquet").outputMode(mode).option("path", f"{target}/data")
+                 .option("checkpointLocation", f"{target}/state").trigger(availableNow=True).start())
+        query.awaitTermination()
+    finally:
+        spark.conf.set(STORE, before)
     return spark.read.schema(stream.schema).parquet(f"{target}/data")
 
 
@@ -78,36 +90,115 @@ def routed(messages: DataFrame, recipients: DataFrame, message_id: str, recipien
     return direct.unionByName(loud)
 
 
-def latest_status(target: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
-    """Batch handler keeping the newest row per job; each epoch writes its own complete version."""
+BUCKETS = 16
+
+
+def committed(spark: SparkSession, target: str, before: int | None = None) -> list:
+    """(bucket, version) of the last committed epoch, or of the last one before an epoch; one row per bucket."""
+    try:
+        commits = spark.read.parquet(f"{target}/commits")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    commits = commits if before is None else commits.filter(F.col("epoch") < before)
+    newest = commits.agg(F.max("epoch")).first()[0]
+    return [] if newest is None else commits.filter(F.col("epoch") == newest).select("bucket", "version").collect()
+
+
+def read_status(spark: SparkSession, target: str, before: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
+    """The committed rows, of some buckets only if asked; None before the first commit."""
+    rows = [r for r in committed(spark, target, before) if buckets is None or r.bucket in buckets]
+    return spark.read.parquet(*[f"{target}/v{r.version}/bucket={r.bucket}" for r in rows]) if rows else None
+
+
+def latest_status(target: str, key: str, order: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """Batch handler keeping the newest row per job, in buckets of the key.
+
+    An epoch merges its rows into the buckets that they touch and writes these only, as a
+    version of its own; then it commits a pointer from every bucket to its version.  Readers
+    follow the last commit.  An epoch that is run again starts from the commit before it and
+    writes the same version, so it changes nothing.
+    """
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        merged = batch
-        if epoch > 0:
-            merged = spark.read.parquet(f"{target}/v{epoch - 1}").unionByName(batch)
+        placed = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        touched = sorted(r.bucket for r in placed.select("bucket").distinct().collect())
+        if not touched:
+            return
+        old = read_status(spark, target, epoch, touched)
+        rows = batch if old is None else old.select(*batch.columns).unionByName(batch)
         others = [c for c in batch.columns if c != key]
-        newest = merged.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("__r")).select(key, "__r.*")
-        newest.write.mode("overwrite").parquet(f"{target}/v{epoch}")
+        newest = rows.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("__r")).select(key, "__r.*")
+        newest.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/v{epoch}")
+        versions = {r.bucket: r.version for r in committed(spark, target, epoch)} | dict.fromkeys(touched, epoch)
+        pointer = spark.createDataFrame(list(versions.items()), "bucket int, version long")
+        pointer.coalesce(1).write.mode("overwrite").parquet(f"{target}/commits/epoch={epoch}")
 
     return merge
 
 
-def budget_stream(events: DataFrame, agent: str, order: list[str], weight: str, budget: int) -> DataFrame:
-    """Triggered events of each agent; the state is the remaining budget.
-
-    Batches must arrive in time order per agent, as files written by day do; inside a
-    batch the rows are put in order.
+class BudgetProcessor(StatefulProcessor):
+    """Keeps an agent's events until the watermark has passed them, then spends its budget in their order."""
+
+    def __init__(self, agent: str, time: str, ties: dict[str, str], budget: int):
+        self.agent, self.time, self.ties, self.budget = agent, time, ties, budget
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        fields = "".join(f", `{c}` {kind}" for c, kind in self.ties.items())
+        self.waiting = handle.getListState("waiting", f"us long{fields}, w long")
+        self.state = handle.getValueState("state", "remaining long, settled long")
+
+    def names(self) -> list[str]:
+        return ["us", *self.ties, "w"]
+
+    def now(self) -> tuple[int, int]:
+        return tuple(self.state.get()) if self.state.exists() else (self.budget, -1)
+
+    def settle(self, key, mark: int) -> Iterator[pd.DataFrame]:
+        """Events before the watermark (milliseconds) are spent; the first of the others sets the next timer."""
+        remaining, _ = self.now()
+        rows = pd.DataFrame([tuple(r) for r in self.waiting.get()], columns=self.names()) if self.waiting.exists() else pd.DataFrame(columns=self.names())
+        due = (rows["us"] < mark * 1000).to_numpy(dtype=bool)
+        ready, rest = rows[due].sort_values(["us", *self.ties]), rows[~due]
+        if len(ready):
+            _, fired, remaining = spend(ready["w"].tolist(), remaining, self.budget)
+            self.waiting.clear()
+            if len(rest):
+                self.waiting.put([tuple(r) for r in rest.itertuples(index=False)])
+            out = ready[np.asarray(fired)]
+            yield pd.DataFrame({self.agent: [key[0]] * len(out), self.time: pd.to_datetime(out["us"].astype("int64"), unit="us", utc=True)} | {c: out[c] for c in self.ties})
+        self.state.update((remaining, mark))
+        if len(rest):
+            self.handle.registerTimer(int(rest["us"].min()) // 1000 + 1)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        mark = max(timerValues.getCurrentWatermarkInMs(), 0)
+        _, settled = self.now()
+        for part in rows:
+            part = part[part["us"] >= settled * 1000]  # an event behind what is settled is late
+            if len(part):
+                self.waiting.appendList([tuple(r) for r in part[self.names()].itertuples(index=False)])
+        yield from self.settle(key, mark)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self.settle(key, max(timerValues.getCurrentWatermarkInMs(), 0))
+
+    def close(self) -> None:
+        pass
+
+
+def budget_stream(events: DataFrame, agent: str, time: str, ties: list[str], weight: str, budget: int, delay: str = "1 day") -> DataFrame:
+    """Triggered events of each agent, in the order of time and ``ties``, whatever order they arrive in.
+
+    An event waits until the watermark has passed it, so files may overlap in time by up to the
+    delay; later ones are dropped, and no more than that span is held.  Needs the RocksDB state
+    store (``drain(..., rocksdb=True)``).
     """
-    kind = {agent: events.schema[agent].dataType.simpleString()} | {o: events.schema[o].dataType.simpleString() for o in order}
-    out = ", ".join(f"{k} {v}" for k, v in kind.items())
-
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(parts)).sort_values(order)
-        remaining = state.get[0] if state.exists else budget
-        _, fired, remaining = spend(rows["__w"].tolist(), remaining, budget)
-        state.update((remaining,))
-        yield rows.loc[fired, [agent, *order]]
-
-    lean = events.select(agent, *order, F.col(weight).cast("long").alias("__w"))
-    return lean.groupBy(agent).applyInPandasWithState(step, out, "remaining long", "append", GroupStateTimeout.NoTimeout)
+    kinds = {c: events.schema[c].dataType.simpleString() for c in ties}
+    timed = _timed(events, time).withWatermark(time, delay)
+    lean = timed.select(agent, time, F.unix_micros(time).alias("us"), *ties, F.col(weight).cast("long").alias("w"))
+    out = f"`{agent}` {events.schema[agent].dataType.simpleString()}, `{time}` timestamp" + "".join(f", `{c}` {k}" for c, k in kinds.items())
+    return lean.groupBy(agent).transformWithStateInPandas(BudgetProcessor(agent, time, kinds, budget), out, "append", "EventTime")

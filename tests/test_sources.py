@@ -196,10 +196,22 @@ def test_registry(tmp_path):
 
 
 def test_status_handler_keeps_the_newest(spark, tmp_path):
-    handler = ST.latest_status(str(tmp_path), "job", "at")
-    handler(spark.createDataFrame([(1, 1, "run"), (2, 1, "run")], "job int, at int, s string"), 0)
-    handler(spark.createDataFrame([(1, 3, "done"), (1, 2, "mid")], "job int, at int, s string"), 1)
-    assert {r.job: r.s for r in spark.read.parquet(f"{tmp_path}/v1").collect()} == {1: "done", 2: "run"}
+    target = str(tmp_path)
+    handler = ST.latest_status(target, "job", "at", buckets=4)
+    kind = "job int, at int, s string"
+    assert ST.read_status(spark, target) is None
+    handler(spark.createDataFrame([(i, 1, "run") for i in range(20)], kind), 0)
+    handler(spark.createDataFrame([(1, 3, "done"), (1, 2, "mid")], kind), 1)
+    want = {i: "run" for i in range(20)} | {1: "done"}
+    read = lambda: {r.job: r.s for r in ST.read_status(spark, target).collect()}
+    assert read() == want
+    versions = {r.bucket: r.version for r in ST.committed(spark, target)}
+    assert sorted(versions.values()) == [0, 0, 0, 1]  # one bucket is written again
+    handler(spark.createDataFrame([(1, 3, "done"), (1, 2, "mid")], kind), 1)  # the same epoch again
+    assert read() == want and {r.bucket: r.version for r in ST.committed(spark, target)} == versions
+    handler(spark.createDataFrame([], kind), 2)
+    handler(spark.createDataFrame([(30, 1, "new"), (1, 1, "stale")], kind), 3)
+    assert read() == want | {30: "new"}
 
 
 def test_late_rows_are_dropped(spark, tmp_path):
@@ -220,12 +232,29 @@ def test_late_rows_are_dropped(spark, tmp_path):
     assert got["2024-01-01"] == 2 and got["2024-01-05"] == 1 and "2024-01-09" not in got
 
 
-def test_budget_state_carries_over_batches(spark, tmp_path):
-    folder = str(tmp_path / "in")
-    for day in range(3):
-        spark.createDataFrame([(1, day * 10 + i, 6) for i in range(4)], "agent long, seq long, w long").coalesce(1).write.mode("append").parquet(folder)
-        out = ST.drain(ST.budget_stream(ST.file_stream(spark, folder, "agent long, seq long, w long"), "agent", ["seq"], "w", 20), "b", target=str(tmp_path / "out"))
-    assert sorted(r.seq for r in out.collect()) == [3, 13, 23]
+def test_budget_state_carries_over_batches_out_of_order(spark, tmp_path):
+    import random
+
+    from starloom.operators.budget import budget_triggers
+
+    rng = random.Random(2)
+    rows = [(rng.choice([1, 1, 2, 3]), 1_700_000_000 + h * 3600, h, rng.randrange(0, 9)) for h in range(400)]
+    kind = "agent long, at long, seq long, w long"
+    timed = lambda df: df.withColumn("ts", F.timestamp_seconds("at"))
+    schema = timed(spark.createDataFrame([], kind)).schema
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in range(4):
+        # a day's worth of neighbours changes places between the files
+        mine = [r for r in rows if min(max((r[2] + (r[2] * 7 % 13 - 6)) // 100, 0), 3) == part]
+        rng.shuffle(mine)
+        timed(spark.createDataFrame(mine, kind)).coalesce(1).write.mode("append").parquet(folder)
+        if part == 2:
+            continue  # two files in one run
+        stream = ST.budget_stream(ST.file_stream(spark, folder, schema, 1), "agent", "ts", ["seq"], "w", 20, "1 day")
+        got = ST.drain(stream, "b", target=out, rocksdb=True)
+    whole = budget_triggers(timed(spark.createDataFrame(rows, kind)), "agent", ["ts", "seq"], "w", 20).filter("triggered")
+    closed = 399 - 24
+    assert sorted((r.agent, r.seq) for r in got.collect()) == sorted((r.agent, r.seq) for r in whole.collect() if r.seq < closed)
 
 
 def test_a_failing_stream_does_not_stop_the_others(spark, tmp_path):
@@ -236,6 +265,47 @@ def test_a_failing_stream_does_not_stop_the_others(spark, tmp_path):
     assert got == {("a", "succeeded", 2), ("b", "failed", 0), ("c", "succeeded", 4)}
 
 
+def test_statements_end_outside_quotes_and_comments(spark):
+    from starloom.sources import catalog
+
+    split = catalog.split_statements
+    assert split("CREATE TABLE t(a int) -- don't drop; really\n; SELECT 1") == ["CREATE TABLE t(a int) -- don't drop; really", "SELECT 1"]
+    assert split("/* a; b */ SELECT 2 /* it's */; -- only a comment;\n;;") == ["/* a; b */ SELECT 2 /* it's */"]
+    assert split("SELECT 'it''s; ok', \"a;b\", `c;d`, 3 - 1, 4/2") == ["SELECT 'it''s; ok', \"a;b\", `c;d`, 3 - 1, 4/2"]
+    assert split(" \n ; /* */ ") == []
+    for bad in ("SELECT 'open; SELECT 2", "SELECT 1 /* open", 'SELECT "x'):
+        with pytest.raises(ValueError, match="nothing closes"):
+            split(bad)
+    assert catalog.run_ddl(spark, ["SELECT 1 -- one; still\n; SELECT 2", "/* none; */"]) == 2
+
+
+def test_database_queries_are_checked_and_partitioned(spark, monkeypatch):
+    from starloom.sources import catalog
+
+    asked = []
+    answers = {"information_schema.tables": (["table_schema", "table_name"], [("shop", "b"), ("shop", "a")]), "MIN(": (["low", "high"], [(3, 40)]),
+               "information_schema.columns": (["column_name", "data_type", "ordinal_position"], [("id", "bigint", 1)]), "COUNT(": (["table_name", "row_count"], [("a", 5), ("b", 6)])}
+
+    def read(self, query, partition=None):
+        asked.append((query, partition))
+        names, rows = next((v for k, v in answers.items() if k in query), (["id"], [(1,)]))
+        return spark.createDataFrame(rows, names)
+
+    monkeypatch.setattr(catalog.Database, "read", read)
+    shop = catalog.Database(spark, "jdbc:x", "u", "p", "shop")
+    assert shop.tables() == ["a", "b"] and shop.verify("a")
+    assert [tuple(r) for r in shop.inventory().collect()] == [("shop", "a", 5), ("shop", "b", 6)] and asked[-1][0].count("UNION ALL") == 1
+    shop.scan("a", "id", 100)
+    assert asked[-1] == ('SELECT * FROM "shop"."a"', ("id", 3, 41, 38))
+    shop.scan("a")
+    assert asked[-1] == ('SELECT * FROM "shop"."a"', None)
+    for call in (lambda: shop.scan("a; DROP"), lambda: shop.scan("a", "id)"), lambda: shop.verify("a' OR 1=1"), lambda: catalog.jdbc_counts_query("shop", ["a b"])):
+        with pytest.raises(ValueError, match="Invalid SQL identifier"):
+            call()
+    options = catalog.jdbc_options("jdbc:x", "SELECT 1", "u", "p", ("id", 3, 41, 38))
+    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", "3", "41", "38")
+
+
 def test_semicolons_in_quotes_do_not_split(spark):
     from starloom.sources import catalog
 
