@@ -18,12 +18,12 @@ def text_f1(prediction: Column, expected: Column) -> Column:
 def best_f1(df: DataFrame, key: str, prediction: str, expected: str, keep_below: float = 0.3) -> DataFrame:
     """Best F1 over all pairs of ``|``-separated answers and outputs; blank answers are skipped.
 
-    Rows under ``keep_below`` are marked as mismatches.
+    The pairs of a row are met where the row lies, and only its best leaves; a row without an
+    answer or an output gives none.  Rows under ``keep_below`` are marked as mismatches.
     """
     answers = F.filter(F.split(expected, r"\|"), lambda a: F.trim(a) != "")
-    parts = element_rows(df, [key, prediction], answers, "a")
-    pairs = element_rows(parts, [key, "a"], F.split(prediction, r"\|"), "o")
-    scored = pairs.select(key, text_f1(F.col("o"), F.col("a")).alias("f1"))
+    pieces = [F.transform(p, T.answer_tokens) for p in (F.split(prediction, r"\|"), answers)]
+    scored = df.select(key, T.best_token_f1(*pieces).alias("f1")).filter(F.col("f1").isNotNull())
     return scored.groupBy(key).agg(F.max("f1").alias("score")).withColumn("is_mismatch", F.col("score") < keep_below)
 
 

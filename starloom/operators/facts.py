@@ -94,16 +94,15 @@ def bradford_factor(spells: Column, days: Column) -> Column:
 def cross_left(left: DataFrame, right: DataFrame, limit: int = 10_000) -> DataFrame:
     """Every left row with every row of a right side proven small; left rows stay when it is empty.
 
-    Kept for parity with the unconditional left join; use a key where one exists.
+    Kept for parity with the unconditional left join; use a key where one exists.  The right
+    side is packed into one row on an executor and sent to all tasks; more than ``limit`` rows
+    raise, so what is sent is bounded.
     """
-    rows = right.take(limit + 1)
-    if len(rows) > limit:
+    if right.limit(limit + 1).count() > limit:
         raise ValueError(f"right side has more than {limit} rows: join on a key instead")
-    if not rows:
-        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
-        return left.select("*", *empty)
-    packed = F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in right.schema]) for r in rows])
-    return left.withColumn("__r", F.explode(packed)).select(*left.columns, "__r.*")
+    packed = right.agg(F.collect_list(F.struct(*right.columns)).alias("__rows")).withColumn("__one", F.lit(0))
+    joined = left.withColumn("__one", F.lit(0)).join(F.broadcast(packed), "__one")
+    return joined.withColumn("__r", F.explode_outer("__rows")).select(*left.columns, "__r.*")
 
 
 def year_over_year(monthly: DataFrame, month: str, by: list[str], value: str) -> DataFrame:

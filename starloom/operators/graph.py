@@ -11,6 +11,7 @@ from starloom.session import cut_lineage
 # Predicate and class words of the code graph.
 IS, HAS_CLASS, HAS_FUNCTION, HAS_CLASS_METHOD = "is", "has_class", "has_function", "has_class_method"
 HAS_CLASS_PROPERTY, HAS_DETAIL, IS_COMPOSITE_OF = "has_class_property", "has_detail", "isCompositeOf"
+IS_AGGREGATE_OF = "isAggregateOf"
 FILE_TYPES = {".py": "python", ".js": "javascript"}
 
 
@@ -76,7 +77,12 @@ def file_triples(files: DataFrame) -> DataFrame:
 
 
 def class_triples(views: DataFrame) -> DataFrame:
-    """Triples of class views (package ``file:Class``, attributes map, methods map)."""
+    """Triples of class views (package ``file:Class``, maps of attributes and methods, names of compositions and aggregations).
+
+    The classes that a class is composed of are known by their short names only; ``resolve_names``
+    finds the whole ones.
+    """
+    views = cut_lineage(views)  # read by every part below
     file, package = F.split_part("package", F.lit(":"), F.lit(1)), F.col("package")
     attributes = views.select("package", F.explode("attributes").alias("k", "v"))
     methods = views.select("package", F.explode("methods").alias("k", "v"))
@@ -86,8 +92,13 @@ def class_triples(views: DataFrame) -> DataFrame:
         _spo(views, file, HAS_CLASS, package), _spo(views, package, IS, "class"),
         _spo(views, package, HAS_DETAIL, F.to_json(F.struct(*views.columns))),
         _spo(attributes, package, HAS_CLASS_PROPERTY, prop), _spo(attributes, prop, IS, "class_property"),
-        _spo(attributes, prop, HAS_DETAIL, F.col("v")), _spo(methods, package, HAS_CLASS_METHOD, prop),
+        _spo(attributes, prop, HAS_DETAIL, F.col("v")), _spo(methods, package, HAS_CLASS_METHOD, prop), _spo(methods, prop, IS, "class_method"),
+        _spo(methods, prop, HAS_DETAIL, F.col("v")),
     ]
+    for column, predicate in (("compositions", IS_COMPOSITE_OF), ("aggregations", IS_AGGREGATE_OF)):
+        if column in views.columns:
+            names = views.select("package", F.explode(column).alias("n"))
+            parts.append(_spo(names, package, predicate, _joined(F.lit("?"), F.col("n"))))
     return reduce(DataFrame.unionByName, parts).distinct()
 
 

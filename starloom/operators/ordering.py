@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom.session import cut_lineage, small_side
+from starloom.session import small_side, written
 
 _PID, _POS, _OFFSET = "__pid", "__pos", "__offset"
 
@@ -24,14 +24,14 @@ def _asc(order):
 
 
 def ordered_partitions(df: DataFrame, order: list) -> DataFrame:
-    """Rows in global order with their partition id and 0-based position in it."""
+    """Rows in global order with their partition id and 0-based position in it, as a written table."""
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     )
-    return cut_lineage(placed)
+    return written(placed, "ordered")
 
 
 def _with_offsets(placed: DataFrame, totals: DataFrame) -> DataFrame:

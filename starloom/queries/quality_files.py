@@ -202,12 +202,16 @@ def log_to_rows(spark, sf):
 
 @query("""
 SELECT 'customer' AS stream, 'succeeded' AS status, count(*) AS rows_synced FROM customer
-UNION ALL SELECT 'orders', 'succeeded', count(*) FROM orders UNION ALL SELECT 'part', 'succeeded', count(*) FROM part""")
+UNION ALL SELECT 'orders', 'succeeded', count(*) FROM orders UNION ALL SELECT 'part', 'succeeded', count(*) FROM part
+UNION ALL SELECT 'supplier', CASE WHEN count(*) FILTER (s_acctbal < 0) > 0 THEN 'failed' ELSE 'succeeded' END, CASE WHEN count(*) FILTER (s_acctbal < 0) > 0 THEN 0 ELSE count(*) END FROM supplier""")
 def sync_status(spark, sf):
-    streams = {t: load(spark, sf, t) for t in ("customer", "orders", "part", "supplier")}
+    """Four streams; one refuses rows that break its rule, and the others go on."""
+    streams = {t: load(spark, sf, t) for t in ("customer", "orders", "part")}
+    owing = F.when(F.col("s_acctbal") < 0, F.raise_error(F.lit("a balance is negative"))).otherwise(F.col("s_acctbal"))
+    streams["supplier"] = load(spark, sf, "supplier").withColumn("s_acctbal", owing)
     folder = scratch_path(spark, "sync")
     SI.sync_streams(streams, folder, ["customer", "part"])  # a full refresh replaces, it does not add
-    return SI.sync_streams(streams, folder, ["customer", "orders", "part"])
+    return SI.sync_streams(streams, folder, ["customer", "orders", "part", "supplier"])
 
 
 @query("""

@@ -194,24 +194,33 @@ def _views(spark, sf):
     p = load(spark, sf, "part")
     name = F.concat(F.lit("src/"), F.lower("p_type"), F.lit(".js:Part"), F.col("p_partkey").cast("string"))
     return p.select(name.alias("package"), F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("size"), F.col("p_size").cast("string")).alias("attributes"),
-                    F.create_map(F.lit("price"), F.lit("double")).alias("methods"))
+                    F.create_map(F.lit("price"), F.lit("double")).alias("methods"), F.array(F.concat(F.lit("Part"), F.expr("cast(p_partkey div 2 as string)"))).alias("compositions"), F.array("p_brand").alias("aggregations"))
 
 
-_PKG = "v AS (SELECT 'src/' || lower(p_type) || '.js' AS file, 'src/' || lower(p_type) || '.js:Part' || p_partkey AS pkg, p_brand, p_size FROM part)"
+_PKG = "v AS (SELECT 'src/' || lower(p_type) || '.js' AS file, 'src/' || lower(p_type) || '.js:Part' || p_partkey AS pkg, 'Part' || (p_partkey // 2) AS piece, p_brand, p_size FROM part)"
 
 
 @query(f"""WITH {_PKG} SELECT DISTINCT file AS subject, 'is' AS predicate, 'source_code' AS object FROM v UNION ALL SELECT DISTINCT file, 'is', 'javascript' FROM v
 UNION ALL SELECT file, 'has_class', pkg FROM v UNION ALL SELECT pkg, 'is', 'class' FROM v
 UNION ALL SELECT pkg, 'has_class_property', pkg || ':' || a FROM v, (VALUES ('brand'), ('size')) x(a) UNION ALL SELECT pkg || ':' || a, 'is', 'class_property' FROM v, (VALUES ('brand'), ('size')) x(a)
 UNION ALL SELECT pkg || ':brand', 'has_detail', p_brand FROM v UNION ALL SELECT pkg || ':size', 'has_detail', CAST(p_size AS VARCHAR) FROM v
-UNION ALL SELECT pkg, 'has_class_method', pkg || ':price' FROM v""")
+UNION ALL SELECT pkg, 'has_class_method', pkg || ':price' FROM v UNION ALL SELECT pkg || ':price', 'is', 'class_method' FROM v UNION ALL SELECT pkg || ':price', 'has_detail', 'double' FROM v
+UNION ALL SELECT pkg, 'isCompositeOf', '?:' || piece FROM v UNION ALL SELECT pkg, 'isAggregateOf', '?:' || p_brand FROM v
+UNION ALL SELECT pkg, 'has_detail', '{{"package":"' || pkg || '","attributes":{{"brand":"' || p_brand || '","size":"' || p_size || '"}},"methods":{{"price":"double"}},"compositions":["' || piece || '"],"aggregations":["' || p_brand || '"]}}' FROM v""")
 def graph_class_triples(spark, sf):
-    t = G.class_triples(_views(spark, sf))
-    return t.filter(~((F.col("predicate") == G.HAS_DETAIL) & F.col("object").startswith("{")))
+    return G.class_triples(_views(spark, sf))
+
+
+@query(f"""WITH {_PKG}, w AS (SELECT DISTINCT pkg, split_part(pkg, ':', 2) AS short FROM v)
+SELECT v.pkg AS subject, 'isCompositeOf' AS predicate, w.pkg AS object FROM v JOIN w ON w.short = v.piece""")
+def graph_compositions(spark, sf):
+    """The classes that each class is composed of, by their whole names."""
+    t = G.resolve_names(G.class_triples(_views(spark, sf)))
+    return G.select(t, predicate=G.IS_COMPOSITE_OF).select("subject", "predicate", "object")
 
 
 @query(f"""WITH {_PKG} SELECT pkg || ':' || a AS object, pkg AS subject, CASE a WHEN 'price' THEN 'has_class_method' ELSE 'has_class_property' END AS predicate,
- CASE a WHEN 'brand' THEN p_brand WHEN 'size' THEN CAST(p_size AS VARCHAR) END AS detail FROM v, (VALUES ('brand'), ('size'), ('price')) x(a) WHERE pkg IN (SELECT max(pkg) FROM v)""")
+ CASE a WHEN 'brand' THEN p_brand WHEN 'size' THEN CAST(p_size AS VARCHAR) ELSE 'double' END AS detail FROM v, (VALUES ('brand'), ('size'), ('price')) x(a) WHERE pkg IN (SELECT max(pkg) FROM v)""")
 def graph_class_view(spark, sf):
     views = _views(spark, sf)
     name = views.agg(F.max("package")).first()[0]

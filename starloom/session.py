@@ -70,6 +70,20 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write the rows column by column to the shared scratch folder and continue from there.
+
+    Positions and partition ids taken before stay valid after it, a later step reads only the
+    columns that it uses, and the folder goes when the driver ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and continue from there.
 
