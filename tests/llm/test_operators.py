@@ -404,6 +404,13 @@ def test_anchors_of_equal_windows_are_equal(monkeypatch, chunk):
     assert all(len(a) == 1 for a in anchor.values())
 
 
+def test_anchor_places_by_whole_hashes():
+    draw = np.random.default_rng(3)
+    for grams in (draw.integers(0, 1 << 63, 3000, dtype=np.uint64), draw.integers(0, 9, 3000, dtype=np.uint64), (np.uint64(7) << np.uint64(40)) + draw.integers(0, 1 << 12, 3000, dtype=np.uint64)):
+        want = [min(range(p, p + 85), key=lambda q: (grams[q], q)) for p in range(len(grams) - 84)]
+        assert suffix.anchor_places(grams, 85).tolist() == want
+
+
 def test_interval_expansion_finds_equal_strings():
     draw = np.random.default_rng(9)
     text = np.append(draw.integers(2, 4, 3000), 0).astype(np.uint16)
