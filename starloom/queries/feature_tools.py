@@ -190,7 +190,20 @@ def feat_bins_uniform(spark, sf):
     return FE.SplitBins(["value"], "uniform").fit_transform(load(spark, sf, "events").select("event_id", "value"))
 
 
-@query()
+_MOVED = ", ".join(f"coalesce(sum(v * n) FILTER (k = {i}) / sum(n) FILTER (k = {i}), cs[{i + 1}])" for i in range(5))
+_NEAREST = " + ".join(f"(v >= (cs[{i}] + cs[{i + 1}]) / 2)::INT" for i in range(1, 5))
+
+
+@query(f"""
+WITH RECURSIVE counted AS (SELECT coalesce(value, 0.0)::DOUBLE AS v, count(*) AS n FROM events GROUP BY ALL),
+s AS (SELECT min(v) AS lo, max(v) AS hi, 1e-4 * (sum(v * v * n) / sum(n) - (sum(v * n) / sum(n)) ** 2) AS small FROM counted),
+rounds AS (
+  SELECT 0 AS i, list_transform(range(0, 5), lambda k: lo + (hi - lo) / 5 * (k + 0.5)) AS cs, CAST('infinity' AS DOUBLE) AS shift FROM s
+  UNION ALL
+  SELECT i + 1, moved, list_sum(list_transform(range(1, 6), lambda k: (moved[k] - cs[k]) ** 2)) FROM (
+    SELECT i, cs, list_sort([{_MOVED}]) AS moved FROM (SELECT i, cs, v, n, {_NEAREST} AS k FROM rounds, counted, s WHERE shift > small AND i < 300) GROUP BY i, cs)),
+last AS (SELECT cs FROM rounds ORDER BY i DESC LIMIT 1)
+SELECT event_id, CAST({_NEAREST.replace("v >=", "coalesce(value, 0.0) >=")} AS DOUBLE) AS value FROM events, last""")
 def feat_bins_kmeans(spark, sf):
     return FE.SplitBins(["value"], "kmeans").fit_transform(load(spark, sf, "events").select("event_id", "value"))
 
