@@ -231,6 +231,12 @@ def delete(store: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return store.join(keys.select(key).distinct(), key, "left_anti")
 
 
+def drop(spark, folder: str) -> bool:
+    """Remove a stored collection with all its rows; tells whether there was one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def centroids(store: DataFrame, group: str, vector: str, width: int, digits: int = 6) -> DataFrame:
     """Mean vector per group as one flat aggregate."""
     means = [F.round(F.avg(F.element_at(vector, i + 1).cast("double")), digits) for i in range(width)]

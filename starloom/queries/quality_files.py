@@ -151,6 +151,53 @@ def csv_roundtrip(spark, sf):
     return spark.table(table).select(F.col("c_custkey").cast("bigint"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+@query("""
+SELECT column_name, dtype, row_count FROM (SELECT count(*) AS row_count FROM customer),
+ (VALUES ('c_custkey', 'int'), ('c_name', 'string'), ('c_nationkey', 'int'), ('c_acctbal', 'double'), ('c_mktsegment', 'string')) t(column_name, dtype)""")
+def file_inference(spark, sf):
+    """Types and rows of a file, without loading it into a table."""
+    folder = scratch_path(spark, "inferred") + ".csv"
+    load(spark, sf, "customer").write.option("header", True).option("sep", "|").csv(folder)
+    rows = [(name, kind, FI.file_rows(spark, folder)) for name, kind in FI.file_schema(spark, folder)]
+    return spark.createDataFrame(rows, "column_name string, dtype string, row_count bigint")
+
+
+@query("""
+WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM benchmark)
+SELECT substr(line, i * 256 + 1, 256) AS content, count(*) AS times FROM (SELECT line, unnest(range(0, (length(line) - 1) // 256 + 1)) AS i FROM l WHERE trim(line) <> '') GROUP BY ALL""")
+def text_files_indexed(spark, sf):
+    """Text files as rows of at most 256 characters of a line, ready for an index."""
+    folder = scratch_path(spark, "texts") + ".txt"
+    load(spark, sf, "benchmark").select("text").write.text(folder)
+    return FI.indexable(spark, folder).groupBy("content").agg(F.count(F.lit(1)).alias("times"))
+
+
+@query("""SELECT o_orderstatus, count(*) AS orders, count(DISTINCT c_nationkey) AS nations FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_orderstatus""")
+def adhoc_query(spark, sf):
+    """SQL over frames given by name."""
+    sql = "SELECT o_orderstatus, count(*) AS orders, count(DISTINCT c_nationkey) AS nations FROM {o} JOIN {c} ON o_custkey = c_custkey GROUP BY o_orderstatus"
+    return C.run_query(spark, sql, o=load(spark, sf, "orders"), c=load(spark, sf, "customer"))
+
+
+@query("""
+SELECT position, column_name, dtype, true AS listed, false AS filled FROM
+ (VALUES (1, 'n_nationkey', 'int'), (2, 'n_name', 'string'), (3, 'n_regionkey', 'int')) t(position, column_name, dtype) WHERE (SELECT count(*) FROM nation) > 0""")
+def staging_table(spark, sf):
+    """An empty table with a file's columns: listed, verified and described by the catalog."""
+    table = "staging_" + scratch_path(spark, "x")[-8:]
+    SI.staging_shell(load(spark, sf, "nation"), table, scratch_path(spark, "staging"))
+    listed = C.verify_table(spark, table) and f"default.{table}" in C.list_tables(spark)
+    filled = not spark.table(table).isEmpty()
+    return C.table_schema(spark, table).withColumns({"listed": F.lit(listed), "filled": F.lit(filled)})
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'error' THEN 0.0 ELSE 1 / (1 + value) END AS score FROM events")
+def score_normalised(spark, sf):
+    """Lower-is-better values as shares of one; the failure mark is zero."""
+    raw = F.when(F.col("event_type") == "error", F.lit(-1.0)).otherwise(F.col("value"))
+    return load(spark, sf, "events").select("event_id", S.normalised_score(raw).alias("score"))
+
+
 @query("SELECT l_returnflag, 2 * count(*) AS row_count, round(2 * sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY l_returnflag")
 def csv_append(spark, sf):
     """The same file appended twice: its rows are there twice."""

@@ -100,6 +100,12 @@ def test_memory_scores_with_equal_importance(spark):
     assert [r.id for r in got] == [0, 1, 2, 3] and got[0].score == 2.0 and got[3].score == 1.0
 
 
+def test_a_dropped_collection_is_gone(spark, store, tmp_path):
+    folder = str(tmp_path / "vectors")
+    store[1].write.parquet(folder)
+    assert V.drop(spark, folder) and not V.drop(spark, folder) and not (tmp_path / "vectors").exists()
+
+
 def test_first_wins(spark):
     a = spark.createDataFrame([(0, 1, 1, 1.0), (0, 2, 2, 0.95)], "q int, d int, rank int, score double")
     b = spark.createDataFrame([(0, 2, 1, 0.95), (0, 3, 2, 0.8)], "q int, d int, rank int, score double")
