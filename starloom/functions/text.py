@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructField, StructType
 
+from starloom.functions.alike import alike
+
 # ASCII punctuation, the articles, and the number, sentence and box patterns.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 ARTICLES = "(?U)\\b(a|an|the)\\b"
@@ -372,19 +374,10 @@ def rouge_l(response: pd.Series, reference: pd.Series) -> pd.Series:
 
 
 def similar_texts(a: str, b: str, threshold: float) -> Column:
-    """Is the matching-block similarity of two text columns above the threshold?
-
-    Letter counts give an upper bound first, so most unlike pairs stay cheap.
-    """
+    """Is the matching-block similarity of two text columns above the threshold?"""
 
     @F.pandas_udf(BooleanType())
     def above(left: pd.Series, right: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
-
-        def one(x, y):
-            matcher = SequenceMatcher(None, x, y)
-            return matcher.quick_ratio() > threshold and matcher.ratio() > threshold
-
-        return pd.Series([one(x, y) for x, y in zip(left, right)], dtype=bool)
+        return pd.Series([alike(x, y, threshold) for x, y in zip(left, right)], dtype=bool)
 
     return above(F.col(a), F.col(b))

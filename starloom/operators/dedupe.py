@@ -31,7 +31,7 @@ def band_keys(text: Column, bands: int, rows: int, width: int) -> Column:
         def one(t):
             words = (t or "").lower().split()
             runs = {" ".join(words[i:i + width]) for i in range(max(len(words) - width + 1, 1))}
-            hashed = pd.util.hash_array(np.array(sorted(runs), dtype=object), categorize=False)
+            hashed = pd.util.hash_array(np.array(list(runs), dtype=object), categorize=False)
             lowest = np.array([(hashed * f + o).min() for f, o in zip(factor, offset)])
             mixed = np.arange(bands, dtype=np.uint64)
             for r in range(rows):

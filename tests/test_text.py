@@ -1,10 +1,12 @@
 """Text, HTML, JSON and code helpers: known answers, edge rows and brute force."""
 
 import random
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.functions import alike as A
 from starloom.functions import code as CO
 from starloom.functions import html as H
 from starloom.functions import scalars as S
@@ -202,3 +204,40 @@ def test_monday_week(spark):
     days = [datetime.date(2020, 12, 28) + datetime.timedelta(d) for d in range(0, 900, 3)]
     got = spark.createDataFrame([(d,) for d in days], "d date").select("d", S.monday_week(F.col("d")).alias("w")).collect()
     assert all(r.w == int(r.d.strftime("%W")) for r in got)
+
+
+def test_alike_gives_the_answer_of_difflib():
+    pick = random.Random(5)
+    for _ in range(400):
+        letters = pick.choice(["ab", "abcdefgh", "abcdefghijklmnopqrstuvwxyz .é漢字😀"])
+        x = "".join(pick.choices(letters, k=pick.choice([0, 1, 5, 50, 250, 400])))
+        y = list(x) if pick.random() < 0.6 else pick.choices(letters, k=pick.choice([0, 1, 5, 50, 250, 400]))
+        for _ in range(pick.randrange(40) if y else 0):
+            at = pick.randrange(len(y) + 1)
+            y[at:at + pick.randrange(3)] = pick.choice(letters) * pick.randrange(3)
+        y = "".join(y)
+        matcher = SequenceMatcher(None, x, y)
+        if x and y:
+            assert A.Anchors(A._codes(x), A._codes(y)).longest(0, len(x), 0, len(y)) == tuple(matcher.find_longest_match())
+        for threshold in (0.3, 0.5, 0.8, 0.95):
+            assert A.alike(x, y, threshold) == (matcher.ratio() > threshold), (x, y, threshold)
+
+
+def test_alike_ends_its_walk_early_and_beyond_the_points_held(monkeypatch):
+    pick = random.Random(6)
+    letters = [chr(0x4E00 + i) for i in range(400)]
+    said = pick.choices(letters, k=3000)
+    x = "".join(said)
+    y, near = ("".join(c if pick.random() < share else pick.choice(letters) for c in said) for share in (0.7, 0.95))
+    calls, full, whole = [], [], A.Anchors.longest
+
+    class Counted(SequenceMatcher):
+        def find_longest_match(self, *r):
+            full.append(r)
+            return super().find_longest_match(*r)
+
+    wanted = [Counted(None, x, other).ratio() > 0.8 for other in (y, near)]
+    monkeypatch.setattr(A.Anchors, "longest", lambda self, *r: calls.append(r) or whole(self, *r))
+    assert [A.alike(x, other, 0.8) for other in (y, near)] == wanted == [False, True] and 2 <= len(calls) < 0.8 * len(full)
+    monkeypatch.setattr(A, "POINTS", 0)
+    assert [A.alike(x, other, 0.8) for other in (y, near)] == wanted
