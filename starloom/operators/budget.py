@@ -9,21 +9,19 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.operators.ordering import ordered_partitions
 
 
-def spend_runs(weights: np.ndarray, starts: np.ndarray, entering: int, budget: int) -> tuple[np.ndarray, np.ndarray, int]:
+def spend_each(weights: np.ndarray, starts: np.ndarray, entering, budget: int) -> tuple[np.ndarray, np.ndarray]:
     """Remaining budget before the refill and whether it fired, per event of several agents in a row.
 
-    ``starts`` are the first events of the agents; the first agent begins with ``entering``, the
-    others with the full budget.  Where a budget that begins at an event is used up follows for
-    all events at once from the running sum, and only the firing events are walked.  Weights
-    must not be negative.  Also returns the state after the last event.
+    ``starts`` are the first events of the agents, ``entering`` the budgets that they begin with.
+    Where a budget that begins at an event is used up follows for all events at once from the
+    running sum, and only the firing events are walked.  Weights must not be negative.
     """
     total = np.cumsum(weights)
     before = total - weights
     ends = np.searchsorted(total, before + budget)  # the event that uses up a budget beginning here
     bounds = [*starts.tolist(), len(weights)]
     begins, sizes, fires = [], [], []
-    for first, stop in zip(bounds[:-1], bounds[1:], strict=True):
-        size = entering if first == 0 else budget
+    for first, stop, size in zip(bounds[:-1], bounds[1:], entering, strict=True):
         at, end = first, int(np.searchsorted(total, before[first] + size))
         while True:
             begins.append(at)
@@ -39,7 +37,12 @@ def spend_runs(weights: np.ndarray, starts: np.ndarray, entering: int, budget: i
     fired[fires] = True
     begin = np.asarray(begins, dtype=np.int64)
     base = before[begin] + np.asarray(sizes, dtype=np.int64)
-    left = np.repeat(base, np.diff(np.append(begin, len(weights)))) - total
+    return np.repeat(base, np.diff(np.append(begin, len(weights)))) - total, fired
+
+
+def spend_runs(weights: np.ndarray, starts: np.ndarray, entering: int, budget: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The same where the first agent begins with ``entering`` and the others with the full budget; also the state after the last event."""
+    left, fired = spend_each(weights, starts, [entering, *[budget] * (len(starts) - 1)], budget)
     return left, fired, budget if fired[-1] else int(left[-1])
 
 

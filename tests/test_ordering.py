@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import ordering as O
-from starloom.operators.budget import budget_triggers, spend
+from starloom.operators.budget import budget_triggers, spend, spend_each
 
 
 @pytest.fixture(autouse=True)
@@ -104,3 +104,10 @@ def test_budget_over_partitions(spark, rows):
 def test_budget_refills_fully():
     left, fired, state = spend([60, 60, 60, 10], 150, 150)
     assert left == [90, 30, -30, 140] and fired == [False, False, True, False] and state == 140
+
+
+def test_agents_in_a_row_begin_with_their_own_budgets():
+    weights, starts, entering = np.array([5, 9, 8, 1, 20, 30, 2]), np.array([0, 3, 4]), [6, 20, 3]
+    left, fired = spend_each(weights, starts, entering, 20)
+    wanted = [spend(part.tolist(), n, 20)[:2] for part, n in zip(np.split(weights, starts[1:]), entering)]
+    assert left.tolist() == [x for part, _ in wanted for x in part] and fired.tolist() == [x for _, part in wanted for x in part]

@@ -257,6 +257,24 @@ def test_budget_state_carries_over_batches_out_of_order(spark, tmp_path):
     assert sorted((r.agent, r.seq) for r in got.collect()) == sorted((r.agent, r.seq) for r in whole.collect() if r.seq < closed)
 
 
+def test_agents_of_a_bucket_share_its_state(spark, tmp_path):
+    """Named agents and one without a name, few buckets, two files; a call of the state serves a bucket, not an agent."""
+    import random
+
+    from starloom.operators.budget import budget_triggers
+
+    rng = random.Random(3)
+    rows = [(rng.choice([None, *"abcdefg"]), 1_700_000_000 + h * 3600, h, rng.randrange(0, 9)) for h in range(300)]
+    timed = spark.createDataFrame(rows, "agent string, at long, seq long, w long").withColumn("ts", F.timestamp_seconds("at"))
+    folder = str(tmp_path / "in")
+    for part in range(2):
+        timed.filter((F.col("seq") >= 150) == bool(part)).coalesce(1).write.mode("append").parquet(folder)
+    stream = ST.budget_stream(ST.file_stream(spark, folder, timed.schema, 1), "agent", "ts", ["seq"], "w", 20, "1 day", buckets=2)
+    got = ST.drain(stream, "b", target=str(tmp_path / "out"), rocksdb=True)
+    whole = budget_triggers(timed.fillna("none", ["agent"]), "agent", ["ts", "seq"], "w", 20).filter("triggered and seq < 299 - 24")
+    assert sorted((r.agent or "none", r.seq) for r in got.collect()) == sorted((r.agent, r.seq) for r in whole.collect())
+
+
 def test_a_failing_stream_does_not_stop_the_others(spark, tmp_path):
     from starloom.sources import sinks
 
