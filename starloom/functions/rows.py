@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
+
+SLICE = 128  # rows that a helper holds as Python objects at once
 
 
 def element_rows(df: DataFrame, keep: list, array: Column, name: str) -> DataFrame:
@@ -17,3 +24,21 @@ def element_rows(df: DataFrame, keep: list, array: Column, name: str) -> DataFra
 def numbered_rows(df: DataFrame, keep: list, array: Column, position: str, name: str) -> DataFrame:
     """The same with the element's 0-based position."""
     return df.select(*keep, F.posexplode_outer(array).alias(position, name)).filter(F.col(position).isNotNull())
+
+
+def by_row(one: Callable, kind: DataType) -> Callable[..., Column]:
+    """Arrow helper that calls ``one`` with the values of each row.
+
+    A batch may have ten thousand long texts: only a slice of it is turned into Python objects at
+    a time, and its results go back to Arrow before the next.
+    """
+    arrow = to_arrow_type(kind)
+
+    @F.arrow_udf(kind)
+    def run(*columns: pa.Array) -> pa.Array:
+        done = [pa.array([], arrow)]
+        for at in range(0, len(columns[0]), SLICE):
+            done.append(pa.array([one(*row) for row in zip(*(c.slice(at, SLICE).to_pylist() for c in columns))], arrow))
+        return pa.concat_arrays(done)
+
+    return run

@@ -1,14 +1,18 @@
 """Text, HTML, JSON and code helpers: known answers, edge rows and brute force."""
 
+import itertools
 import random
 from difflib import SequenceMatcher
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType
 
 from starloom.functions import alike as A
 from starloom.functions import code as CO
 from starloom.functions import html as H
+from starloom.functions import rows as R
 from starloom.functions import scalars as S
 from starloom.functions import text as T
 
@@ -241,3 +245,11 @@ def test_alike_ends_its_walk_early_and_beyond_the_points_held(monkeypatch):
     assert [A.alike(x, other, 0.8) for other in (y, near)] == wanted == [False, True] and 2 <= len(calls) < 0.8 * len(full)
     monkeypatch.setattr(A, "POINTS", 0)
     assert [A.alike(x, other, 0.8) for other in (y, near)] == wanted
+
+
+def test_a_filter_on_the_text_parses_pages_once(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>Fail to load page</p>"), (2, None, "<p>x</p>"), (3, "u", None)], "page_id long, url string, html string")
+    valid = H.valid_pages(H.parsed_pages(pages)).select("page_id", "text")
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "PythonUDF" not in plan and "EvalPython" not in plan
+    assert sorted((r.page_id, r.text) for r in valid.collect()) == [(2, "x"), (3, "")]
