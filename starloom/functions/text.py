@@ -16,6 +16,7 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructField, StructType
 
 from starloom.functions.alike import alike
+from starloom.functions.rows import by_row
 
 # ASCII punctuation, the articles, and the number, sentence and box patterns.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -283,11 +284,7 @@ def pack_lines(text: Column, max_tokens: int, reserved: int = 0) -> Column:
     if budget < 1:
         raise ValueError("the budget leaves no room for a token")
 
-    @F.pandas_udf(ArrayType(StringType()))
-    def pack(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else _packed(t, budget))
-
-    return pack(text)
+    return by_row(lambda t: None if t is None else _packed(t, budget), ArrayType(StringType()))(text)
 
 
 def _overlap_f1(p: Counter, e: Counter) -> float:

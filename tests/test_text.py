@@ -253,3 +253,25 @@ def test_a_filter_on_the_text_parses_pages_once(spark):
     plan = valid._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "PythonUDF" not in plan and "EvalPython" not in plan
     assert sorted((r.page_id, r.text) for r in valid.collect()) == [(2, "x"), (3, "")]
+
+
+class Watched:
+    """A column that notes how many rows are taken from it at once."""
+
+    def __init__(self, column):
+        self.column, self.taken = column, []
+
+    def __len__(self):
+        return len(self.column)
+
+    def slice(self, at, n):
+        self.taken.append(n)
+        return self.column.slice(at, n)
+
+
+def test_helpers_take_few_rows_at_once():
+    values = ["a b", None, ""] * 200
+    watched = Watched(pa.array(values))
+    got = R.by_row(lambda t: None if t is None else t.split(), ArrayType(StringType())).func(watched)
+    assert got.to_pylist() == [None if t is None else t.split() for t in values] and max(watched.taken) == R.SLICE < len(values)
+    assert len(R.by_row(lambda t: t, StringType()).func(pa.array([], pa.string()))) == 0
