@@ -7,6 +7,7 @@ row's own work.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -16,7 +17,7 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructField, StructType
 
 from starloom.functions.alike import alike
-from starloom.functions.rows import by_row
+from starloom.functions.rows import by_row, by_tokens
 
 # ASCII punctuation, the articles, and the number, sentence and box patterns.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -319,28 +320,25 @@ def best_token_f1(outputs: pd.Series, answers: pd.Series) -> pd.Series:
     return pd.Series([best(o, a) for o, a in zip(outputs, answers)], dtype="float64")
 
 
-def _clipped(a: list[str], b: list[str], n: int) -> tuple[int, int]:
-    grams = [Counter(tuple(t[i:i + n]) for i in range(len(t) - n + 1)) for t in (a, b)]
-    return sum((grams[0] & grams[1]).values()), max(len(a) - n + 1, 0)
+def _clipped(a: list, b: list, n: int) -> tuple[int, int]:
+    few, many = sorted((Counter(zip(*(t[i:] for i in range(n)))) for t in (a, b)), key=len)
+    return sum(min(k, many[g]) for g, k in few.items() if g in many), max(len(a) - n + 1, 0)
 
 
 BLEU_FIELDS = ["bleu_avg", "bleu1", "bleu2", "bleu3", "bleu4", "brevity_penalty"]
 
 
-@F.pandas_udf(StructType([StructField(name, DoubleType()) for name in BLEU_FIELDS]))
-def bleu(response: pd.Series, reference: pd.Series) -> pd.DataFrame:
-    """BLEU precisions 1-4 of token arrays and their mean without the brevity penalty."""
-    import math
+def _bleu(p: list, r: list) -> dict[str, float]:
+    precisions = [m / t if t else 0.0 for m, t in (_clipped(p, r, n) for n in range(1, 5))]
+    ratio = len(p) / len(r) if r else 0.0
+    penalty = 1.0 if ratio > 1.0 else (math.exp(1 - 1 / ratio) if ratio > 0 else 0.0)
+    mean = math.exp(sum(math.log(x) for x in precisions) / 4) if min(precisions) > 0 else 0.0
+    return dict(zip(BLEU_FIELDS, (mean if penalty else 0.0, *precisions, penalty)))
+
 
-    rows = []
-    for p, r in zip(response, reference):
-        p, r = list(p), list(r)
-        precisions = [m / t if t else 0.0 for m, t in (_clipped(p, r, n) for n in range(1, 5))]
-        ratio = len(p) / len(r) if r else 0.0
-        penalty = 1.0 if ratio > 1.0 else (math.exp(1 - 1 / ratio) if ratio > 0 else 0.0)
-        mean = math.exp(sum(math.log(x) for x in precisions) / 4) if min(precisions) > 0 else 0.0
-        rows.append((mean if penalty else 0.0, *precisions, penalty))
-    return pd.DataFrame(rows, columns=BLEU_FIELDS)
+def bleu(response: Column | str, reference: Column | str) -> Column:
+    """BLEU precisions 1-4 of token arrays and their mean without the brevity penalty."""
+    return by_tokens(_bleu, StructType([StructField(name, DoubleType()) for name in BLEU_FIELDS]))(response, reference)
 
 
 def _common_length(a: list, b: list) -> int:
@@ -356,18 +354,14 @@ def _common_length(a: list, b: list) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf(DoubleType())
-def rouge_l(response: pd.Series, reference: pd.Series) -> pd.Series:
-    """F-measure of the longest common token subsequence."""
+def _rouge_l(p: list, r: list) -> float:
+    common = _common_length(p, r)
+    return 2 * common / (len(p) + len(r)) if common else 0.0
 
-    def score(p, r):
-        p, r = list(p), list(r)
-        if not p or not r:
-            return 0.0
-        common = _common_length(p, r)
-        return 2 * common / (len(p) + len(r)) if common else 0.0
 
-    return pd.Series([score(p, r) for p, r in zip(response, reference)], dtype="float64")
+def rouge_l(response: Column | str, reference: Column | str) -> Column:
+    """F-measure of the longest common token subsequence."""
+    return by_tokens(_rouge_l, DoubleType())(response, reference)
 
 
 def similar_texts(a: str, b: str, threshold: float) -> Column:

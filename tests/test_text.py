@@ -275,3 +275,25 @@ def test_helpers_take_few_rows_at_once():
     got = R.by_row(lambda t: None if t is None else t.split(), ArrayType(StringType())).func(watched)
     assert got.to_pylist() == [None if t is None else t.split() for t in values] and max(watched.taken) == R.SLICE < len(values)
     assert len(R.by_row(lambda t: t, StringType()).func(pa.array([], pa.string()))) == 0
+
+
+def test_scores_on_token_numbers_equal_those_on_tokens():
+    pick = random.Random(8)
+    sides = [[pick.choices("abcdefg", k=pick.choice([0, 1, 3, 30])) for _ in range(300)] for _ in range(2)]
+    watched = [Watched(pa.array(side, pa.list_(pa.string()))) for side in sides]
+
+    def shared(a, b, n):
+        grams = [[tuple(t[i:i + n]) for i in range(len(t) - n + 1)] for t in (a, b)]
+        return sum(min(grams[0].count(g), grams[1].count(g)) for g in set(grams[0])), len(grams[0])
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row = list(itertools.accumulate(range(len(b)), lambda last, j, x=x, row=row: row[j] + 1 if b[j] == x else max(last, row[j + 1]), initial=0))
+        return row[-1]
+
+    counts = R.by_tokens(lambda a, b: [v for n in range(1, 5) for v in T._clipped(a, b, n)], ArrayType(LongType())).func(*watched)
+    assert counts.to_pylist() == [[v for n in range(1, 5) for v in shared(a, b, n)] for a, b in zip(*sides)]
+    assert max(watched[0].taken + watched[1].taken) == R.SLICE
+    scores = R.by_tokens(T._rouge_l, DoubleType()).func(*watched)
+    assert scores.to_pylist() == [2 * common(a, b) / (len(a) + len(b)) if common(a, b) else 0.0 for a, b in zip(*sides)]
