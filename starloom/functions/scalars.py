@@ -106,16 +106,15 @@ def squared_distance(a: Column, b: Column) -> Column:
 def answer_map(text: Column) -> Column:
     """``@name[value]`` answers as a map of strings; the last of several equal names wins."""
     cleaned = F.translate(text, ",", "")
-    pairs = F.transform(
-        F.filter(F.split(cleaned, "@"), lambda s: F.trim(s) != ""),
-        lambda s: F.struct(
-            F.trim(F.element_at(_pieces(s), 1)).alias("key"),
-            F.regexp_replace(F.element_at(_pieces(s), -1), ":", "").alias("value"),
-        ),
-    )
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))),
-                                                  lambda q: q["key"] == p["key"]))
-    return F.map_from_entries(last)
+    segments = F.filter(F.split(cleaned, "@"), lambda s: F.trim(s) != "")
+    pairs = F.transform(F.transform(segments, _pieces), lambda p: F.struct(
+        F.trim(F.element_at(p, 1)).alias("key"), F.regexp_replace(F.element_at(p, -1), ":", "").alias("value")))
+
+    def last(ps: Column) -> Column:
+        return F.filter(ps, lambda p, i: ~F.exists(F.slice(ps, i + 2, F.greatest(F.size(ps), F.lit(1))), lambda q: q["key"] == p["key"]))
+
+    # bound as an element: named twice, the pairs would be made again for every one of them
+    return F.transform(F.array(pairs), lambda ps: F.map_from_entries(last(ps)))[0]
 
 
 def _pieces(segment: Column) -> Column:

@@ -297,3 +297,9 @@ def test_scores_on_token_numbers_equal_those_on_tokens():
     assert max(watched[0].taken + watched[1].taken) == R.SLICE
     scores = R.by_tokens(T._rouge_l, DoubleType()).func(*watched)
     assert scores.to_pylist() == [2 * common(a, b) / (len(a) + len(b)) if common(a, b) else 0.0 for a, b in zip(*sides)]
+
+
+def test_an_answer_map_makes_its_pairs_once(spark, apply):
+    plan = spark.range(1).select(S.answer_map(F.col("id").cast("string")).alias("m"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("split(translate(") == 1
+    assert apply(S.answer_map, "@a[1] @b[x:y], @a[2]", None) == [{"a": "2", "b": "xy"}, None]
