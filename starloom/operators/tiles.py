@@ -124,7 +124,7 @@ class Best:
         return query, self.at[row, query], self.cost[row, query]
 
 
-def steps(rows: int, queries: int):
+def steps(rows: int, queries: int, scores: int = SCORES):
     """Slices of the rows whose scores fit into one matrix; the same for equal sizes."""
-    size = max(1, SCORES // max(queries, 1))
+    size = max(1, scores // max(queries, 1))
     return [(at, min(at + size, rows)) for at in range(0, rows, size)]

@@ -26,6 +26,7 @@ def _cut(store: DataFrame, queries: DataFrame, vector: str) -> tuple[int, int]:
 
 
 PAIR_VALUES = 4 << 20  # of vector components in one step of exact distances
+GAP_VALUES = 1 << 19  # numbers in one of the matrices that tell whether any vector is near
 
 
 def _exact_distances(left, right, gaps, skip, k, digits):
@@ -181,7 +182,7 @@ def _near(radius: float):
         probes = tiles.matrix(right["p"]) if right.num_rows else None
         hit = np.zeros(right.num_rows, dtype=bool)
         for own, asking in tiles.cells(left, right):
-            for at, to in tiles.steps(len(asking), len(own)):
+            for at, to in tiles.steps(len(asking), len(own), GAP_VALUES):
                 hit[asking[at:to]] |= _any_within(probes[asking[at:to]], points[own], radius)
         return pa.table({"p": tiles.flat(right["p"]).filter(pa.array(hit))})
 
@@ -194,7 +195,7 @@ def _any_within(some: np.ndarray, near: np.ndarray, radius: float) -> np.ndarray
     error = (np.linalg.norm(some, axis=1)[:, None] + np.linalg.norm(near, axis=1)[None, :])**2 * ((some.shape[1] + 4) * np.finfo(np.float64).eps)
     sure = (gaps + error < radius * radius).any(axis=1)
     row, col = np.nonzero(~(gaps - error >= radius * radius) & ~sure[:, None])  # also where a gap is no number
-    step = max(1, PAIR_VALUES // max(some.shape[1], 1))
+    step = max(1, GAP_VALUES // max(some.shape[1], 1))
     for at in range(0, len(row), step):
         r, c = row[at:at + step], col[at:at + step]
         close = ((some[r] - near[c]) ** 2).sum(axis=1) < radius * radius

@@ -359,3 +359,20 @@ def test_l2_keeps_every_tie_and_close_rows_of_large_norm(spark):
     got = V.top_k(store, asked, "id", "q", "v", k=5, metric="l2").collect()
     assert sorted(r.id for r in got if r.q == 1) == [0, 1, 2, 3, 4]
     assert sorted(r.id for r in got if r.q == 2) == [1000, 1001, 1002, 1003, 1004]
+
+
+def test_near_vectors_are_looked_for_in_bounded_matrices(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from starloom.operators import vectors
+
+    rng = np.random.default_rng(4)
+    stored, probes = rng.normal(size=(2000, 3)), rng.normal(size=(1500, 3))
+    side = lambda name, m: pa.table({name: m.tolist(), "__cell": [1] * len(m)})
+    sizes, whole = [], vectors._any_within
+    monkeypatch.setattr(vectors, "_any_within", lambda some, near, radius: sizes.append(len(some) * len(near)) or whole(some, near, radius))
+    got = vectors._near(0.1)(side("s", stored), side("p", probes))
+    near = (np.linalg.norm(probes[:, None] - stored[None], axis=2) < 0.1).any(axis=1)
+    assert got["p"].to_pylist() == probes[near].tolist() and 0 < near.sum() < 1500
+    assert max(sizes) <= 1 << 19 and sum(sizes) == 2000 * 1500
