@@ -24,7 +24,7 @@ K1, B, EPSILON = 1.5, 0.75, 0.25
 # the blanks that separate tokens, the same in Java and here
 WHITESPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 BLOCK_DOCS = 2048  # documents of one block of the index
-TILE_DOCS = 1 << 16  # documents that meet a tile of queries at once
+TILE_DOCS = 1 << 13  # documents that meet a tile of queries at once; a task holds their postings several times over
 QUERY_TERMS = 1 << 20  # query terms in one tile
 
 

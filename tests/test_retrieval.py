@@ -332,6 +332,16 @@ def test_bm25_against_brute_force(spark, monkeypatch, block):
         assert [i for _, i, _ in sorted(got.get(q, []))] == want
 
 
+def test_bm25_tiles_stay_small(spark, monkeypatch):
+    """A task holds the postings of a tile several times over, so a tile is a few blocks however many documents there are."""
+    index = R.BM25Index(spark.createDataFrame([(1, "a b"), (2, "b")], "id int, t string"), "id", "t")
+    cuts, meet = [], tiles.meet
+    monkeypatch.setattr(tiles, "meet", lambda *a: cuts.append(a[4]) or meet(*a))
+    index.n = 3_000_000
+    index.top_k(spark.createDataFrame([(1, "a")], "q int, t string"), "q", "t")
+    assert index.n / cuts[0][0] <= 4 * R.BLOCK_DOCS
+
+
 def test_equal_vectors_are_at_distance_zero(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 16)) * 1e3)]
