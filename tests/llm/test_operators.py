@@ -422,6 +422,34 @@ def test_interval_expansion_finds_equal_strings():
         assert all(len(c) == 1 for c in by.values()) and len({next(iter(c)) for c in by.values()}) == len(by)
 
 
+def test_interval_expansion_sorts_little(monkeypatch):
+    """The levels of an expansion are scattered, not sorted, and the doubled ranks are sorted without their places."""
+    draw = np.random.default_rng(5)
+    part = draw.integers(2, 90, 400)
+    text = np.append(np.concatenate([np.where(draw.random(400) < 0.01, 95, part) for _ in range(40)]), 0).astype(np.uint16)
+    sizes, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, **how: sizes.append(len(x)) or argsort(x, **how))
+    found = suffix.repeated_classes(text)
+    assert sum(sizes) <= 3 * len(text)
+    monkeypatch.setattr(suffix, "SPARSE", 0)  # every level sorted
+    assert np.array_equal(found, suffix.repeated_classes(text))
+    by = defaultdict(set)
+    for p in range(len(text) - 100):
+        by[tuple(text[p:p + 100])].add(int(found[p]))
+    assert all(len(c) == 1 for c in by.values()) and len({next(iter(c)) for c in by.values()}) == len(by) < len(text) - 100
+
+
+def test_packed_order_of_pairs():
+    draw = np.random.default_rng(6)
+    for most in (50, 1 << 30):  # packed with the place; too wide for that
+        high, low = draw.integers(0, most, 700), draw.integers(0, 9, 700)
+        high[350:] = high[:350]
+        order, edge = suffix.packed_order(high, low, most)
+        pairs = list(zip(high[order].tolist(), low[order].tolist()))
+        assert sorted(order.tolist()) == list(range(700)) and pairs == sorted(pairs)
+        assert edge.tolist() == [a != b for a, b in zip(pairs[:-1], pairs[1:])]
+
+
 CLASHES = "size words label quality toxic calibrate stats score _score _stats _id _key _node _root root node rep _s _bad_id _bad_th _th _doc _rows _found _spans _source _size _ends _end _nth t end_time weight target digest before group bytes".split()
 
 
