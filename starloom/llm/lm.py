@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm.common import fold, saved, text_of
@@ -197,14 +198,15 @@ def forward(w, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: list
     return states, h
 
 
-def softmax(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log-probabilities of the chosen columns; the logits become the probabilities."""
+def softmax(logits: np.ndarray, chosen: np.ndarray, whole: bool) -> np.ndarray:
+    """Log-probabilities of the chosen columns; the logits become the probabilities if the ``whole`` is wanted."""
     row = np.arange(len(logits))
     logits -= logits.max(axis=1, keepdims=True)
     picked = logits[row, chosen]
     np.exp(logits, out=logits)
     total = logits.sum(axis=1)
-    logits /= total[:, None]
+    if whole:
+        logits /= total[:, None]
     return picked - np.log(total)
 
 
@@ -216,7 +218,7 @@ def outputs(w, states: np.ndarray, classes: np.ndarray, slots: np.ndarray, grads
     """
     d = states @ w["wc"]
     d += w["bc"]
-    logp = softmax(d, classes)
+    logp = softmax(d, classes, grads is not None)
     back = None
     if grads is not None:
         d[np.arange(len(d)), classes] -= 1
@@ -231,7 +233,7 @@ def outputs(w, states: np.ndarray, classes: np.ndarray, slots: np.ndarray, grads
     for k, a, b in parts:
         np.matmul(s[a:b], w["ww"][k], out=d[a:b])
     d += w["bw"][classes[own]]
-    logp[own] += softmax(d, slots[own])
+    logp[own] += softmax(d, slots[own], grads is not None)
     if grads is not None and parts:
         d[np.arange(len(own)), slots[own]] -= 1
         inner = np.empty_like(s)
@@ -276,36 +278,40 @@ class Encoder:
     """Token streams of documents: ids, classes, slots and inputs."""
 
     def __init__(self, v: Vocabulary):
-        self.v = v
+        self.v, self.words = v, pa.array(list(v.ids), pa.binary())
         words = len(v.ids)
         self.inputs = np.where(np.arange(words + 1) < v.own, np.arange(words + 1), CLASSES * PER_CLASS + np.append(v.class_of[:words], CLASSES) - CLASSES) if words else np.array([BOS])
 
     def stream(self, texts: list[bytes]):
-        get, ids, lengths, tails = self.v.ids.get, [], [], []
+        """Of all texts: id (-1: unknown), place in the vocabulary, class and input of each token, and by text starts, lengths and unknown words."""
+        words, lengths = [], []
         for text in texts:
-            words = words_of(text)
-            found = [get(w, -1) for w in words]
-            tails.append([w for w, i in zip(words, found, strict=True) if i < 0] if -1 in found else [])
-            found.append(get(END, -1))
-            ids.append(np.array(found, dtype=np.int64))
-            lengths.append(len(found))
-        flat, lengths = np.concatenate(ids), np.array(lengths)
+            found = words_of(text)
+            words += found
+            words.append(END)
+            lengths.append(len(found) + 1)
+        words, lengths = pa.array(words, pa.binary()), np.array(lengths)
+        flat = np.asarray(pc.index_in(words, value_set=self.words).fill_null(-1)).astype(np.int64)
         known = np.where(flat < 0, len(self.v.ids), flat)
         classes = (self.v.class_of[flat] if len(self.v.ids) else np.full(len(flat), CLASSES, dtype=np.int16)).copy()
-        unknown = np.flatnonzero(flat < 0)
-        classes[unknown] = self.rest_of(tails)
+        unknown = flat < 0
+        tails = words.filter(pa.array(unknown))
+        offsets, data = (np.frombuffer(b, kind) for b, kind in zip(tails.buffers()[1:], (np.int32, np.uint8))) if len(tails) else (np.zeros(1, np.int32), np.zeros(0, np.uint8))
+        offsets = offsets[tails.offset:tails.offset + len(tails) + 1]
+        empty = offsets[1:] == offsets[:-1]  # an end token that training never saw
+        last = np.zeros(len(tails), dtype=np.int16)
+        last[~empty] = data[offsets[1:][~empty] - 1]
+        classes[unknown] = CLASSES + np.where(last < 64, last & 31, 32 + (last & 31))
         inputs = self.inputs[known]
         inputs[unknown] = CLASSES * PER_CLASS + classes[unknown] - CLASSES
         starts = np.cumsum(lengths) - lengths
         shifted = np.empty_like(inputs)
         shifted[1:] = inputs[:-1]
         shifted[starts] = BOS
+        per_text = np.bincount(np.repeat(np.arange(len(texts)), lengths)[np.flatnonzero(unknown)[~empty]], minlength=len(texts))
+        tails = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(per_text)), pa.int32()), tails.filter(pa.array(~empty)))
         return flat, known, classes, shifted, starts, lengths, tails
 
-    def rest_of(self, tails):
-        end = [] if END in self.v.ids else [CLASSES]  # an end token that training never saw
-        return np.array([c for t in tails for c in [*(CLASSES + rest_class(w[-1]) for w in t), *end]], dtype=np.int16)
-
 
 def token_chunks(batches, most: int = 8 << 20):
     """Each batch with runs of its rows, of about so many bytes of text."""
@@ -347,7 +353,7 @@ def scorer(v: Vocabulary, flat_weights: np.ndarray):
             given = batch.slice(held[0][0], len(held))
             yield pa.RecordBatch.from_arrays([
                 given.column("doc_id"), given.column("held_out"), given.column("row"), pa.array(lengths, pa.int64()), pa.array(sums[0].astype(np.int64)),
-                pa.array(sums[1]), pa.array(sums[2]), pa.array(tails, pa.list_(pa.binary()))], names=[c.split()[0] for c in SCORED.split(", ")])
+                pa.array(sums[1]), pa.array(sums[2]), tails], names=[c.split()[0] for c in SCORED.split(", ")])
 
     return run
 

@@ -450,6 +450,23 @@ def test_packed_order_of_pairs():
         assert edge.tolist() == [a != b for a, b in zip(pairs[:-1], pairs[1:])]
 
 
+def test_words_are_looked_up_in_one_piece(monkeypatch):
+    """Ids, classes and unknown words of all texts, with no Python step for each unknown word."""
+    known = [b"", b"the", b"cat"]
+    v = lm.Vocabulary({w: i for i, w in enumerate(known)}, np.array([9, 5, 2]), np.ones(lm.RESTS), 16, 3)
+    encoder = lm.Encoder(v)
+    monkeypatch.setattr(lm, "rest_class", None)
+    texts = [b"The dog\tsat", b"", b" cat the\n", b"\xc3\xa9 cat"]
+    flat, _, classes, inputs, starts, lengths, tails = encoder.stream(texts)
+    assert flat.tolist() == [1, -1, -1, 0, 0, 2, 1, 0, -1, 2, 0] and lengths.tolist() == [4, 1, 3, 3] and starts.tolist() == [0, 4, 5, 8]
+    assert tails.to_pylist() == [[b"dog", b"sat"], [], [], [b"\xc3\xa9"]]
+    monkeypatch.undo()
+    assert classes[[1, 2, 8]].tolist() == [lm.CLASSES + lm.rest_class(w[-1]) for w in (b"dog", b"sat", b"\xc3\xa9")]
+    assert encoder.stream([b"the cat"])[6].to_pylist() == [[]]
+    nothing = lm.Encoder(lm.Vocabulary({}, np.zeros(0, dtype=np.int64), np.ones(lm.RESTS), 0, 0)).stream([b"a", b""])
+    assert nothing[0].tolist() == [-1, -1, -1] and nothing[2].tolist() == [lm.CLASSES + lm.rest_class(b"a"[0]), lm.CLASSES, lm.CLASSES] and nothing[6].to_pylist() == [[b"a"], []]
+
+
 CLASHES = "size words label quality toxic calibrate stats score _score _stats _id _key _node _root root node rep _s _bad_id _bad_th _th _doc _rows _found _spans _source _size _ends _end _nth t end_time weight target digest before group bytes".split()
 
 
