@@ -15,7 +15,6 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
@@ -95,6 +94,10 @@ class Vocabulary:
     def __getstate__(self):
         return self.__dict__ | {"ids": None}  # tasks look words up in one array
 
+    def short(self) -> Vocabulary:
+        """The words with outputs of their own: all that training tells apart, the class of any other word is in its last byte."""
+        return Vocabulary(dict(list(self.ids.items())[:self.own]), self.counts[:self.own], self.rest, self.total, self.distinct)
+
 
 def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     """The driver takes the counts' histogram, the head words, the end token whatever its count, and 64 class sums."""
@@ -231,7 +234,7 @@ def joined(weights: np.ndarray, constants: np.ndarray, columns: int):
     States lie between -1 and 1, so the weights bound the logits.  They are lowered by the upper
     bound; unless that may put all logits of a row so low that their powers vanish, none needs more.
     """
-    reach = np.abs(weights).sum(axis=-2)
+    reach = np.ones(HIDDEN, dtype=weights.dtype) @ np.abs(weights)
     top = (constants + reach).max(axis=-1, keepdims=True)
     wide = (top[..., 0] - (constants - reach).max(axis=-1)).max() > 60
     out = np.zeros((*weights.shape[:-2], HIDDEN + 1, columns), dtype=weights.dtype)
@@ -264,7 +267,7 @@ def outputs(w, states: np.ndarray, classes: np.ndarray, slots: np.ndarray, grads
     are multiplied as they are, and the products, which have fewer columns, are divided by their sum.
     """
     n, own, kinds = len(states), CLASSES * PER_CLASS, CLASSES + RESTS
-    key = np.where(classes < CLASSES, classes * PER_CLASS + slots, own + classes - CLASSES).astype(np.int16)
+    key = np.where(classes < CLASSES, classes * PER_CLASS + slots, classes + (own - CLASSES)).astype(np.int16)
     order = np.argsort(key, kind="stable")
     key = key[order]
     kind = np.where(key < own, key // PER_CLASS, key - (own - CLASSES))
@@ -371,29 +374,32 @@ class Encoder:
         inputs = np.where(np.arange(words + 1) < v.own, np.arange(words + 1), CLASSES * PER_CLASS + np.append(v.class_of[:words], CLASSES) - CLASSES) if words else np.array([BOS])
         self.inputs = inputs.astype(np.int16)
 
-    def stream(self, texts: list[bytes]):
+    def stream(self, texts: list[bytes], tails: bool = True):
         """Of all texts: id (-1: unknown), place in the vocabulary, class and input of each token, and by text starts, lengths and unknown words."""
         words, lengths = words_of(texts)
         flat = np.asarray(pc.index_in(words, value_set=self.v.words).fill_null(-1))
         unknown = flat < 0
         known = np.where(unknown, np.int32(len(self.v.words)), flat)
         classes = self.v.class_of.take(flat, mode="wrap") if len(self.v.words) else np.full(len(flat), CLASSES, dtype=np.int16)
-        tails = words.filter(pa.array(unknown))
-        offsets, data = (np.frombuffer(b, kind) for b, kind in zip(tails.buffers()[1:], (np.int32, np.uint8))) if len(tails) else (np.zeros(1, np.int32), np.zeros(0, np.uint8))
-        offsets = offsets[tails.offset:tails.offset + len(tails) + 1]
-        empty = offsets[1:] == offsets[:-1]  # an end token that training never saw
-        last = np.zeros(len(tails), dtype=np.int16)
-        last[~empty] = data[offsets[1:][~empty] - 1]
-        classes[unknown] = CLASSES + np.where(last < 64, last & 31, 32 + (last & 31))
+        at = np.flatnonzero(unknown)
+        _, ends, data = words.buffers()
+        ends = np.frombuffer(ends, np.int32)[words.offset:words.offset + len(words) + 1]
+        last = np.zeros(len(at), dtype=np.int16)
+        spelt = ends.take(at + 1) > ends.take(at)  # all but an end token that training never saw
+        if spelt.any():
+            last[spelt] = np.frombuffer(data, np.uint8).take(ends.take(at[spelt] + 1) - 1)
+        classes[at] = CLASSES + np.where(last < 64, last & 31, 32 + (last & 31))
         inputs = self.inputs.take(known)
-        inputs[unknown] = CLASSES * PER_CLASS + classes[unknown] - CLASSES
+        inputs[at] = CLASSES * PER_CLASS + classes.take(at) - CLASSES
         starts = np.cumsum(lengths) - lengths
         shifted = np.empty_like(inputs)
         shifted[1:] = inputs[:-1]
         shifted[starts] = BOS
-        per_text = np.bincount(np.repeat(np.arange(len(texts)), lengths)[np.flatnonzero(unknown)[~empty]], minlength=len(texts))
-        tails = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(per_text)), pa.int32()), tails.filter(pa.array(~empty)))
-        return flat, known, classes, shifted, starts, lengths, tails
+        if not tails:
+            return flat, known, classes, shifted, starts, lengths, None
+        per_text = np.add.reduceat(unknown & (ends[1:] > ends[:-1]), starts, dtype=np.int64) if len(texts) else starts
+        spelt = words.take(pa.array(at[spelt]))
+        return flat, known, classes, shifted, starts, lengths, pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(per_text)), pa.int32()), spelt)
 
 
 def runs(texts: list[bytes], most: int):
@@ -454,7 +460,7 @@ def trainer(v: Vocabulary, flat_weights: np.ndarray):
         first, second, change, step, seen = np.zeros_like(flat), np.zeros_like(flat), np.zeros_like(flat), 0, 0
         grads = unpack(change)
         for _, _, texts in token_chunks(batches):
-            ids, known, classes, inputs, starts, lengths, _ = encoder.stream(texts)
+            ids, known, classes, inputs, starts, lengths, _ = encoder.stream(texts, tails=False)
             slots = (known % PER_CLASS).astype(np.int16)
             fresh_at = np.zeros(len(ids), dtype=bool)
             for a, b in runs(texts, 1 << 20):
@@ -491,12 +497,9 @@ def trainer(v: Vocabulary, flat_weights: np.ndarray):
                     flat -= change
                     seen += len(at)
         if seen:
-            yield pd.DataFrame({"weights": [flat], "tokens": [seen]})
-
-    def frames(batches):
-        yield from run(b for part in batches for b in pa.Table.from_pandas(part).to_batches())
+            yield pa.RecordBatch.from_arrays([pa.array([flat], pa.list_(pa.float32())), pa.array([seen], pa.int64())], names=["weights", "tokens"])
 
-    return frames
+    return run
 
 
 def weighed(batches):
@@ -518,11 +521,12 @@ def train(rows: DataFrame, v: Vocabulary) -> np.ndarray:
     if not v.total:
         return weights
     trainers = max(1, round(v.total / ROUNDS / PER_TRAINER))
+    short = v.short()
     turns = rows.withColumn("turn", F.pmod(F.xxhash64("doc_id", "bytes", F.lit(6)), F.lit(ROUNDS)))
     for turn in range(ROUNDS):
         # in an order of their own, so that a task run again learns the same weights
         dealt = turns.filter(F.col("turn") == turn).select("bytes").repartition(trainers).sortWithinPartitions(F.xxhash64("bytes"), "bytes")
-        made = saved(dealt.mapInPandas(trainer(v, weights), "weights array<float>, tokens long"), "lm-weights")
+        made = saved(dealt.mapInArrow(trainer(short, weights), "weights array<float>, tokens long"), "lm-weights")
         sums = made.mapInArrow(weighed, "sums array<double>, tokens long").select("tokens", F.posexplode("sums").alias("i", "w"))
         mean = sums.groupBy("i").agg((F.sum("w") / F.sum("tokens")).alias("w")).toPandas()
         if len(mean):
@@ -540,12 +544,12 @@ def score_texts(docs: DataFrame, head: int = HEAD) -> DataFrame:
     held_out = fold("doc_id", FOLDS) == HELD_OUT
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.monotonically_increasing_id().alias("row"), text_of().cast("binary").alias("bytes"))
     training = rows.filter(~F.col("held_out")).select("doc_id", "bytes")
-    counts = saved(training.select("bytes").mapInArrow(count_words, COUNTS).groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    counts = saved(training.select("bytes").mapInArrow(count_words, COUNTS).repartition("word").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     v = vocabulary(counts, head)
     weights = train(training, v)
     scored = saved(rows.mapInArrow(scorer(v, weights), SCORED), "lm-scores")
-    # a written row number ties the tail words to their row from here on
-    tails = scored.select("row", F.explode("tail").alias("word")).join(counts.withColumnRenamed("word", "_word"), F.col("word") == F.col("_word"))
+    # a written row number ties the tail words to their row from here on; the counts, a row a word, are hashed, the many tail words need no order
+    tails = scored.select("row", F.explode("tail").alias("word")).join(counts.withColumnRenamed("word", "_word").hint("shuffle_hash"), F.col("word") == F.col("_word"))
     sums = tails.groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).alias("n_tail"), F.sum(F.log10(F.col("n") + 1)).alias("tail_log"))
     joined = scored.join(sums, F.col("row") == F.col("_row"), "left")
     tail_log = F.coalesce("tail_log", F.lit(0.0))

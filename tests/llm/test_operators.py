@@ -486,3 +486,67 @@ def test_stages_keep_columns_and_take_effect(spark, awkward, labels):
 
 def test_every_operator_has_its_query():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
+
+
+def test_words_are_split_and_counted_in_arrow():
+    """As the bytes' own split does, with one end token a text, whatever bytes there are."""
+    draw = np.random.default_rng(3)
+    texts = [b"", b" \t\n", b"A b", b" x\x0b\x0cY\r\n", "É é\u0085z  Ö".encode(), b"\x1c\x1d\x1e\x1f\x00 \xff\xfe B"]
+    texts += [bytes(draw.choice(np.frombuffer(b"aZ \t\n\x0b\x0c\r\x00\x1c\x85\xa0\xe2", np.uint8), 40)) for _ in range(50)]
+    want = [[*t.lower().split(), b""] for t in texts]
+    words, lengths = lm.words_of(texts)
+    assert words.to_pylist() == [w for ws in want for w in ws] and lengths.tolist() == [len(ws) for ws in want]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[a:a + 20], pa.binary())], names=["bytes"]) for a in range(0, len(texts), 20)]
+    got = Counter()
+    for b in lm.count_words(iter(batches)):
+        got.update(dict(zip(*(c.to_pylist() for c in b.columns))))
+    assert got == Counter(w for ws in want for w in ws)
+
+
+def test_trained_weights_are_averaged_by_tokens():
+    """Each task sums its rows before Spark sees one row for each weight."""
+    rows, tokens = np.random.default_rng(4).normal(size=(5, 7)).astype(np.float32), [3, 1, 10, 0, 4]
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(rows[a:b]), pa.list_(pa.float32())), pa.array(tokens[a:b], pa.int64())], names=["weights", "tokens"]) for a, b in ((0, 2), (2, 5))]
+    (got,) = lm.weighed(iter(batches))
+    assert got.column("tokens").to_pylist() == [18]
+    assert np.allclose(got.column("sums").to_pylist()[0], (rows.astype(np.float64) * np.array(tokens)[:, None]).sum(axis=0))
+    assert list(lm.weighed(iter([]))) == []
+
+
+@pytest.mark.parametrize("scale", [0.1, 40.0])
+def test_undivided_powers_give_the_same_softmax(scale):
+    """Log-probabilities and gradients as of plain softmaxes, also where a common bound of the logits would let rows vanish."""
+    draw, n = np.random.default_rng(6), 300
+    flat = draw.normal(0, scale, len(lm.starting_weights(lm.Vocabulary({b"a": 0}, np.array([3]), np.ones(lm.RESTS), 3, 1))))
+    w, change = lm.unpack(flat), np.zeros_like(flat)
+    states, classes, slots = draw.uniform(-1, 1, (n, lm.HIDDEN)), draw.integers(0, lm.CLASSES + lm.RESTS, n), draw.integers(0, lm.PER_CLASS, n)
+    assert lm.joined(w["wc"], w["bc"], lm.PADDED)[1] == (scale > 1)
+    got, back = lm.outputs(w, states, classes, slots, lm.unpack(change))
+    assert np.allclose(got, lm.outputs(w, states, classes, slots)[0])
+    want, want_back, wc = np.zeros(n), np.zeros((n, lm.HIDDEN)), np.zeros_like(w["wc"])
+    for i in range(n):
+        for weights, constants, at, whole in ((w["wc"], w["bc"], classes[i], True), *([(w["ww"][classes[i]], w["bw"][classes[i]], slots[i], False)] if classes[i] < lm.CLASSES else [])):
+            logits = states[i] @ weights + constants
+            p = np.exp(logits - logits.max())
+            p /= p.sum()
+            want[i] += logits[at] - logits.max() - np.log(np.exp(logits - logits.max()).sum())
+            p[at] -= 1
+            want_back[i] += weights @ p
+            if whole:
+                wc += np.outer(states[i], p)
+    assert np.allclose(got, want) and np.allclose(back, want_back) and np.allclose(lm.unpack(change)["wc"], wc)
+
+
+def test_training_needs_only_words_with_outputs():
+    """Classes, slots and inputs are the same from the short vocabulary as from the whole one; windows hold each token once."""
+    words = [b"", *(f"w{i}".encode() for i in range(1500)), "wé".encode()]
+    v = lm.Vocabulary({w: i for i, w in enumerate(words)}, np.arange(len(words), 0, -1), np.ones(lm.RESTS), 9000, len(words))
+    texts = [b" ".join(words[1 + i::7]) + b" new" for i in range(7)] + [b"", words[-1]]
+    whole, short = lm.Encoder(v).stream(texts), lm.Encoder(v.short()).stream(texts, tails=False)
+    for i in (2, 3, 4, 5):
+        assert whole[i].tolist() == short[i].tolist()
+    own = whole[2] < lm.CLASSES
+    assert (whole[1] % lm.PER_CLASS)[own].tolist() == (short[1] % lm.PER_CLASS)[own].tolist() and short[6] is None
+    for full in (False, True):
+        placed = np.concatenate([w[w >= 0] for w in lm.Lanes(whole[5], 4, 16).windows(whole[4], full)])
+        assert sorted(placed.tolist()) == list(range(len(whole[0])))
